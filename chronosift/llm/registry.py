@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from chronosift.llm import line_dedup, packing, simhash, token_counts, winnow
+from chronosift.llm import line_dedup, packing, simhash, token_counts, topk, winnow
 
 QUERIES = {
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op5_simhash": simhash.op5_simhash,
     "op7_fingerprints": winnow.op7_fingerprints,
     "op8_token_counts": token_counts.op8_token_counts,
+    "op9_topk": topk.op9_topk,
     "op10_packing": packing.op10_packing,
 }
-ORACLES = {"op3_line_dedup": line_dedup.OP3_SQL}
+ORACLES = {"op3_line_dedup": line_dedup.OP3_SQL, "op9_topk": topk.OP9_SQL}
