@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,7 +79,7 @@ def text_slices(batches, limit: int = 4 << 20):
         if texts.offset == 0 and batch.num_rows and texts.nbytes <= limit:
             yield ids.to_pylist(), [x or "" for x in texts.to_pylist()]
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
         for a, b in by_bytes(sizes, limit):
             yield ids.slice(a, b - a).to_pylist(), [x or "" for x in texts.slice(a, b - a).to_pylist()]
 
