@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from chronosift.llm import line_dedup, packing, simhash, token_counts, topk, winnow
+from chronosift.llm import langid, line_dedup, packing, simhash, token_counts, topk, winnow
 
 QUERIES = {
+    "op1_language_id": langid.op1_language_id,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op5_simhash": simhash.op5_simhash,
     "op7_fingerprints": winnow.op7_fingerprints,
