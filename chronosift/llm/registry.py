@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from chronosift.llm import langid, line_dedup, packing, simhash, token_counts, topk, winnow
+from chronosift.llm import langid, line_dedup, packing, pitman_yor, simhash, token_counts, topk, winnow
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op5_simhash": simhash.op5_simhash,
+    "op6_lm_score": pitman_yor.op6_lm_score,
     "op7_fingerprints": winnow.op7_fingerprints,
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_topk": topk.op9_topk,
