@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from chronosift.llm import langid, line_dedup, packing, pitman_yor, simhash, token_counts, topk, winnow
+from chronosift.llm import langid, line_dedup, mixing, packing, pitman_yor, simhash, token_counts, topk, winnow
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
+    "op2_mixing": mixing.op2_mixing,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op5_simhash": simhash.op5_simhash,
     "op6_lm_score": pitman_yor.op6_lm_score,
@@ -14,4 +15,4 @@ QUERIES = {
     "op9_topk": topk.op9_topk,
     "op10_packing": packing.op10_packing,
 }
-ORACLES = {"op3_line_dedup": line_dedup.OP3_SQL, "op9_topk": topk.OP9_SQL}
+ORACLES = {"op2_mixing": mixing.OP2_SQL, "op3_line_dedup": line_dedup.OP3_SQL, "op9_topk": topk.OP9_SQL}
