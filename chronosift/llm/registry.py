@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from chronosift.llm import langid, line_dedup, mixing, packing, pitman_yor, simhash, token_counts, topk, winnow
+import corpus_pipeline
+from chronosift.llm import langid, line_dedup, mixing, packing, pii, pitman_yor, simhash, token_counts, topk, winnow
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_language_id": langid.op1_language_id,
     "op2_mixing": mixing.op2_mixing,
     "op3_line_dedup": line_dedup.op3_line_dedup,
+    "op4_pii": pii.op4_pii,
     "op5_simhash": simhash.op5_simhash,
     "op6_lm_score": pitman_yor.op6_lm_score,
     "op7_fingerprints": winnow.op7_fingerprints,

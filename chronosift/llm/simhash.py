@@ -211,6 +211,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of their component; of repeated rows with that id one stays.
+
+    Rows without an id go, as they can't be named as the first. Texts are shuffled once, by id.
+    """
+    found = near_duplicates(docs, shingle, radius, id_col)
+    first = found.where(F.col("component_id") == F.col("doc_id")).select(F.col("doc_id").alias(id_col)).distinct()
+    return docs.join(first.hint("shuffle_hash"), id_col, "left_semi").dropDuplicates([id_col])
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
