@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def num_patches(length: Column | int, patch: int, stride: int) -> Column:
@@ -81,22 +82,30 @@ def coordinate_encoding(position: Column, length: int, exponential: bool = False
     return 2 * F.pow(position / F.lit(float(max(1, length - 1))), F.lit(power)) - 1
 
 
-@F.pandas_udf("array<double>")
-def autocorrelation(series: pd.Series) -> pd.Series:
-    """Circular autocorrelation by FFT, over the length."""
+def _circular(x) -> np.ndarray:
+    x = np.asarray(x, float)
+    spectrum = np.fft.rfft(x)
+    return np.fft.irfft(spectrum * np.conj(spectrum), n=len(x)) / max(1, len(x))
+
+
+def _per_series(fn, series: str | Column) -> Column:
+    """A numpy function of each series; there is no built-in FFT."""
 
-    def one(x):
-        x = np.asarray(x, float)
-        spectrum = np.fft.rfft(x)
-        return np.fft.irfft(spectrum * np.conj(spectrum), n=len(x)) / max(1, len(x))
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def run(x: pd.Series) -> pd.Series:
+        return x.map(fn)
 
-    return series.map(one)
+    return run(series)
+
+
+def autocorrelation(series: str | Column) -> Column:
+    """Circular autocorrelation by FFT, over the length."""
+    return _per_series(_circular, series)
 
 
-@F.pandas_udf("array<double>")
-def amplitudes(series: pd.Series) -> pd.Series:
+def amplitudes(series: str | Column) -> Column:
     """Amplitudes of the real FFT."""
-    return series.map(lambda x: np.abs(np.fft.rfft(np.asarray(x, float))))
+    return _per_series(lambda x: np.abs(np.fft.rfft(np.asarray(x, float))), series)
 
 
 def top_delays(correlation: Column, factor: float = 1.0) -> Column:

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from chronosift.plans import queries_data, queries_series, queries_signals
+
+QUERIES: dict = {**queries_signals.Q.queries, **queries_series.Q.queries, **queries_data.Q.queries}
+ORACLES: dict = {**queries_signals.Q.oracles, **queries_series.Q.oracles, **queries_data.Q.oracles}
