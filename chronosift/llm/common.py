@@ -84,6 +84,17 @@ def text_slices(batches, limit: int = 4 << 20):
             yield ids.slice(a, b - a).to_pylist(), [x or "" for x in texts.slice(a, b - a).to_pylist()]
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them until the table has no such column."""
+    have = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in have:
+            n = f"_{n}"
+        out.append(n)
+    return out
+
+
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just the two columns that a text operator reads, whatever else the table has."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

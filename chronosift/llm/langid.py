@@ -186,4 +186,4 @@ def keep_claimed(docs: DataFrame, model: Model, least: float = 0.25, text_col: s
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = predict(docs, train(docs, crc_mod("doc_id", 4) != 2))
-    return out.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")

@@ -14,7 +14,7 @@ import functools
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronosift.llm.common import SPACES, fresh_path, written
+from chronosift.llm.common import SPACES, free_names, fresh_path, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RUN = "k1 long, k2 long, n_docs long"
@@ -96,14 +96,16 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, n_batches: int = 4,
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    row_key = [F.xxhash64(F.col(id_col), text).alias("_rk"), F.xxhash64(text, F.col(id_col)).alias("_rk2")]
+    rk, rk2, dropped = free_names(docs, "_rk", "_rk2", "_drop")
+    docs = docs.drop("kept_text", "n_lines", "n_dropped")
+    row_key = [F.xxhash64(F.col(id_col), text).alias(rk), F.xxhash64(text, F.col(id_col)).alias(rk2)]
     k1, k2 = key_hash(F.col("key"))
     lines = (
         docs.select(*row_key, F.monotonically_increasing_id().alias("uid"), F.split(text, "\n", -1).alias("parts"))
-        .select("_rk", "_rk2", "uid", F.posexplode("parts").alias("pos", "line"))
+        .select(F.col(rk).alias("rk"), F.col(rk2).alias("rk2"), "uid", F.posexplode("parts").alias("pos", "line"))
         .withColumn("key", line_key(F.col("line")))
         .where(F.col("key") != "")
-        .select("_rk", "_rk2", "uid", "pos", k1.alias("k1"), k2.alias("k2"), F.pmod("_rk", F.lit(n_batches)).cast("int").alias("batch"))
+        .select("rk", "rk2", "uid", "pos", k1.alias("k1"), k2.alias("k2"), F.pmod("rk", F.lit(n_batches)).cast("int").alias("batch"))
     )
     lines = written(lines, "lines")
     runs = LineRuns(spark, min_docs, fanout)
@@ -111,17 +113,18 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, n_batches: int = 4,
         once = lines.where(F.col("batch") == b).select("k1", "k2", "uid").distinct()
         runs.add(once.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n_docs")))
     places = (
-        lines.select("_rk", "_rk2", "pos", "k1", "k2")
+        lines.select("rk", "rk2", "pos", "k1", "k2")
         .join(runs.frequent(), ["k1", "k2"], "left_semi")
-        .groupBy("_rk", "_rk2")
-        .agg(F.collect_set("pos").alias("_drop"))
+        .groupBy("rk", "rk2")
+        .agg(F.collect_set("pos").alias("drop"))
     )
     places = written(places, "places")
-    keyed = docs.select("*", *row_key).join(places.hint("shuffle_hash"), ["_rk", "_rk2"], "left")
-    drop = F.coalesce(F.col("_drop"), F.array().cast("array<int>"))
+    places = places.toDF(rk, rk2, dropped)
+    keyed = docs.select("*", *row_key).join(places.hint("shuffle_hash"), [rk, rk2], "left")
+    drop = F.coalesce(F.col(dropped), F.array().cast("array<int>"))
     parts = F.split(text, "\n", -1)
     kept = F.when(F.size(drop) == 0, text).otherwise(F.array_join(F.filter(parts, lambda _, i: ~F.array_contains(drop, i)), "\n"))
-    return keyed.withColumns({"kept_text": kept, "n_lines": F.size(parts).cast("long"), "n_dropped": F.size(drop).cast("long")}).drop("_rk", "_rk2", "_drop")
+    return keyed.withColumns({"kept_text": kept, "n_lines": F.size(parts).cast("long"), "n_dropped": F.size(drop).cast("long")}).drop(rk, rk2, dropped)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronosift.llm.common import written
+from chronosift.llm.common import free_names, written
 
 NONE = "(none)"
 #: The production mix: shares by language and topic; languages and topics that aren't listed keep their own share, and sources are to weigh the
@@ -122,10 +122,10 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float] | None], weight: Co
     """
     spark = docs.sparkSession
     dims = list(targets)
-    named = [F.coalesce(F.col(d).cast("string"), F.lit(NONE)).alias(f"_{d}") for d in dims]
+    keys = free_names(docs, *[f"_{d}" for d in dims])
+    named = [F.coalesce(F.col(d).cast("string"), F.lit(NONE)).alias(k) for d, k in zip(dims, keys, strict=True)]
     own = docs.drop("n_tokens", "prob", "sampled").withColumn("n_tokens", weight)
     keyed = own.select("*", *named)
-    keys = [f"_{d}" for d in dims]
     cells = written(keyed.groupBy(*keys).agg(F.sum("n_tokens").alias("tokens")), "cells")
     count = cells.count()
     if count <= most_cells:

@@ -207,7 +207,7 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """doc_id, base and added: arrays of (kind, start, stop, votes), ordered by kind and start.
 
     Null texts are empty. Repeated rows are searched each and count each as evidence. Added spans are candidates that the classifier gives ``threshold``
-    or more and that overlap no base span. An empty table gives an empty table. The driver gets one row for each kind and vote pattern, under a
+    or more, that fail no checksum or range, and that overlap no base span. An empty table gives an empty table. The driver gets one row for each kind and vote pattern, under a
     thousand, whatever the corpus.
     """
     span = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("votes", pa.int32())]))
@@ -228,7 +228,7 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     accepted = []
     if counts:
         sure = classifier(counts, reliabilities(counts))
-        accepted = [F.lit(k * 1000 + _code(v)) for k, v in sorted(counts) if sure(k, v) >= threshold]
+        accepted = [F.lit(k * 1000 + _code(v)) for k, v in sorted(counts) if v[1] >= 0 and sure(k, v) >= threshold]
     allowed = F.array(*accepted) if accepted else F.array().cast("array<int>")
     return found.select("doc_id", "base", F.filter("more", lambda c: F.array_contains(allowed, c["kind"] * 1000 + c["votes"])).alias("added"))
 

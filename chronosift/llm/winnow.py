@@ -102,7 +102,7 @@ def with_next(docs: DataFrame, rows_each: int = 2000, most_parts: int = 16_384)
     that of the first; so the texts are shuffled once and no task reads more than its range. Cut points are quantiles;
     the driver gets one row for each part, ``most_parts`` at most. A null doc_id comes after all others.
     """
-    placed = docs.select(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("id"), "doc_id", "text")
+    placed = docs.select(F.coalesce(F.col("doc_id"), F.lit(-(1 << 62))).alias("id"), "doc_id", "text")
     n = placed.count()
     parts = max(1, min(most_parts, -(-n // rows_each)))
     cuts = placed.stat.approxQuantile("id", [i / parts for i in range(1, parts)], 0.1 / parts) if parts > 1 else []
