@@ -172,7 +172,7 @@ def links(fps: DataFrame, radius: int = RADIUS, shard_rows: int = 8192, sample_r
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(a, b): each linked vertex and the smallest vertex of its connected group.
+    """(a, b): each linked vertex but the smallest of its connected group, and that smallest one.
 
     Alternates large-star and small-star steps until nothing changes; each round is written, so that plans stay short and
     lost executors cost one round. A vertex with very many neighbours is only ever summed and joined.
