@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronosift.operators import detect
 
@@ -281,5 +282,5 @@ def infer(windows: DataFrame, spec: ModelSpec, weights: dict[str, np.ndarray] |
                 pdf = pdf.assign(forecast=None, rebuild_error=0.0)
             yield pdf
 
-    schema = windows.schema.add("forecast", "array<double>").add("rebuild_error", "double")
+    schema = T.StructType([*windows.schema.fields, T.StructField("forecast", T.ArrayType(T.DoubleType())), T.StructField("rebuild_error", T.DoubleType())])
     return windows.mapInPandas(run, schema)

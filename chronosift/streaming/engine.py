@@ -81,11 +81,11 @@ def counted_panes(points: DataFrame, spec: WindowSpec) -> DataFrame:
     def fire(key, batches: Iterator[pd.DataFrame], state: GroupState):
         held, pane, waiting = state.get if state.exists else ("[]", 0, 0)
         pts = json.loads(held)
-        end = key[2] + size
+        end = int(key[2]) + size
 
         def emit(kind):
             nonlocal pts, pane, waiting
-            row = (*key, pane, kind, len(pts), float(sum(v for _, v in pts)))
+            row = (key[0], key[1], int(key[2]), pane, kind, len(pts), float(sum(v for _, v in pts)))
             pane, waiting = pane + 1, 0
             pts = pts if keep else []
             return row
