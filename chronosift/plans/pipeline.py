@@ -101,7 +101,7 @@ def build_threshold(config: dict | None):
     return lambda scores, keys, order: threshold.POLICIES[kind](scores, keys, order, **config)
 
 
-DETECTORS = ("zscore", "patchtst", "reconstruction", "patchtst-infer", "reconstruction-infer", "regime-switch")
+DETECTORS = ("zscore", "patch-forecast", "reconstruction", "patch-forecast-infer", "reconstruction-infer", "regime-switch")
 
 
 def build_detector(config: dict | None):
@@ -120,7 +120,7 @@ def build_detector(config: dict | None):
     if kind == "zscore":
         return lambda pts: named(detect.zscore(pts, keys, **config)).withColumn("method", F.lit("zscore"))
     if kind == "regime-switch":
-        ahead, back = build_detector(config.get("forecast", {"type": "patchtst"})), build_detector(config.get("detective", {"type": "reconstruction"}))
+        ahead, back = build_detector(config.get("forecast", {"type": "patch-forecast"})), build_detector(config.get("detective", {"type": "reconstruction"}))
 
         def both(pts: DataFrame) -> DataFrame:
             ids = ["entity_uid", "metric_name"]

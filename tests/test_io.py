@@ -222,12 +222,12 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert {r.metric_name for r in got} == {"cpu", "mem", "__entity__"} and {r.severity for r in got} == {"critical"} and {r.ts for r in got} == {123}
 
 
-@pytest.mark.parametrize("kind", ["patchtst", "reconstruction", "regime-switch"])
+@pytest.mark.parametrize("kind", ["patch-forecast", "reconstruction", "regime-switch"])
 def test_model_detectors(spark, kind):
     pts = files.synthetic(spark, ["a"], ["cpu"], 120, anomaly_at=119).unionByName(files.synthetic(spark, ["short"], ["cpu"], 10))
     config = {"type": kind, "context_length": 16, "prediction_length": 4, "patch_length": 4, "model": "naive"}
     if kind == "regime-switch":
-        config = {"type": kind, "forecast": {**config, "type": "patchtst"}, "detective": {**config, "type": "reconstruction"}}
+        config = {"type": kind, "forecast": {**config, "type": "patch-forecast"}, "detective": {**config, "type": "reconstruction"}}
     got = {r.entity_uid: r for r in pipeline.build_detector(config)(pts).collect()}
     assert got["a"].severity == "critical" and got["a"].method != "zscore" and got["short"].method == "zscore"
 
