@@ -135,15 +135,22 @@ def sliding(df: DataFrame, keys: list[str], ts_s: str, size_s: int, slide_s: int
     return df.withColumn("win_start", F.explode(starts))
 
 
-def sample_with_replacement(df: DataFrame, n: int, weight: Column, seed: int, order: str) -> DataFrame:
-    """``n`` draws in proportion to |weight|: seeded numbers are looked up in cumulative weights by sort, not by a range join.
+def sample_with_replacement(df: DataFrame, n: int, weight: Column, seed: int, order: str, parts: int = 32) -> DataFrame:
+    """``n`` draws in proportion to |weight|: seeded numbers are looked up in cumulative weights.
 
-    The running sum is one ordered pass over all rows; use it on tables of windows, not on raw points.
+    Rows are dealt to ranges of ``order``; sums of the ranges (``parts`` rows) give each its offset, and a draw goes to its range. Within a range
+    draws and rows are merged in order, so no task sees all rows and no range join is made on them.
     """
     spark = df.sparkSession
-    cum = df.withColumn("_w", F.abs(weight)).withColumn("_hi", F.sum("_w").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
-    total = cum.agg(F.max("_hi").alias("_total"))
-    draws = spark.range(n).select(F.col("id").alias("draw"), F.rand(seed).alias("_u")).crossJoin(F.broadcast(total)).select("draw", (F.col("_u") * F.col("_total")).alias("_at"))
-    both = cum.select(F.col("_hi").alias("_at"), F.lit(None).cast("long").alias("draw"), F.struct(*df.columns).alias("_row")).unionByName(draws.withColumn("_row", F.lit(None)), allowMissingColumns=True)
-    found = both.withColumn("_row", F.first("_row", ignorenulls=True).over(Window.orderBy("_at").rowsBetween(0, Window.unboundedFollowing)))
-    return found.where("draw IS NOT NULL").select("draw", "_row.*")
+    dealt = df.repartitionByRange(parts, order).withColumn("_w", F.abs(weight)).withColumn("_part", F.spark_partition_id())
+    sums = dealt.groupBy("_part").agg(F.sum("_w").alias("_sum"))
+    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)  # over ``parts`` rows
+    spans = sums.withColumn("_hi", F.sum("_sum").over(upto)).withColumn("_lo", F.col("_hi") - F.col("_sum")).cache()
+    total = spans.agg(F.max("_hi")).first()[0] or 0.0
+    inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    cum = dealt.join(F.broadcast(spans), "_part").select("_part", (F.col("_lo") + F.sum("_w").over(inside)).alias("_at"), F.lit(None).cast("long").alias("draw"), F.struct(*df.columns).alias("_row"))
+    draws = spark.range(n).select(F.col("id").alias("draw"), (F.rand(seed) * F.lit(total)).alias("_at"))
+    draws = draws.join(F.broadcast(spans), (F.col("_at") > F.col("_lo")) & (F.col("_at") <= F.col("_hi"))).select("_part", "_at", "draw")
+    both = cum.unionByName(draws, allowMissingColumns=True)
+    found = both.withColumn("_row", F.first("_row", ignorenulls=True).over(Window.partitionBy("_part").orderBy("_at", F.desc_nulls_last("draw")).rowsBetween(0, Window.unboundedFollowing)))
+    return found.where("draw IS NOT NULL AND _row IS NOT NULL").select("draw", "_row.*")

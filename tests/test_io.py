@@ -399,3 +399,11 @@ def test_patch_transformer(spark, tmp_path):
 def test_fractional_noise_has_its_variance():
     x = files.fractional_noise(400, 0.7)
     assert 0.5 < x.std() < 1.6
+
+
+def test_weighted_sample(spark):
+    df = spark.createDataFrame([(f"k{i:03d}", float(i % 10)) for i in range(200)], "key string, w double")
+    got = windows.sample_with_replacement(df, 4000, F.col("w"), 5, "key")
+    counts = {r.w: r["count"] for r in got.groupBy("w").count().collect()}
+    assert got.count() == 4000 and 0.0 not in counts
+    assert all(abs(counts[float(d)] / 4000 - d / 45) < 0.03 for d in range(1, 10))
