@@ -407,3 +407,15 @@ def test_weighted_sample(spark):
     counts = {r.w: r["count"] for r in got.groupBy("w").count().collect()}
     assert got.count() == 4000 and 0.0 not in counts
     assert all(abs(counts[float(d)] / 4000 - d / 45) < 0.03 for d in range(1, 10))
+
+
+def test_training_helpers():
+    from chronosift.functions import training
+
+    assert training.learning_rate(3, 0.1) == 0.025 and training.learning_rate(5, 0.1, "constant") == 0.1
+    assert training.learning_rate(10, 1.0, "cut-at-10") == 0.1 and training.learning_rate(9, 1.0, "cut-at-10") == 1.0
+    assert training.learning_rate(30, 1.0, "one-cycle") == 1.0 and training.learning_rate(100, 1.0, "one-cycle") < 1e-9
+    assert training.learning_rate(2, 1.0, "hold-decay") == 1.0 and training.learning_rate(9, 1.0, "step") == 1e-6
+    with pytest.raises(ValueError, match="unknown schedule"):
+        training.learning_rate(1, 1.0, "magic")
+    assert training.steepest_descent([1, 2, 3, 4, 5, 6], [9, 8, 8.5, 6, 4, 7]) == 3
