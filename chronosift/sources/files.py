@@ -163,3 +163,45 @@ def fractional_noise(n: int, hurst: float, step: float = 1.0, seed: int = 0) ->
     cov = 0.5 * step ** (2 * hurst) * (np.abs(k + 1.0) ** (2 * hurst) - 2 * np.abs(k) ** (2 * hurst) + np.abs(k - 1.0) ** (2 * hurst))
     full = cov[np.abs(k[:, None] - k[None, :])]
     return np.linalg.cholesky(full + 1e-12 * np.eye(n)) @ np.random.default_rng(seed).standard_normal(n)
+
+
+def zipped_lines(spark: SparkSession, path: str, suffix: str = ".csv") -> DataFrame:
+    """(archive, member, line_no, line) of the text files in zip archives, one task an archive."""
+
+    def run(batches):
+        import io
+        import zipfile
+
+        for pdf in batches:
+            for archive, content in zip(pdf["path"], pdf["content"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    for member in sorted(n for n in z.namelist() if n.endswith(suffix)):
+                        with z.open(member) as f:
+                            lines = [x.rstrip("\r\n") for x in io.TextIOWrapper(f, "utf-8")]
+                        yield pd.DataFrame({"archive": archive, "member": member, "line_no": range(len(lines)), "line": lines})
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "archive string, member string, line_no long, line string")
+
+
+def npy_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(file, row, values): the rows of saved arrays, inner dimensions flattened."""
+
+    def run(batches):
+        import io
+
+        for pdf in batches:
+            for file, content in zip(pdf["path"], pdf["content"], strict=True):
+                x = np.load(io.BytesIO(content), allow_pickle=False)
+                yield pd.DataFrame({"file": file, "row": range(len(x)), "values": list(x.reshape(len(x), -1).astype(float))})
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "file string, row long, `values` array<double>")
+
+
+def seed_csv(path: str, n: int = 60, seed: int = 0) -> None:
+    """A small metrics CSV: cpu with a spike at rows 50 to 54, mem with a slope, a minute apart."""
+    g = np.random.default_rng(seed)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("ts,cpu,mem\n")
+        for i in range(n):
+            cpu = 0.95 if 50 <= i <= 54 else 0.2 + g.normal(0, 0.01)
+            f.write(f"{i * 60},{cpu:.4f},{0.4 + 0.004 * i + g.normal(0, 0.005):.4f}\n")

@@ -419,3 +419,20 @@ def test_training_helpers():
     with pytest.raises(ValueError, match="unknown schedule"):
         training.learning_rate(1, 1.0, "magic")
     assert training.steepest_descent([1, 2, 3, 4, 5, 6], [9, 8, 8.5, 6, 4, 7]) == 3
+
+
+def test_archives_arrays_and_seed(spark, tmp_path):
+    import zipfile
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x.csv", "a,1\nb,2\n")
+        z.writestr("note.txt", "no")
+    got = [(r.member, r.line_no, r.line) for r in files.zipped_lines(spark, str(tmp_path / "a.zip")).collect()]
+    assert got == [("x.csv", 0, "a,1"), ("x.csv", 1, "b,2")]
+    np.save(tmp_path / "x.npy", np.arange(12.0).reshape(3, 2, 2))
+    rows_ = sorted((r.row, list(r["values"])) for r in files.npy_rows(spark, str(tmp_path / "x.npy")).collect())
+    assert rows_[2] == (2, [8.0, 9.0, 10.0, 11.0])
+    files.seed_csv(str(tmp_path / "seed.csv"))
+    points = files.csv_points(spark, str(tmp_path / "seed.csv"), "n1")
+    found = {r.metric_name: r.severity for r in pipeline.build_detector(None)(points).collect()}
+    assert points.count() == 120 and set(found) == {"cpu", "mem"}
