@@ -163,10 +163,11 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def keep_claimed(docs: DataFrame, model: Model, least: float = 0.25, text_col: str = "text") -> DataFrame:
-    """The rows whose text some language claims with a score of ``least`` or more; ``und`` goes. All columns are kept, and nothing is shuffled.
+def keep_claimed(docs: DataFrame, model: Model, least: float = 0.5, letters: int = 200, text_col: str = "text") -> DataFrame:
+    """The rows in some language. All columns are kept, and nothing is shuffled.
 
-    The bound is far below the 0.5 of an even decision, so that short or noisy but real text stays.
+    ``und`` goes (null, empty or letterless text), and so does a text of ``letters`` letters or more that no language claims, all one-versus-rest values
+    being against it (a score under ``least``). Shorter texts are too little evidence against themselves and stay.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
@@ -177,7 +178,7 @@ def keep_claimed(docs: DataFrame, model: Model, least: float = 0.25, text_col: s
             keep = []
             for _, texts in text_slices([pa.RecordBatch.from_arrays([batch.column(at), batch.column(at)], names=["i", "t"])]):
                 names, scores = score(texts)
-                keep += [n != UNKNOWN and s >= least for n, s in zip(names, scores, strict=True)]
+                keep += [n != UNKNOWN and (s >= least or sum(map(str.isalpha, t)) < letters) for n, s, t in zip(names, scores, texts, strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

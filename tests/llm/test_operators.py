@@ -71,6 +71,12 @@ def test_keep_claimed_keeps_columns(clashing):
     assert not kept & {100, 101, 102, 103} and {7, 104, 200} <= kept
 
 
+def test_long_text_that_no_language_claims_goes(spark, docs):
+    model = langid.train(docs, F.lit(True))
+    own = spark.createDataFrame([(1, "бвгд жзкл мнпр стфх " * 40), (2, "бвгд жзкл"), (3, "the of and with that was " * 20)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in langid.keep_claimed(own, model).collect()) == [2, 3]
+
+
 # ---- 2
 
 
@@ -344,7 +350,7 @@ def test_edits(docs, rows):
 
 def test_next_across_parts(spark):
     df = spark.createDataFrame([(i, f"text {i}") for i in range(50)] + [(None, "null id")], "doc_id long, text string")
-    placed = winnow.with_next(df, rows_each=7).collect()
+    placed = winnow.with_next(df, rows_each=7)[0].collect()
     assert len({r.part for r in placed}) > 4 and sum(not r.ahead for r in placed) == 51
     out = winnow.compare_with_edits(df).count()
     assert out == 51
