@@ -97,9 +97,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0
     n, n_query, dims = rows.agg(F.count("*"), F.count(F.when(F.col("q"), 1)), F.max(F.size("v"))).first()
     n_cand_blocks, n_query_blocks = max(1, -(-n // cand_rows)), max(1, -(-(n_query or 0) // query_rows))
     # hashed blocks are within a few hundredths of each other; ids only spread, so a repeated id is spread by its vector as well
-    cand = rows.select(F.pmod(F.xxhash64("id", "v"), F.lit(n_cand_blocks)).alias("cb"), F.explode(F.sequence(F.lit(0), F.lit(n_query_blocks - 1))).alias("qb"), "id", "v")
+    # block numbers are longs on both sides: cogrouped sides are hashed as they are, and an int is dealt elsewhere than a long
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    cand = rows.select(F.pmod(F.xxhash64("id", "v"), F.lit(n_cand_blocks).cast("long")).alias("cb"), every(n_query_blocks).alias("qb"), "id", "v")
     query = rows.where("q").groupBy("id").agg(F.min("v").alias("v"))
-    query = query.select(F.explode(F.sequence(F.lit(0), F.lit(n_cand_blocks - 1))).alias("cb"), F.pmod(F.xxhash64("id"), F.lit(n_query_blocks)).alias("qb"), "id", "v")
+    query = query.select(every(n_cand_blocks).alias("cb"), F.pmod(F.xxhash64("id"), F.lit(n_query_blocks).cast("long")).alias("qb"), "id", "v")
     dims = dims or 0
 
     def matrix(v: pd.Series) -> np.ndarray:

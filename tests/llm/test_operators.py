@@ -406,6 +406,22 @@ def test_top_k(spark):
     assert got == sorted(want)
 
 
+def test_top_k_over_many_partitions(spark):
+    """Both sides of each block meet however many partitions there are."""
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(0, 0.2, (400, 6)))], "vec_id long, embedding array<double>")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        out = topk.top_k(df, F.col("vec_id") % 20 == 0, k=5, cand_rows=100, query_rows=7)
+        assert dict(out.groupBy("query_id").count().collect()) == {q: 5 for q in range(0, 400, 20)}
+        assert {c: t for c, t in out.dtypes} == {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, F.col("vec_id") % 20 == 0).count() == 0
