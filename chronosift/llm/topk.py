@@ -82,7 +82,7 @@ def search_block(cand_ids: np.ndarray, cand: np.ndarray, query_ids: np.ndarray,
     return out
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0, id_col: str = "vec_id", vector_col: str = "embedding", cand_rows: int = 16_384, query_rows: int = 2048) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0, id_col: str = "vec_id", vector_col: str = "embedding", cand_rows: int = 4096, query_rows: int = 1024) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k highest integer inner products of each query over all other rows.
 
     Queries are the rows where ``is_query`` holds. Equal scores rank by smaller vec_id; with fewer than k others all are
