@@ -95,8 +95,9 @@ def fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     return id_text(docs).mapInArrow(run, "doc_id long, hashes array<long>, positions array<long>")
 
 
-def with_next(docs: DataFrame, rows_each: int = 2000, most_parts: int = 16_384) -> DataFrame:
-    """(part, ahead, id, doc_id, text) such that, sorted by part, ahead and descending id, each document is followed by its next.
+def with_next(docs: DataFrame, rows_each: int = 2000, most_parts: int = 16_384) -> tuple[DataFrame, int]:
+    """(part, ahead, id, doc_id, text) such that, sorted by part, ahead and descending id, each document is followed by its next;
+    and the number of parts.
 
     Parts are ranges of doc_id. A part ends with a copy (``ahead`` true) of the first document of the part after it, the last part with
     that of the first; so the texts are shuffled once and no task reads more than its range. Cut points are quantiles;
@@ -126,7 +127,7 @@ def with_next(docs: DataFrame, rows_each: int = 2000, most_parts: int = 16_384)
             out.append([{"part": p, "ahead": False}] + ([{"part": goes_to[i], "ahead": True}] if i in goes_to else []))
         return pd.Series(out, dtype=object)
 
-    return placed.select(F.explode(places("id")).alias("to"), "id", "doc_id", "text").select("to.part", "to.ahead", "id", "doc_id", "text")
+    return placed.select(F.explode(places("id")).alias("to"), "id", "doc_id", "text").select("to.part", "to.ahead", "id", "doc_id", "text"), parts
 
 
 def compare_with_edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
@@ -135,9 +136,9 @@ def compare_with_edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     The next document is the one with the next smaller doc_id, after the last the first; rows of one doc_id follow each
     other in the order of their texts. A lone document is its own next. Null texts are empty. An empty table gives an empty table.
     """
-    parts = with_next(id_text(docs))
-    n_parts = parts.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    sorted_parts = parts.repartition(int(n_parts), "part").sortWithinPartitions("part", "ahead", F.desc("id"), F.desc("doc_id"), "text")
+    parts, n_parts = with_next(id_text(docs))
+    # twice as many tasks as parts: parts seldom meet in one, and a task's share doesn't grow with the table
+    sorted_parts = parts.repartition(2 * n_parts, "part").sortWithinPartitions("part", "ahead", F.desc("id"), F.desc("doc_id"), "text")
 
     def row(doc_id, text, nxt, own, following):
         n = len(text)
