@@ -40,18 +40,23 @@ def moving_average(series: Column, kernel: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(series)), lambda i: F.aggregate(F.slice(full, i, kernel), F.lit(0.0), lambda a, x: a + x) / kernel)
 
 
+def _let(value: Column, fn) -> Column:
+    """``fn`` of a value that is computed once: an expression inside a lambda would be computed for every element."""
+    return F.transform(F.array(value), fn)[0]
+
+
 def mean_var(series: Column) -> tuple[Column, Column]:
     """Mean and population variance of an array."""
     n = F.size(series)
     mean = F.aggregate(series, F.lit(0.0), lambda a, x: a + x) / n
-    return mean, F.aggregate(series, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)) / n
+    return mean, _let(mean, lambda m: F.aggregate(series, F.lit(0.0), lambda a, x: a + (x - m) * (x - m)) / n)
 
 
 def rev_in(series: Column, eps: float = 1e-5, subtract_last: bool = False) -> Column:
     """Instance normalisation: less the mean (or the last value), over the root of variance + eps."""
     mean, var = mean_var(series)
     centre = F.element_at(series, -1) if subtract_last else mean
-    return F.transform(series, lambda x: (x - centre) / F.sqrt(var + eps))
+    return _let(F.struct(centre.alias("c"), F.sqrt(var + eps).alias("d")), lambda s: F.transform(series, lambda x: (x - s["c"]) / s["d"]))
 
 
 def rev_in_inverse(normed: Column, centre: Column, var: Column, eps: float = 1e-5) -> Column:
@@ -59,9 +64,10 @@ def rev_in_inverse(normed: Column, centre: Column, var: Column, eps: float = 1e-
 
 
 def softmax(series: Column) -> Column:
-    top = F.array_max(series)
-    total = F.aggregate(series, F.lit(0.0), lambda a, x: a + F.exp(x - top))
-    return F.transform(series, lambda x: F.exp(x - top) / total)
+    def over(top: Column) -> Column:
+        return _let(F.aggregate(series, F.lit(0.0), lambda a, x: a + F.exp(x - top)), lambda total: F.transform(series, lambda x: F.exp(x - top) / total))
+
+    return _let(F.array_max(series), over)
 
 
 def roll(series: Column, shift: int) -> Column:
