@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronosift.llm import langid, line_dedup, mixing, packing, simhash
+from chronosift.llm import langid, line_dedup, mixing, packing, similar
 from chronosift.llm.common import written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -28,8 +28,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group."""
-    return simhash.keep_first(docs.select(*COLUMNS))
+    """The document with the smallest id of each group linked at a likeness of 0.8 or more of five-word shingles."""
+    return similar.keep_first(docs.select(*COLUMNS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
