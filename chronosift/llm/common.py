@@ -29,7 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing needs any more."""
     try:
         jvm = spark.sparkContext._jvm
         where = jvm.org.apache.hadoop.fs.Path(path)
@@ -41,7 +42,7 @@ def _remove(spark: SparkSession, path: str) -> None:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, removed when the driver exits."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
+    atexit.register(remove, spark, path)
     return path
 
 

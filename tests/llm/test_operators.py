@@ -137,6 +137,34 @@ def test_line_runs_compact(spark):
     for batch in ([(1, 1, 1), (2, 2, 1)], [(1, 1, 2)], [(2, 2, 1), (3, 3, 9)], [(2, 2, 1), (1, 1, 5)], [(4, 4, 2)]):
         runs.add(spark.createDataFrame(batch, line_dedup.RUN))
     assert len(runs.levels) == 3 and sorted(map(tuple, runs.frequent().collect())) == [(1, 1), (2, 2), (3, 3)]
+    held = sorted((r.k1, r.n_docs) for r in runs._read(runs.runs()).collect())
+    assert held == [(1, 1), (2, 1), (3, 9), (4, 2)]  # each line in one run, with the count of the batch that brought it
+    runs.drop()
+    assert not runs.runs() and runs.frequent().count() == 0
+
+
+def test_line_dedup_merges_batches_with_runs(spark, docs, monkeypatch):
+    """In the path of the query every batch but the first is merge-anti-joined with runs that hold lines."""
+    seen = []
+
+    class Watched(line_dedup.LineRuns):
+        def _write(self, counts):
+            plan = counts._jdf.queryExecution().executedPlan().toString()
+            seen.append((sum(self._read([n]).count() for n in self.runs()), "LeftAnti" in plan and "SortMergeJoin" in plan, len(self.levels)))
+            return super()._write(counts)
+
+    monkeypatch.setattr(line_dedup, "LineRuns", Watched)
+    line_dedup.drop_frequent_lines(docs).count()
+    joined = [held for held, anti, _ in seen if anti]
+    assert len(joined) == line_dedup.number_of_batches(0) - 1 > 3 and all(joined)
+    assert max(levels for _, _, levels in seen) > 1
+
+
+def test_line_dedup_is_linear_in_lines(spark):
+    many = "\n".join(f"line {j}" if j % 2 else f"own {j}" for j in range(60_000))
+    own = spark.createDataFrame([(i, many if i < 2 else "\n".join(f"line {j}" for j in range(60_000))) for i in range(4)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_lines, r.n_dropped) for r in line_dedup.drop_frequent_lines(own, min_docs=3).collect()}
+    assert got == {0: (60_000, 30_000), 1: (60_000, 30_000), 2: (60_000, 30_000), 3: (60_000, 30_000)}
 
 
 def test_line_dedup_odd_tables(none, clashing):
