@@ -1,17 +1,18 @@
 """Language identification with string kernels.
 
 The kernel of two texts is the number of n-grams (n = 1, 2, 3, blended) that both have, presence only, over the root of the
-product of their own numbers. Landmark texts give a Nystroem map; one-versus-rest kernel ridge regression is fitted on it. A text is
-scored from the presence of the landmarks' n-grams over its whole length, many texts at a time, by matrix products.
+product of their own numbers of distinct n-grams. Landmark texts give a Nystroem map; one-versus-rest kernel ridge regression is
+fitted on it. A text is scored over its whole length, many texts at a time, by matrix products with the landmarks.
 """
 
 from __future__ import annotations
 
 import dataclasses
+import functools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronosift.llm.common import crc_mod, id_text, text_slices
@@ -19,143 +20,123 @@ from chronosift.llm.common import crc_mod, id_text, text_slices
 UNKNOWN = "und"
 
 
-class Grams:
-    """n-gram codes of a text over the letters that training met; all else parts words (code 0), other letters are one symbol."""
-
-    def __init__(self, letters: str) -> None:
-        self.base = len(letters) + 2
-        self.symbol = np.zeros(0x10000, np.int32)
-        alphas = [c for c in range(0x10000) if chr(c).isalpha()]
-        self.letter = np.zeros(0x10000, bool)
-        self.letter[alphas] = True
-        self.symbol[alphas] = self.base - 1
-        for i, c in enumerate(letters):
-            self.symbol[ord(c)] = i + 1
-        self.size = self.base**3 + self.base**2 + self.base
-
-    def codes(self, text: str) -> np.ndarray | None:
-        """Codes with repeats, None for a text without letters."""
-        points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-        if len(points) and points.max() > 0xFFFF:
-            wide = points > 0xFFFF
-            if not self.letter[points[~wide]].any() and not any(c.isalpha() for c in text):
-                return None
-            points = np.where(wide, 0x4E00 if any(c.isalpha() for c in text) else 0x20, points)
-        elif not self.letter[points].any():
-            return None
-        b = self.base
-        s = np.concatenate([[0], self.symbol[points], [0]]).astype(np.int32)
-        two = s[:-1] * b + s[1:]
-        three = two[:-1] * b + s[2:]
-        return np.concatenate([three, two + b**3, s + (b**3 + b**2)])
+@functools.cache
+def _letters() -> np.ndarray:
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+
+
+def grams(text: str | None) -> np.ndarray | None:
+    """Distinct n-grams of a text as sorted numbers, None for a text without letters.
+
+    Letters of any script are themselves, in lower case; all else is one symbol that parts words. Each n-gram has a number of its own.
+    """
+    points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    known = _letters()[points]
+    if not known.any():
+        return None
+    s = np.concatenate([[1], np.where(known, points.astype(np.int64) + 2, 1), [1]])
+    two = (s[:-1] << 21) | s[1:]
+    three = (two[:-1] << 21) | s[2:]
+    return np.unique(np.concatenate([three, two, s]))
 
 
 @dataclasses.dataclass
 class Model:
-    letters: str
     classes: list[str]
-    table: np.ndarray  # n-gram code -> column, len(vocabulary) for those that no landmark has
-    landmarks: np.ndarray  # columns x landmarks, each landmark's presence over the root of its number
+    vocabulary: np.ndarray  # the landmarks' n-grams, sorted
+    landmarks: np.ndarray  # n-grams x landmarks: presence over the root of the landmark's number
     weights: np.ndarray  # landmarks x classes: Nystroem map and ridge weights in one
 
-    def scorer(self):
-        grams, width = Grams(self.letters), self.landmarks.shape[0]
-        first, second = self.landmarks.astype(np.float32), self.weights.astype(np.float32)
-
-        def score(texts: list[str]) -> tuple[list[str], list[float]]:
-            names, scores = [], []
-            for at in range(0, len(texts), 256):
-                some = texts[at : at + 256]
-                has = np.zeros((len(some), width + 1), np.float32)
-                known = np.zeros(len(some), bool)
-                for i, t in enumerate(some):
-                    codes = grams.codes(t) if t else None
-                    if codes is not None:
-                        known[i] = True
-                        has[i, self.table[codes]] = 1
-                has = has[:, :width]
-                kernel = (has @ first) / np.sqrt(np.maximum(has.sum(axis=1), 1))[:, None]
-                margin = kernel @ second
-                best = margin.argmax(axis=1)
-                top = margin[np.arange(len(some)), best]
-                for i in range(len(some)):
-                    names.append(self.classes[best[i]] if known[i] else UNKNOWN)
-                    scores.append(float(np.clip((top[i] + 1) / 2, 0, 1)) if known[i] else 0.0)
-            return names, scores
-
-        return score
-
-
-def fit(texts: list[str], langs: list[str], n_landmarks: int, max_letters: int = 120, ridge: float = 1e-2) -> Model:
-    """One-versus-rest kernel ridge regression on ``n_landmarks`` Nystroem landmarks, spread evenly over the languages."""
-    counts: dict[str, int] = {}
-    for t in texts:
-        for c in t.lower():
-            if c.isalpha() and c <= "￿":
-                counts[c] = counts.get(c, 0) + 1
-    letters = "".join(sorted(sorted(counts, key=lambda c: (-counts[c], c))[:max_letters]))
-    grams = Grams(letters)
-    codes = [grams.codes(t) for t in texts]
-    rows = [i for i, c in enumerate(codes) if c is not None]
-    codes, langs = [np.unique(codes[i]) for i in rows], [langs[i] for i in rows]
+    def kernel(self, sets: list[np.ndarray]) -> np.ndarray:
+        """Kernel values of texts, given as sets of n-grams, with the landmarks."""
+        width = len(self.vocabulary)
+        has = np.zeros((len(sets), width + 1), np.float32)
+        for i, own in enumerate(sets):
+            at = np.searchsorted(self.vocabulary, own)
+            at[at == width] = width - 1 if width else 0
+            has[i, at[self.vocabulary[at] == own] if width else at[:0]] = 1
+        return (has[:, :width] @ self.landmarks) / np.sqrt([max(1, len(own)) for own in sets])[:, None]
+
+    def score(self, texts: list[str]) -> tuple[list[str], list[float]]:
+        names, scores = [], []
+        for at in range(0, len(texts), 256):
+            sets = [grams(t) for t in texts[at : at + 256]]
+            margin = self.kernel([own if own is not None else np.zeros(0, np.int64) for own in sets]) @ self.weights
+            best = margin.argmax(axis=1)
+            top = np.clip((margin.max(axis=1) + 1) / 2, 0, 1)
+            names += [UNKNOWN if own is None else self.classes[b] for own, b in zip(sets, best, strict=True)]
+            scores += [0.0 if own is None else float(x) for own, x in zip(sets, top, strict=True)]
+        return names, scores
+
+
+def fit(sets: list[np.ndarray], langs: list[str], n_landmarks: int, ridge: float = 1e-2) -> Model:
+    """One-versus-rest kernel ridge regression on ``n_landmarks`` Nystroem landmarks, spread evenly over the languages, one each at least.
+
+    Texts come as sets of n-grams. Each language weighs the same, however many texts it has.
+    """
     classes = sorted(set(langs))
     if not classes:
-        return Model(letters, [UNKNOWN], np.zeros(grams.size, np.int32), np.zeros((0, 1)), np.zeros((1, 1)))
-    each = max(1, n_landmarks // len(classes))
-    picked = [i for c in classes for i in [j for j, x in enumerate(langs) if x == c][:each]]
-    vocabulary = np.unique(np.concatenate([codes[i] for i in picked]))
-    table = np.full(grams.size, len(vocabulary), np.int32)
-    table[vocabulary] = np.arange(len(vocabulary))
-    has = np.zeros((len(codes), len(vocabulary) + 1), np.float32)
-    for i, c in enumerate(codes):
-        has[i, table[c]] = 1
-    has = has[:, :-1]
-    unit = has / np.sqrt(np.maximum(has.sum(axis=1), 1))[:, None]
-    marks = unit[picked].astype(np.float64)
-    kernel = unit.astype(np.float64) @ marks.T
-    values, vectors = np.linalg.eigh(marks @ marks.T)
-    keep = values > 1e-8 * values.max()
+        return Model([UNKNOWN], np.zeros(0, np.int64), np.zeros((0, 1), np.float32), np.zeros((1, 1), np.float32))
+    own = {c: [i for i, x in enumerate(langs) if x == c] for c in classes}
+    picked = [i for c in classes for i in own[c][: max(1, n_landmarks // len(classes))]]
+    vocabulary = np.unique(np.concatenate([sets[i] for i in picked]))
+    marks = np.zeros((len(vocabulary), len(picked)), np.float32)
+    for j, i in enumerate(picked):
+        marks[np.searchsorted(vocabulary, sets[i]), j] = len(sets[i]) ** -0.5
+    model = Model(classes, vocabulary, marks, np.zeros((len(picked), len(classes)), np.float32))
+    kernel = np.concatenate([model.kernel(sets[i : i + 256]) for i in range(0, len(sets), 256)]).astype(float)
+    among = kernel[picked]
+    values, vectors = np.linalg.eigh((among + among.T) / 2)
+    keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
     z = kernel @ root
     y = np.where(np.array(langs)[:, None] == np.array(classes)[None, :], 1.0, -1.0)
-    weight = np.sqrt(len(langs) / np.array([langs.count(x) for x in langs]))[:, None]  # rare languages count as much
-    beta = np.linalg.solve((z * weight).T @ (z * weight) + ridge * len(langs) / len(classes) * np.eye(z.shape[1]), (z * weight).T @ (y * weight))
-    return Model(letters, classes, table, marks.T, root @ beta)
+    weight = np.array([len(langs) / len(own[x]) for x in langs])[:, None]
+    beta = np.linalg.solve((z * weight).T @ z + ridge * len(langs) / len(classes) * np.eye(z.shape[1]), (z * weight).T @ y)
+    model.weights = (root @ beta).astype(np.float32)
+    return model
+
+
+def _sets(rows: DataFrame) -> DataFrame:
+    """Rows (l, t) as (l, size, grams); texts without letters go."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                own = grams(batch.column(1)[i].as_py())
+                if own is not None:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([own], pa.list_(pa.int64()))], names=["l", "grams"])
+
+    return rows.mapInArrow(run, "l string, grams array<long>")
 
 
-def train(docs: DataFrame, rows: Column, each: int = 250, n_landmarks: int = 240, max_langs: int = 200, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit on ``each`` rows of each language at most, those of ``rows`` with the smallest hash of their id.
+def train(docs: DataFrame, rows: Column, each: int = 250, n_landmarks: int = 240, text_col: str = "text", lang_col: str = "lang") -> Model:
+    """Fit on the ``each`` different texts of each language, among ``rows``, whose hashes are smallest.
 
-    The bounds: ``each`` texts for each of ``max_langs`` languages (the most frequent) reach the driver; every language with any labelled row is
-    learned up to that. Rows with a null text or language are not learned from.
+    Every language that any labelled row has is learned. A text that is repeated under a language counts once, so copies crowd nothing out. Rows with a null text or
+    language, and texts without letters, are not learned from. The bound: sets of n-grams of ``each`` whole texts a language reach the driver; a set holds what n-grams
+    there are, however long the text. Without labelled rows every text is ``und``.
     """
-    known = docs.where(rows & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("l"), F.col(text_col).alias("t"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(id_col).alias("i"))
-    sizes = known.groupBy("l").count().orderBy(F.desc("count"), "l").limit(max_langs).collect()
-    if not sizes:
-        return fit([], [], n_landmarks)
-    # hashes are even over the longs, so this share holds ``each`` rows and some more
-    pick = F.lit(False)
-    for r in sizes:
-        share = min(1.0, (each + 6 * each**0.5) / r["count"])
-        pick = pick | ((F.col("l") == r["l"]) & (F.lit(True) if share >= 1 else F.col("h") < int(-(1 << 63) + share * (1 << 64))))
-    found = sorted((r.l, r.h, str(r.i), r.t) for r in known.where(pick).collect())
-    chosen: dict[str, list[str]] = {}
-    for lang, _, _, text in found:
-        if len(chosen.setdefault(lang, [])) < each:
-            chosen[lang].append(text)
-    return fit([t for x in chosen.values() for t in x], [lang for lang, x in chosen.items() for _ in x], n_landmarks)
+    known = docs.where(rows & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(lang_col).cast("string").alias("l"), F.col(text_col).cast("string").alias("t")).withColumn("h", F.xxhash64("t"))
+    # hashes are even over the longs: this share of them holds ``each`` texts and some more, so few rows are sorted
+    sizes = known.groupBy("l").agg(F.approx_count_distinct("h", 0.03).alias("n")).withColumn("most", F.lit(-(2.0**63)) + F.least(F.lit(1.0), F.lit(1.2 * each + 8 * each**0.5) / F.col("n")) * 2.0**64)
+    near = known.join(sizes, "l").where(F.col("h") <= F.col("most"))
+    texts = near.groupBy("l", "h").agg(F.min("t").alias("t"))
+    first = texts.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("h", "t"))).where(F.col("r") <= each)
+    found = [(r.l, i, np.array(r.grams)) for i, r in enumerate(_sets(first.orderBy("l", "r").select("l", "t")).collect())]
+    return fit([g for _, _, g in found], [lang for lang, _, _ in found], n_landmarks)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred and score (0 to 1) of every whole text; ``und`` and 0 where it is null, empty or has no letter.
 
     The score is the winning one-versus-rest value, from -1..1 to 0..1: 0.5 or less means that no language claims the text. Repeated rows are
-    scored each; an empty table gives an empty table. Only the text is read.
+    scored each; an empty table gives an empty table. Only the text is read, the whole of it: time and memory of a very long one are in proportion.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)  # its size follows letters, landmarks and languages, not the corpus
+    held = docs.sparkSession.sparkContext.broadcast(model)  # its size follows the landmarks' n-grams and the languages, not the corpus
 
     def run(batches):
-        score = held.value.scorer()
+        score = held.value.score
         for ids, texts in text_slices(batches):
             names, scores = score(texts)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
@@ -166,14 +147,14 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 def keep_claimed(docs: DataFrame, model: Model, least: float = 0.5, letters: int = 200, text_col: str = "text") -> DataFrame:
     """The rows in some language. All columns are kept, and nothing is shuffled.
 
-    ``und`` goes (null, empty or letterless text), and so does a text of ``letters`` letters or more that no language claims, all one-versus-rest values
+    Repeated rows share their fate; an empty table stays empty. ``und`` goes (null, empty or letterless text), and so does a text of ``letters`` letters or more that no language claims, all one-versus-rest values
     being against it (a score under ``least``). Shorter texts are too little evidence against themselves and stay.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
     def run(batches):
-        score = held.value.scorer()
+        score = held.value.score
         for batch in batches:
             keep = []
             for _, texts in text_slices([pa.RecordBatch.from_arrays([batch.column(at), batch.column(at)], names=["i", "t"])]):

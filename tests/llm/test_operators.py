@@ -43,19 +43,54 @@ def test_language_id(docs, rows):
     assert langid.predict(docs, model).count() == len(rows)
 
 
-def test_language_kernel_is_presence_of_ngrams():
-    texts = ["abc abd", "xyz xyw", "abd bcd", "xyy yzz"]
-    model = langid.fit(texts, ["a", "x", "a", "x"], 4)
-    grams = langid.Grams(model.letters)
-
-    def kernel(s, t):
-        a, b = set(grams.codes(s).tolist()), set(grams.codes(t).tolist())
-        return len(a & b) / math.sqrt(len(a) * len(b))
-
-    names, _ = model.scorer()(["abcd", "xyzw", "", "123"])
-    assert names == ["a", "x", "und", "und"]
-    marks = model.landmarks
-    assert np.allclose((marks.T @ marks)[0, 1], kernel(texts[0], texts[2]), atol=1e-6)
+def plain_grams(text):
+    """Letters in lower case, all else a gap; the distinct n-grams of n = 1 to 3 as strings."""
+    s = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + " "
+    return {s[i : i + n] for n in (1, 2, 3) for i in range(len(s) - n + 1)}
+
+
+def plain_kernel(s, t):
+    a, b = plain_grams(s), plain_grams(t)
+    return len(a & b) / math.sqrt(len(a) * len(b))
+
+
+def test_language_scores_are_kernel_ridge(spark):
+    """With every training text a landmark, the Nystroem map is exact: scores are those of plain weighted kernel ridge regression."""
+    rows = [(i, t, x) for i, (t, x) in enumerate([("abc abd", "a"), ("xyz xyw", "x"), ("abd bcd", "a"), ("xyy yzz", "x"), ("ab dd", "a"), ("中文 文字", "zh"), ("文本 中文", "zh")])]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), n_landmarks=300)
+    texts, langs = [t for _, t, _ in rows], [x for _, _, x in rows]
+    classes = sorted(set(langs))
+    k = np.array([[plain_kernel(s, t) for t in texts] for s in texts])
+    y = np.array([[1.0 if x == c else -1.0 for c in classes] for x in langs])
+    shrink = np.diag([1e-2 * langs.count(x) / len(classes) for x in langs])  # ridge * n / classes over the weight n / n_l
+    alpha = np.linalg.solve(k + shrink, y)
+    new = ["abcd", "xyzw words", "文", "zzz 12 qqq", "", "123", "a" * 5000 + " bcd"]
+    got = langid.predict(spark.createDataFrame([(i, t) for i, t in enumerate(new)], "doc_id long, text string"), model)
+    for r in got.collect():
+        if not any(c.isalpha() for c in new[r.doc_id]):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        margin = np.array([plain_kernel(new[r.doc_id], t) for t in texts]) @ alpha
+        assert r.lang_pred == classes[int(margin.argmax())]
+        assert abs(r.score - min(1, max(0, (margin.max() + 1) / 2))) < 2e-3
+
+
+def test_junk_lowers_the_score(docs):
+    model = langid.train(docs, F.lit(True))
+    own = "the cat sat on the mat and it was there"
+    rng = np.random.default_rng(0)
+    junk = " ".join("".join(rng.choice([*"qzxjkvwбгд"], 7)) for _ in range(200))
+    assert model.score([own + " " + junk])[1][0] < model.score([own])[1][0] - 0.05
+
+
+def test_repeated_rows_crowd_out_no_language(spark):
+    rng = np.random.default_rng(3)
+    words = {"en": "the of and to in is that".split(), "fr": "le la les des et que dans".split(), "zh": "中文 文字 我们 他们 这个 语言".split(), "ja": "これは それは ひらがな です ます".split()}
+    say = lambda x, n: " ".join(rng.choice(words[x], n))
+    rows = [(7, say("fr", 30), "fr")] * 3000 + [(100 + i, say(x, 30), x) for i in range(400) for x in ("en", "zh", "ja")]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), each=50)
+    assert model.classes == ["en", "fr", "ja", "zh"]
+    assert model.score([say(x, 12) for x in ("en", "fr", "ja", "zh")])[0] == ["en", "fr", "ja", "zh"]
 
 
 def test_language_of_nothing(none):
