@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import gc
 import tempfile
 import uuid
 
@@ -56,6 +58,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def collector_off():
+    """No walks of Python's cycle collector over large tables without cycles; it is as before afterwards, since workers are used again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def crc_mod(col: str | Column, n: int) -> Column:
     """crc32 of the column as text, modulo n."""
     return F.crc32(F.col(col).cast("string").cast("binary") if isinstance(col, str) else col.cast("string").cast("binary")) % F.lit(n)

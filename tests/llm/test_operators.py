@@ -341,27 +341,162 @@ def test_language_model(docs, rows):
     text = {r[0]: r[1] for r in rows}
     for r in out:
         w = words(text[r.doc_id])
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (crc(r.doc_id, 10) == 0, len(w), sum(x in c for x in w), n)
+        assert (r.learnt, r.n_tokens, r.n_known, r.train_tokens) == (crc(r.doc_id, 10) != 0, len(w), sum(x in c for x in w), n)
         assert abs(r.base_score - sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)) < 1e-6 * len(w) + 1e-9
-    held = [r for r in out if r.held_out]
+    held = [r for r in out if not r.learnt]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_scores_hang_on_no_partition(clashing):
+    learn = crc_mod("doc_id", 10) != 0
+    a = pitman_yor.score(clashing, learn, shards=2).collect()
+    b = pitman_yor.score(clashing.repartition(5), learn, shards=37, chunk_tokens=700).collect()
+    key = lambda rows: sorted((r.doc_id, r.n_tokens, r.n_known, r.base_score, r.score) for r in rows)
+    assert np.allclose(np.array(key(a)), np.array(key(b)), atol=1e-9)
+
+
+def seated(text, contexts, sweeps, model=pitman_yor.MODEL, hyper=False):
+    """The distributed sampler's own steps over two shards, without Spark; the last half of the sweeps are samples. Returns shards, samples, hypers."""
+    docs = [(0, True, pitman_yor.tokens(text))]
+    _, asked = pitman_yor._chunk(docs, 2, contexts)
+    shards = [pitman_yor.Shard.of([pitman_yor._unpack(b)], contexts)[0] for _, b in asked]
+
+    def total(d, theta):
+        by_part = collections.defaultdict(list)
+        for s in shards:
+            for part, b in s.sums(contexts, 4):
+                by_part[part].append(b)
+        return pitman_yor.corpus_totals([pitman_yor._unpack(pitman_yor._added(by_part[i], i == 4)) if i in by_part else None for i in range(5)], contexts, d, theta)
+
+    now, _ = total(model["d"], model["theta"])
+    samples, drawn = [], []
+    for stream in range(sweeps):
+        for s in shards:
+            s.sweep(now, stream, model["unknown"], model["reseats"])
+        now, sizes = total(now.d, now.theta)
+        if stream * 2 >= sweeps:
+            samples.append(now)
+            for s in shards:
+                s.samples += [x.astype(np.uint32) for x in s.tables()]
+        if hyper:
+            now = pitman_yor.resampled(now, sizes, stream)
+            drawn.append((now.d, now.theta))
+    return shards, samples, drawn
+
+
+def plain_sampler(text, contexts, sweeps, model=pitman_yor.MODEL):
+    """Hierarchical Pitman-Yor by the book: one customer leaves and is seated again, through all levels, in one process."""
+    rng = np.random.default_rng(5)
+    words = pitman_yor.tokens(text)
+    pairs = [(pitman_yor.context(a, contexts), b) for a, b in zip([b"", *words], words, strict=False)]
+    names = sorted(set(words))
+    known = (1 - model["unknown"]) / len(names)
+    rooms = collections.defaultdict(lambda: collections.defaultdict(list))  # restaurant -> dish -> sizes
+
+    def up(r):
+        return ("class", r[1] // (contexts // pitman_yor.CLASSES)) if r[0] == "ctx" else ("root",)
+
+    level = {"ctx": 0, "class": 1, "root": 2}
+
+    def p(r, w):
+        i = level[r[0]]
+        below = p(up(r), w) if i < 2 else known
+        n, t = sum(map(sum, rooms[r].values())), sum(map(len, rooms[r].values()))
+        own = rooms[r][w]
+        return (sum(own) - model["d"][i] * len(own) + (model["theta"][i] + model["d"][i] * t) * below) / (model["theta"][i] + n)
+
+    def sit(r, w):
+        i, own = level[r[0]], rooms[r][w]
+        t = sum(map(len, rooms[r].values()))
+        odds = [n - model["d"][i] for n in own] + [(model["theta"][i] + model["d"][i] * t) * (p(up(r), w) if i < 2 else known)]
+        k = rng.choice(len(odds), p=np.array(odds) / sum(odds))
+        if k < len(own):
+            own[k] += 1
+        else:
+            own.append(1)
+            if i < 2:
+                sit(up(r), w)
+
+    def leave(r, w):
+        own = rooms[r][w]
+        k = rng.choice(len(own), p=np.array(own) / sum(own))
+        own[k] -= 1
+        if not own[k]:
+            own.pop(k)
+            if level[r[0]] < 2:
+                leave(up(r), w)
+
+    for u, w in pairs:
+        sit(("ctx", u), w)
+    total = collections.Counter()
+    for n in range(sweeps):
+        for u, w in pairs:
+            leave(("ctx", u), w)
+            sit(("ctx", u), w)
+        if n * 2 >= sweeps:
+            for u, w in set(pairs):
+                total[u, w] += p(("ctx", u), w)
+    kept = sweeps - (sweeps + 1) // 2
+    return {k: v / kept for k, v in total.items()}, pairs
+
+
+def test_sampler_agrees_with_the_book():
+    """Averaged predictive probabilities against a single-process sampler, discounts and strengths held."""
+    rng = np.random.default_rng(7)
+    words = "the cat sat on mat and dog ran to park".split()
+    text = " ".join(rng.choice(words, 260, p=np.array([9, 5, 4, 4, 3, 3, 2, 2, 1, 1]) / 34))
+    contexts = 4096
+    want, pairs = plain_sampler(text, contexts, 60)
+    shards, samples, _ = seated(text, contexts, 120)
+    got = {}
+    by_hash = {xxhash.xxh64_intdigest(w): w for _, w in pairs}
+    for s in shards:
+        logs, _ = s.answers(samples, pitman_yor.MODEL["unknown"])
+        got.update({(int(u), by_hash[int(s.names[w])]): 10.0 ** float(x) for u, w, x in zip(s.ctx, s.word, logs, strict=True)})
+    assert got.keys() == want.keys()
+    a, b = np.array([got[k] for k in want]), np.array([want[k] for k in want])
+    assert abs(np.log10(a).sum() - np.log10(b).sum()) / len(a) < 0.02
+    assert np.abs(a - b).max() < 0.05 and np.abs(a - b).mean() < 0.01
+
+
 def test_probabilities_of_a_context_sum_to_one():
     names = np.arange(1, 30, dtype=np.uint64)
     rng = np.random.default_rng(0)
-    ctxs = 3
-    counts = rng.integers(0, 40, (29, ctxs)).astype(np.uint32)
+    ctxs = np.array([5, 6, 4000], np.uint32)
+    counts = rng.integers(0, 40, (29, 3)).astype(np.uint32)
     counts[-1] = 0  # the one word that isn't known
     counts[3, 1] = 5000
-    asked = [[names, np.full(29, ctxs, np.uint16), np.tile(np.arange(ctxs, dtype=np.uint16), 29), counts.ravel()]]
-    shard = pitman_yor.Shard(asked, 8, 1, 0, pitman_yor.MODEL)
-    totals = {(r.s, r.slot): (r.c, r.t) for r in shard.totals().itertuples()}
-    logs, _ = pitman_yor._unpack(shard.answers(totals)[0])
-    p = 10.0 ** logs.astype(float).reshape(29, ctxs)
-    assert np.allclose(p.sum(axis=0), 1, atol=1e-5)
-    tables = shard.samples[0][0]
-    assert (tables <= shard.c).all() and (tables >= np.minimum(shard.c, 1)).all()
+    shard, _ = pitman_yor.Shard.of([[names, np.full(29, 3, np.uint32), np.tile(ctxs, 29), counts.ravel()]], 4096)
+    for stream in range(4):
+        sums = dict(shard.sums(4096, 4))
+        now, sizes = pitman_yor.corpus_totals([pitman_yor._unpack(sums[i]) if i in sums else None for i in range(5)], 4096, *([now.d, now.theta] if stream else [pitman_yor.MODEL["d"], pitman_yor.MODEL["theta"]]))
+        if stream:
+            shard.samples += [x.astype(np.uint32) for x in shard.tables()]
+            logs, _ = shard.answers([now], 0.5)
+            shard.samples = []
+            assert np.allclose((10.0 ** logs.astype(float)).reshape(29, 3).sum(axis=0), 1, atol=1e-5)
+            for seats, people in zip(shard.seats, [shard.c[shard.many], *shard._above(shard.tables()[0])], strict=True):
+                assert (seats.customers() == people).all() and (seats.sizes > 0).all()
+        now = pitman_yor.resampled(now, sizes, stream)
+        assert all(0 < d < 1 for d in now.d) and all(x > 0 for x in now.theta)
+        shard.sweep(now, stream, 0.5, 8)
+
+
+def test_discount_follows_the_text():
+    """Many words met once ask for a high discount, a few words met often for a low one."""
+    rng = np.random.default_rng(1)
+    rare = " ".join(f"w{i}" for i in rng.zipf(1.4, 2500))
+    few = " ".join(rng.choice([*"abcdef"], 2500))
+    d = [np.mean([x[0][0] for x in seated(t, 4096, 20, hyper=True)[2][10:]]) for t in (rare, few)]
+    assert d[0] > d[1] + 0.2
+
+
+def test_coins_beyond_the_exact_ones():
+    rng = np.random.default_rng(0)
+    sizes, counts = np.array([5, 900, 5000]), np.array([10, 3, 2])
+    a = np.mean([pitman_yor._heads(rng, sizes, counts, lambda j: 0.3 / (j - 0.7)) for _ in range(300)])
+    b = np.mean([pitman_yor._heads(rng, sizes, counts, lambda j: 0.3 / (j - 0.7), exact=100) for _ in range(300)])
+    assert abs(a - b) < 0.5
 
 
 def test_language_model_of_nothing(none, docs):
