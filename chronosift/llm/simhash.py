@@ -1,9 +1,9 @@
 """SimHash near-duplicates, paired exactly with vantage-point trees.
 
-A tree over a bounded sample of distinct fingerprints cuts the Hamming space into shards: a node has a vantage point and a
-radius, fingerprints within the radius go inside, the others outside. By the triangle bound a pair at distance <= r can be
-parted only if the inner one is within r of the boundary; such fingerprints are sent to both sides. So every pair
-meets in some shard. A shard finds its pairs exactly, with two more vantage points to skip what the bounds exclude, and gives
+A tree cuts the Hamming space into shards: a node has a vantage point and a radius, fingerprints within the radius go inside, the
+others outside. By the triangle bound a pair at distance <= r can be parted only if the inner one is within r of the boundary; such
+fingerprints are sent to both sides. So every pair meets in some shard. Shards that are too large grow a subtree, from vantage
+points sampled among their own, until all fit; one that no vantage point cuts is compared in blocks, each pair of blocks a task. A shard finds its pairs exactly, with two more vantage points to skip what the bounds exclude, and gives
 one link for each fingerprint to its group there, never all pairs. Groups of shards are joined by large-star and
 small-star rounds over the links.
 """
@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronosift.llm.common import id_text, written
+from chronosift.llm.common import id_text, text_slices, written
 
 #: Words of a shingle, and differing bits of linked fingerprints.
 SHINGLE, RADIUS = 3, 3
@@ -47,41 +47,72 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
     """doc_id and fp (the 64 bits as a signed long) of every whole text; null and empty texts have 0."""
 
     def run(batches):
-        for batch in batches:
-            made = np.array([fingerprint(t or "", shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made.view(np.int64))], names=["doc_id", "fp"])
+        for ids, texts in text_slices(batches):
+            made = np.array([fingerprint(t, shingle) for t in texts], np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(made.view(np.int64))], names=["doc_id", "fp"])
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
 
 
+def plant(sample: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Vantage points and radii of ``depth`` levels in heap order, fitted to a sample of a shard's fingerprints."""
+    point = np.zeros((1 << depth) - 1, np.uint64)
+    cut = np.full((1 << depth) - 1, 64, np.int64)
+    rows = [sample]
+    for node in range(len(point)):
+        own = rows[node]
+        if len(own) > 1:
+            # the vantage point whose distances spread most: fewest fingerprints near the boundary
+            tries = own[np.linspace(0, len(own) - 1, 8).astype(int)]
+            apart = np.bitwise_count(own[None, :] ^ tries[:, None]).astype(np.int64)
+            best = int(apart.std(axis=1).argmax())
+            point[node], cut[node] = tries[best], int(np.median(apart[best]))
+        inside = np.bitwise_count(own ^ point[node]) <= cut[node]
+        rows += [own[inside], own[~inside]]
+    return point, cut
+
+
 class Tree:
-    """A vantage-point tree of ``depth`` levels in heap order; shards are numbered by their path."""
-
-    def __init__(self, sample: np.ndarray, depth: int, radius: int) -> None:
-        self.depth, self.radius = depth, radius
-        self.point = np.zeros((1 << depth) - 1, np.uint64)
-        self.cut = np.full((1 << depth) - 1, 64, np.int64)
-        rows = [sample]
-        for node in range(len(self.point)):
-            own = rows[node]
-            if len(own) > 1:
-                # the vantage point whose distances spread most: fewest fingerprints near the boundary
-                tries = own[np.linspace(0, len(own) - 1, 8).astype(int)]
-                apart = np.bitwise_count(own[None, :] ^ tries[:, None]).astype(np.int64)
-                best = int(apart.std(axis=1).argmax())
-                self.point[node], self.cut[node] = tries[best], int(np.median(apart[best]))
-            inside = np.bitwise_count(own ^ self.point[node]) <= self.cut[node]
-            rows += [own[inside], own[~inside]]
+    """Vantage points with a radius each, and where their two sides lead: to a node, or (negative) to a shard. It starts as one shard, -1."""
+
+    def __init__(self, radius: int) -> None:
+        self.radius, self.root, self.last = radius, -1, -1
+        self.point, self.cut = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.sides = np.zeros((0, 2), np.int64)  # inside, outside
+
+    def grow(self, shard: int, point: np.ndarray, cut: np.ndarray) -> list[int]:
+        """Put a subtree in heap order in the place of a shard; the new shards."""
+        at, n = len(self.point), len(point)
+        child = 2 * np.arange(n)[:, None] + [1, 2]
+        new = [self.last - 1 - i for i in range(n + 1)]
+        sides = np.where(child < n, child + at, np.array(new)[np.clip(child - n, 0, n)])
+        if self.root == shard:
+            self.root = at
+        self.sides[self.sides == shard] = at
+        self.point, self.cut, self.sides = np.concatenate([self.point, point]), np.concatenate([self.cut, cut]), np.concatenate([self.sides, sides])
+        self.last = new[-1]
+        return new
 
     def route(self, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index, shard) for every shard that each fingerprint goes to."""
-        index, node = np.arange(len(fps)), np.zeros(len(fps), np.int64)
-        for _ in range(self.depth):
+        index, node = np.arange(len(fps)), np.full(len(fps), self.root)
+        ended: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(node):
+            there = node < 0
+            ended.append((index[there], node[there]))
+            index, node = index[~there], node[~there]
             d = np.bitwise_count(fps[index] ^ self.point[node]).astype(np.int64)
-            inside, near = d <= self.cut[node], d > self.cut[node] - self.radius
-            both = inside & near
-            node, index = np.concatenate([2 * node + 2 - inside, 2 * node[both] + 2]), np.concatenate([index, index[both]])
-        return index, node - ((1 << self.depth) - 1)
+            inside = d <= self.cut[node]
+            both = inside & (d > self.cut[node] - self.radius)
+            node, index = np.concatenate([self.sides[node, 1 - inside], self.sides[node[both], 1]]), np.concatenate([index, index[both]])
+        return np.concatenate([i for i, _ in ended]), np.concatenate([n for _, n in ended])
+
+
+def _spread(x: np.ndarray) -> np.ndarray:
+    """Fingerprints spread evenly over 64 bits, for samples and blocks."""
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
 
 
 def groups_within(fps: np.ndarray, radius: int) -> np.ndarray:
@@ -145,22 +176,72 @@ def groups_within(fps: np.ndarray, radius: int) -> np.ndarray:
     return out
 
 
+def _drawing(share: dict[int, float]):
+    """Keeps rows (shard, fp) with the shard's chance, by hash."""
+
+    def run(frames):
+        for pdf in frames:
+            even = (_spread(pdf["fp"].to_numpy(np.int64).view(np.uint64)) >> np.uint64(11)).astype(float) * 2.0**-53
+            yield pdf[even < pdf["shard"].map(share)]
+
+    return run
+
+
+def _planting(depth: dict[int, int]):
+    """A subtree for the sample of one shard."""
+
+    def run(key, pdf):
+        point, cut = plant(np.sort(pdf["fp"].to_numpy(np.int64)).view(np.uint64), depth[key[0]])
+        return pd.DataFrame({"shard": key[0], "point": [point.view(np.int64).tolist()], "cut": [cut.tolist()]})
+
+    return run
+
+
 def links(fps: DataFrame, radius: int = RADIUS, shard_rows: int = 8192, sample_rows: int = 16_384) -> DataFrame:
     """Links (a, b), a > b, whose connected groups are those of all pairs of distinct fp at <= radius.
 
-    ``fps`` has one column fp of distinct longs. The tree is fitted on the ``sample_rows`` fingerprints with the smallest hash, a bound on what
-    the driver gets; every fingerprint is routed. The depth follows the count, as far as the sample fills the tree.
+    ``fps`` has one column fp of distinct longs. Shards hold ``shard_rows`` at most, or ``sample_rows`` rows are drawn of each that doesn't (by hash, in one task a
+    shard) and it grows a subtree. The driver holds the tree only: 32 bytes for each shard. A shard that a subtree leaves whole is compared in blocks.
     """
+    tree, blocks = Tree(radius), {}
     n = fps.count()
-    depth = max(0, min(int(np.ceil(np.log2(max(1, n / shard_rows)))), int(np.log2(sample_rows / 64))))
-    sample = [r.fp for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(sample_rows).collect()] if depth else []
-    tree = Tree(np.array(sample, np.int64).view(np.uint64), depth, radius)
-
-    def send(batches):
-        for batch in batches:
-            own = batch.column(0).to_numpy(zero_copy_only=False)
-            index, shard = tree.route(own.view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(own[index])], names=["shard", "fp"])
+    size = {-1: n} if n > shard_rows else {}
+
+    def routed(tree: Tree, only: set[int] | None = None) -> DataFrame:
+        def send(batches):
+            for batch in batches:
+                own = batch.column(0).to_numpy(zero_copy_only=False)
+                index, shard = tree.route(own.view(np.uint64))
+                if only is not None:
+                    wanted = np.isin(shard, list(only))
+                    index, shard = index[wanted], shard[wanted]
+                yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(own[index])], names=["shard", "fp"])
+
+        return fps.mapInArrow(send, "shard long, fp long")
+
+    while size:
+        share = {s: min(1.0, sample_rows / n) for s, n in size.items()}
+        depth = {s: int(np.clip(np.ceil(np.log2(n / shard_rows)), 1, np.log2(max(128, sample_rows) / 64))) for s, n in size.items()}
+
+        sample = routed(tree, set(size)).mapInPandas(_drawing(share), "shard long, fp long")
+        found = sample.groupBy("shard").applyInPandas(_planting(depth), "shard long, point array<long>, cut array<long>")
+        came: dict[int, int] = {}
+        for r in sorted(found.collect(), key=lambda r: r.shard):
+            came.update(dict.fromkeys(tree.grow(r.shard, np.array(r.point, np.int64).view(np.uint64), np.array(r.cut, np.int64)), r.shard))
+        over = routed(tree).groupBy("shard").count().where(F.col("count") > shard_rows).collect()
+        now = {r["shard"]: r["count"] for r in over if r["shard"] in came}
+        stuck = {s: n for s, n in now.items() if n > 0.9 * size[came[s]]} | {s: n for s, n in size.items() if s not in came.values()}
+        blocks.update({s: int(-(-2 * n // shard_rows)) for s, n in stuck.items()})
+        size = {s: n for s, n in now.items() if s not in stuck}
+
+    def paired(frames):
+        """Rows of shards to compare in blocks go to every pair of blocks that theirs is in; block numbers follow the hash."""
+        for pdf in frames:
+            n = pdf["shard"].map(blocks).fillna(1).to_numpy(np.int64)
+            own = (_spread(pdf["fp"].to_numpy(np.int64).view(np.uint64)) % n.astype(np.uint64)).astype(np.int64)
+            at = np.repeat(np.arange(len(pdf)), n)
+            other = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+            yield pd.DataFrame({"shard": pdf["shard"].to_numpy()[at], "i": np.minimum(own[at], other), "j": np.maximum(own[at], other), "fp": pdf["fp"].to_numpy()[at]})
 
     def pair(pdf: pd.DataFrame) -> pd.DataFrame:
         own = np.sort(pdf["fp"].to_numpy(np.int64))
@@ -168,7 +249,9 @@ def links(fps: DataFrame, radius: int = RADIUS, shard_rows: int = 8192, sample_r
         joined = group != np.arange(len(own))
         return pd.DataFrame({"a": own[joined], "b": own[group[joined]]})
 
-    return fps.mapInArrow(send, "shard long, fp long").groupBy("shard").applyInPandas(pair, "a long, b long")
+    sent = routed(tree)
+    sent = sent.mapInPandas(paired, "shard long, i long, j long, fp long") if blocks else sent.select("shard", F.lit(0).alias("i"), F.lit(0).alias("j"), "fp")
+    return sent.groupBy("shard", "i", "j").applyInPandas(pair, "a long, b long")
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:

@@ -316,6 +316,33 @@ def test_vantage_point_trees_lose_no_pair(spark):
             assert members[0] not in got
 
 
+def test_shards_split_until_they_fit(spark):
+    """Tiny shards, a cloud that no vantage point cuts, and far points: no link is lost."""
+    rng = np.random.default_rng(4)
+    cloud = np.array([int(x) for x in {sum(1 << int(b) for b in rng.choice(24, rng.integers(0, 9), replace=False)) for _ in range(500)}], np.uint64)
+    fps = np.unique(np.concatenate([cloud, rng.integers(0, 2**64, 500, dtype=np.uint64)]))
+    df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    got = {r.a: r.b for r in simhash.components(simhash.links(df, 3, shard_rows=40, sample_rows=256)).collect()}
+    signed = fps.view(np.int64)
+    label = plain_groups([int(x) for x in fps])
+    least = {g: min(int(signed[i]) for i, x in enumerate(label) if x == g) for g in set(label)}
+    assert all(got.get(int(v), int(v)) == least[label[i]] for i, v in enumerate(signed))
+
+
+def test_tree_routes_close_pairs_together():
+    rng = np.random.default_rng(6)
+    fps = rng.integers(0, 2**64, 3000, dtype=np.uint64)
+    near = fps ^ (np.uint64(1) << rng.integers(0, 64, 3000).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 3000).astype(np.uint64))
+    tree = simhash.Tree(3)
+    first = tree.grow(-1, *simhash.plant(fps[:500], 3))
+    tree.grow(first[2], *simhash.plant(fps[500:900], 2))
+    shards = [collections.defaultdict(set), collections.defaultdict(set)]
+    for held, x in zip(shards, (fps, near), strict=True):
+        for i, n in zip(*tree.route(x), strict=True):
+            held[int(i)].add(int(n))
+    assert all(shards[0][i] & shards[1][i] for i in range(3000)) and len(set.union(*shards[0].values())) == 8 + 4 - 1
+
+
 def test_components_of_paths_and_hubs(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(1000, j) for j in range(1001, 1100)] + [(5, 5)]
     got = {r.a: r.b for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
