@@ -244,8 +244,61 @@ def test_pii(spark, docs, rows):
     assert all(not got[r[0]].added for r in rows if r[0] < 60)
 
 
-def test_pii_long_runs_are_linear():
+def plain_added(texts, threshold=0.9):
+    """Every candidate that overlaps no base span, judged by the classifier trained on the votes' likelihoods; all by plain loops."""
+    base = [plain_spans(t) for t in texts]
+    more = []
+    for t, own in zip(texts, base, strict=True):
+        more.append([c for c in sorted(pii.candidates(t)[1]) if not any(c[1] < b and a < c[2] for _, a, b in own)])
+    every = [(t, c, True) for t, own in zip(texts, base, strict=True) for c in own] + [(t, c, False) for t, own in zip(texts, more, strict=True) for c in own]
+    counts = collections.Counter((c[0], pii.votes(t, *c, strict)) for t, c, strict in every)
+    likely = pii.reliabilities(counts)
+    seen = collections.defaultdict(lambda: (0, 0.0))
+    for t, c, strict in every:
+        f, p = pii.features(t, *c), round(likely[c[0], pii.votes(t, *c, strict)], 6)
+        seen[f] = (seen[f][0] + 1, seen[f][1] + p)
+    sure = pii.classifier(seen)
+    return [[c for c in own if sure([pii.features(t, *c)])[0] >= threshold] for t, own in zip(texts, more, strict=True)]
+
+
+def test_added_spans_by_brute_force(spark):
+    rng = np.random.default_rng(8)
+    parts = ["call 555-123-4567", "mail bob [at] example [dot] com", "4111111111111111 4012888888881881", "order 4111111111111112", "+1 (555) 123-4567 170.10.10.1", "ip 10.0.0.1", "300.1.1.1", "a@b.com", "version 1.2.3.4", "card 5500-0000-0000-0004", "1234 5678 9012 3456", "tel +44 20 7946 0958", "words only", "(555) 222-3333 fax"]
+    texts = [" ".join(rng.choice(parts, rng.integers(1, 6))) for _ in range(300)]
+    got = {r.doc_id: r for r in pii.find_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    want = plain_added(texts)
+    for i, t in enumerate(texts):
+        assert [(s.kind, s.start, s.stop) for s in got[i].base] == plain_spans(t)
+        assert [(s.kind, s.start, s.stop) for s in got[i].added] == want[i]
+    assert any(want) and not any(t[a:b] in ("4111111111111112", "300.1.1.1") for t, own in zip(texts, want, strict=True) for _, a, b in own)
+
+
+def test_classifier_generalises():
+    """Features never seen together are judged by their parts."""
+    def code(*values):
+        out = 0
+        for x, n in zip(values, pii.FEATURES, strict=True):
+            out = out * n + x
+        return out
+
+    seen = {code(2, 2, 4, 0, ok, side, 1, w): (50, 50.0 * ok) for ok in (0, 1) for side in (0, 1) for w in (0, 3, 5)}
+    sure = pii.classifier(seen)
+    assert sure([code(2, 2, 4, 0, 1, 2, 1, 9)])[0] > 0.9 and sure([code(2, 2, 4, 0, 0, 2, 1, 9)])[0] < 0.1
+
+
+def test_pii_long_texts_are_linear(spark):
     pii.candidates("1" * 300_000 + "a" * 300_000 + "@" + " +" + "1 " * 300_000)
+    many = " ".join(f"+1 555 {i % 900 + 100} {i:04d}, 555-123-{i % 10_000:04d} a{i}@b.com;" for i in range(40_000))  # nearly 2 MB
+    r = pii.find_spans(spark.createDataFrame([(1, many)], "doc_id long, text string")).first()
+    assert len(r.base) == 80_000
+
+
+def test_clear_is_the_overlap_test():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        spans = [(0, int(a), int(a + n)) for a, n in zip(rng.integers(0, 60, 8), rng.integers(1, 9, 8), strict=True)]
+        taken = [(int(a), int(a + n)) for a, n in zip(rng.integers(0, 60, 4), rng.integers(1, 12, 4), strict=True)]
+        assert pii.clear(spans, taken) == sorted(c for c in spans if not any(c[1] < b and a < c[2] for a, b in taken))
 
 
 def test_em_finds_the_bad_labeler():
