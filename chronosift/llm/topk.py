@@ -1,21 +1,28 @@
 """Exact top-k by inner product with no-random-access aggregation.
 
-Each component is a list of the candidates sorted by value; a query reads a list from the end that its weight favours. After
-reading all lists to one depth a candidate's score is bounded: components read are exact, the others lie between the last
-value read and the list's far end. Reading stops once no outsider's upper bound reaches the k-th lower bound; the
-scores of those left are then resolved. Blocks of candidates and of queries meet in tasks of bounded size, where the bounds of a whole
-block are two matrix products; the k best of each block are merged.
+Each component is a list of candidates sorted by value; a query reads a list from the end that its weight favours, step by step. What a
+candidate has in the lists read so far is summed; the rest lies between the last value read and the far end of each list, which bounds its score from
+below and above. Each step reads on in the lists that leave most open. Reading stops once no outsider's upper bound reaches the k-th lower bound, or
+only few can; their scores are then resolved.
+
+Candidates stay where they are, in blocks whose lists are sorted once. Queries come to them in broadcast groups of a bounded size, and a task carries each
+query's k best scores from block to block, so that later blocks are left early.
 """
 
 from __future__ import annotations
 
+import functools
+import math
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Shares of the lists read before bounds are compared; the last reads all.
-DEPTHS = (0.5, 0.75, 1.0)
+from chronosift.llm.common import written
+
+#: The share of a list read at first; a step doubles the depth of the lists it reads.
+FIRST = 1 / 16
 
 
 def quantised(vector: Column, scale: float) -> Column:
@@ -35,54 +42,70 @@ def _scores(x: np.ndarray, q: np.ndarray) -> list[int]:
     return [max(-(1 << 63), min((1 << 63) - 1, sum(int(a) * b for a, b in zip(row, whole, strict=True)))) for row in x]
 
 
-def search_block(cand_ids: np.ndarray, cand: np.ndarray, query_ids: np.ndarray, query: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query_id, vec_id, score) of each query's k best candidates of a block, equal scores by smaller id, its own row left out.
-
-    ``query_ids`` and the vectors are as they come; -1 << 63 as query id stands for no row of the block.
-    """
-    n, dims = cand.shape
-    hi = -np.sort(-cand, axis=0)  # the lists, read from the top by positive weights
-    lo = hi[::-1]
-    big = float(np.abs(cand).max(initial=0) * np.abs(query).max(initial=0) * dims)
-    kind = np.float32 if big < 2.0**24 else np.float64
-    slack = 0.0 if big < 2.0**53 else big * 1e-12  # beyond 2**53 bounds are rounded; they then keep more
-    by_id = np.argsort(cand_ids, kind="stable")
-    sorted_ids = cand_ids[by_id]
-    weights = np.concatenate([np.maximum(query, 0), np.minimum(query, 0)], axis=1).astype(kind)
-    out: list[tuple[int, int, int]] = []
-    active = np.arange(len(query_ids))
-    for share in DEPTHS:
-        at = min(n, max(1, int(np.ceil(share * n)))) - 1
-        top, low = hi[at], lo[at]  # the last values read
-        upper = np.concatenate([np.maximum(cand, top), np.minimum(cand, low)], axis=1).T.astype(kind)
-        lower = np.concatenate([np.where(cand >= top, cand, hi[-1]), np.where(cand <= low, cand, hi[0])], axis=1).T.astype(kind)
-        last, waiting = share >= 1.0, []
-        for a in range(0, len(active), 256):
-            some = active[a : a + 256]
-            least = weights[some] @ lower
-            most = least.copy() if last else weights[some] @ upper
-            own_a, own_b = np.searchsorted(sorted_ids, query_ids[some], "left"), np.searchsorted(sorted_ids, query_ids[some], "right")
-            for i in np.flatnonzero(own_b > own_a):  # a query's own row is no candidate
-                least[i, by_id[own_a[i] : own_b[i]]] = -np.inf
-                most[i, by_id[own_a[i] : own_b[i]]] = -np.inf
-            kth = np.partition(least, n - k, axis=1)[:, n - k] if n > k else np.full(len(some), -np.inf)
-            may = most >= (kth - slack)[:, None]
-            may &= most > -np.inf
-            left = may.sum(axis=1)
-            for i, s in enumerate(some.tolist()):
-                if not last and left[i] > max(4 * k, n // 50):
-                    waiting.append(s)  # outsiders can still qualify: read on
-                    continue
-                rows = np.flatnonzero(may[i])
-                found = sorted(zip([-v for v in _scores(cand[rows], query[s])], cand_ids[rows].tolist(), strict=True))[:k]
-                out += [(int(query_ids[s]), v, -score) for score, v in found]
-        active = np.array(waiting, np.int64)
-        if not len(active):
-            break
+class Block:
+    """Candidates of a block, and their sorted lists."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        self.ids, self.vectors = ids, vectors
+        self.order = np.ascontiguousarray(np.argsort(-vectors, axis=0, kind="stable").T)  # list by list, highest first
+        self.values = np.take_along_axis(vectors.T, self.order, axis=1)
+        self.read = self.resolved = 0  # list entries read, products computed for scores
+
+    def search(self, query_id: int, query: np.ndarray, k: int, best: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """(-score, id) of the k best among ``best`` and this block, equal scores by smaller id, the query's own row left out."""
+        n = len(self.ids)
+        used = np.flatnonzero(query)
+        weight = query[used]
+        top = np.where(weight > 0, 0, n - 1)  # the end that each list is read from
+        far = weight * self.values[used, n - 1 - top]
+        depth = np.zeros(len(used), np.int64)
+        last = weight * self.values[used, top]  # the most that an unread entry adds
+        big = float(np.abs(weight).sum() * np.abs(self.values[used]).max(initial=0))
+        slack = 0.0 if big < 2.0**53 else big * 1e-12  # beyond 2**53 bounds are rounded; they then keep more
+        had = np.zeros(n)  # sums of what was read
+        seen = np.zeros((n, len(used)), np.float64)
+        own = self.ids == query_id
+        floor = -best[k - 1][0] if len(best) >= k else -np.inf
+        deepen = np.arange(len(used))
+        few = max(4 * k, n // 50)
+        while True:
+            to = np.minimum(n, np.maximum(2 * depth[deepen], max(1, math.ceil(FIRST * n))))
+            for j, end in zip(deepen.tolist(), to.tolist(), strict=True):
+                part = slice(depth[j], end) if weight[j] > 0 else slice(n - end, n - depth[j])
+                rows = self.order[used[j], part]
+                had[rows] += weight[j] * self.values[used[j], part]
+                seen[rows, j] = 1
+                self.read += len(rows)
+                last[j] = weight[j] * self.values[used[j], end - 1 if weight[j] > 0 else n - end]
+                depth[j] = end
+            last[depth == n] = far[depth == n]
+            upper = had + last.sum() - seen @ last
+            lower = had + far.sum() - seen @ far
+            upper[own] = lower[own] = -np.inf
+            least = max(floor, np.partition(lower, n - k)[n - k] if n > k else -np.inf)
+            may = upper >= least - slack
+            may &= ~own
+            open_ = last - far
+            if may.sum() <= few or not open_.any():
+                break
+            # the lists that hold half of what is open, the widest first
+            order = np.argsort(-open_, kind="stable")
+            deepen = order[: int(np.searchsorted(np.cumsum(open_[order]), open_.sum() / 2)) + 1]
+            deepen = deepen[depth[deepen] < n]
+        rows = np.flatnonzero(may)
+        self.resolved += len(rows) * len(used)
+        found = zip([-v for v in _scores(self.vectors[rows], query)], self.ids[rows].tolist(), strict=True)
+        return sorted([*best, *found])[:k]
+
+
+def _matrix(vectors: list[list[float]], dims: int) -> np.ndarray:
+    out = np.zeros((len(vectors), dims))
+    for i, x in enumerate(vectors):
+        out[i, : len(x)] = x
     return out
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0, id_col: str = "vec_id", vector_col: str = "embedding", cand_rows: int = 4096, query_rows: int = 1024) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0, id_col: str = "vec_id", vector_col: str = "embedding", cand_rows: int = 4096, query_rows: int = 16_384) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k highest integer inner products of each query over all other rows.
 
     Queries are the rows where ``is_query`` holds. Equal scores rank by smaller vec_id; with fewer than k others all are
@@ -90,31 +113,49 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0
     padded with 0. A repeated id is a row each as candidate; as query only one (the smallest vector) is answered, and none of its
     own rows is its candidate. An empty table gives an empty table.
 
-    Work grows with queries times rows, as the task does; each task holds ``cand_rows`` by ``query_rows`` at
-    most, since blocks are dealt by rank in hash order and their number follows the counts.
+    Work grows with queries times rows, as the task does. Groups of ``query_rows`` queries, by hash, are sent to all tasks (8 bytes a component) one group
+    after the other; a task holds a block of ``cand_rows`` candidates and k results for each query of the group, and what leaves it is k rows a query.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), is_query.alias("q"), quantised(F.col(vector_col), scale).alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
-    n, n_query, dims = rows.agg(F.count("*"), F.count(F.when(F.col("q"), 1)), F.max(F.size("v"))).first()
-    n_cand_blocks, n_query_blocks = max(1, -(-n // cand_rows)), max(1, -(-(n_query or 0) // query_rows))
-    # hashed blocks are within a few hundredths of each other; ids only spread, so a repeated id is spread by its vector as well
-    # block numbers are longs on both sides: cogrouped sides are hashed as they are, and an int is dealt elsewhere than a long
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    cand = rows.select(F.pmod(F.xxhash64("id", "v"), F.lit(n_cand_blocks).cast("long")).alias("cb"), every(n_query_blocks).alias("qb"), "id", "v")
-    query = rows.where("q").groupBy("id").agg(F.min("v").alias("v"))
-    query = query.select(every(n_cand_blocks).alias("cb"), F.pmod(F.xxhash64("id"), F.lit(n_query_blocks).cast("long")).alias("qb"), "id", "v")
-    dims = dims or 0
-
-    def matrix(v: pd.Series) -> np.ndarray:
-        out = np.zeros((len(v), dims))
-        for i, x in enumerate(v):
-            out[i, : len(x)] = x
-        return out
-
-    def search(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        found = search_block(c["id"].to_numpy(np.int64), matrix(c["v"]), q["id"].to_numpy(np.int64), matrix(q["v"]), k) if len(c) and len(q) else []
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
-
-    found = cand.groupBy("cb", "qb").cogroup(query.groupBy("cb", "qb")).applyInPandas(search, "query_id long, vec_id long, score long")
+    n_query, dims = rows.agg(F.count(F.when(F.col("q"), 1)), F.max(F.size("v"))).first()
+    dims, groups = dims or 0, max(1, -(-(n_query or 0) // query_rows))
+    spark = vectors.sparkSession
+
+    def found_by(group: int) -> DataFrame:
+        own = rows.where("q").where(F.pmod(F.xxhash64("id"), F.lit(groups)) == group).groupBy("id").agg(F.min("v").alias("v")).orderBy("id").collect()
+        sent = spark.sparkContext.broadcast(([r.id for r in own], _matrix([r.v for r in own], dims)))
+
+        def search(batches):
+            ids, query = sent.value
+            best: list[list[tuple[int, int]]] = [[] for _ in ids]
+
+            def take(held_ids, held):
+                block = Block(np.array(held_ids, np.int64), _matrix(held, dims))
+                for i, q in enumerate(ids):
+                    best[i] = block.search(q, query[i], k, best[i])
+
+            held_ids, held = [], []
+            for batch in batches:
+                for at in range(0, batch.num_rows, cand_rows):
+                    part = batch.slice(at, cand_rows - len(held))
+                    rest = batch.slice(at + part.num_rows, cand_rows - part.num_rows) if part.num_rows < min(cand_rows, batch.num_rows - at) else None
+                    for piece in (part, rest):
+                        if piece is None or not piece.num_rows:
+                            continue
+                        held_ids += piece.column(0).to_pylist()
+                        held += piece.column(1).to_pylist()
+                        if len(held) >= cand_rows:
+                            take(held_ids, held)
+                            held_ids, held = [], []
+            if held:
+                take(held_ids, held)
+            out = [(q, v, -score) for q, own in zip(ids, best, strict=True) for score, v in own]
+            for at in range(0, len(out), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out[at : at + 100_000], strict=True)], names=["query_id", "vec_id", "score"])
+
+        return rows.select("id", "v").mapInArrow(search, "query_id long, vec_id long, score long")
+
+    found = functools.reduce(DataFrame.union, [written(found_by(g), "best") if groups > 1 else found_by(g) for g in range(groups)])
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

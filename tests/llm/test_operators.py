@@ -685,19 +685,39 @@ def test_top_k(spark):
 
 
 def test_top_k_over_many_partitions(spark):
-    """Both sides of each block meet however many partitions there are."""
+    """Candidates in many tasks and blocks, queries in many groups."""
     rng = np.random.default_rng(8)
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(0, 0.2, (400, 6)))], "vec_id long, embedding array<double>")
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "13")
-    try:
-        out = topk.top_k(df, F.col("vec_id") % 20 == 0, k=5, cand_rows=100, query_rows=7)
-        assert dict(out.groupBy("query_id").count().collect()) == {q: 5 for q in range(0, 400, 20)}
-        assert {c: t for c, t in out.dtypes} == {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"}
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    key = lambda out: sorted(tuple(r) for r in out.collect())
+    one = topk.top_k(df.coalesce(1), F.col("vec_id") % 20 == 0, k=5)
+    out = topk.top_k(df.repartition(13), F.col("vec_id") % 20 == 0, k=5, cand_rows=7, query_rows=6)
+    assert key(out) == key(one) and one.count() == 100
+    assert {c: t for c, t in out.dtypes} == {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"}
+
+
+def searched(vecs, k, blocks=1):
+    """Entries read and products computed of no-random-access searches, as shares of brute force; results are checked."""
+    vecs = np.floor(vecs)
+    parts = [topk.Block(np.arange(len(vecs))[i::blocks], vecs[i::blocks]) for i in range(blocks)]
+    queries = range(0, len(vecs), 20)
+    for q in queries:
+        best = []
+        for part in parts:
+            best = part.search(q, vecs[q], k, best)
+        scores = vecs @ vecs[q]
+        assert best == sorted((-int(scores[i]), i) for i in range(len(vecs)) if i != q)[:k]
+    brute = len(queries) * vecs.size
+    return sum(p.read for p in parts) / brute, sum(p.resolved for p in parts) / brute
+
+
+def test_reading_stops_early_where_few_components_decide():
+    rng = np.random.default_rng(10)
+    skewed = rng.normal(0, 30, (2000, 32)) * (0.5 ** np.arange(32)) * rng.pareto(2, (2000, 1))
+    read, resolved = searched(skewed, 10)
+    assert read + resolved < 0.6
+    even, all_resolved = searched(rng.normal(0, 8, (2000, 32)), 10)
+    assert read < even <= 1 and all_resolved < 1
+    assert sum(searched(skewed, 10, blocks=4)) < 0.9
 
 
 def test_top_k_of_nothing(spark):
