@@ -1,14 +1,13 @@
 """Token counts by batch encoding in Arrow functions that return lengths only.
 
 Texts are split at safe boundaries: places between a non-space and a space followed by a non-space, where the
-tokenizer's own pattern always begins a new piece. The pieces of a slice of rows, slices being balanced by bytes, that the
+tokenizer's own pattern always begins a new piece; long runs without spaces also where letters and digits meet and behind full-width marks. The pieces of a slice of rows, slices being balanced by bytes, that the
 worker has not met yet are encoded as one batch; a bounded table in the worker keeps the lengths.
 """
 
 from __future__ import annotations
 
 import functools
-import gc
 import re
 
 import pyarrow as pa
@@ -16,11 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronosift.llm.bpe import library, piece_encoder, ranks_agree
-from chronosift.llm.common import id_text, text_slices
+from chronosift.llm.common import collector_off, id_text, text_slices
 
 #: White space other than the space and the line end; texts that have it are split by the slower rule.
 _RARE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
+#: Characters of a text that is split further, and places where one of the tokenizer's pieces ends: between words, letters and digits, and behind full-width marks.
+LONG = 1 << 14
+_INSIDE = re.compile(r"(?<=\S)(?= \S)|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])|(?<=[\u3001\u3002\uff01\uff0c\uff1a\uff1b\uff1f])(?=[\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5A-Za-z0-9])")
 _WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?%&*$#|]*)").fullmatch
 
 
@@ -32,7 +34,20 @@ class PieceLengths:
         self.piece = piece_encoder(path) if fast else None
 
     def encode(self, texts: list[str]) -> list[int]:
-        return [len(e) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return [len(e) if len(t) <= LONG else self.long(t) for t, e in zip(texts, self.tok.encode_batch_fast([t if len(t) <= LONG else "" for t in texts], add_special_tokens=False), strict=True)]
+
+    def long(self, text: str) -> int:
+        """Tokens of a long text, over parts of bounded length that end where one of the tokenizer's pieces must."""
+        if "<|" in text:  # a special token's string may go over such places
+            return len(self.tok.encode(text, add_special_tokens=False))
+        total, part, size = 0, [], 0
+        for piece in _INSIDE.split(text):
+            part.append(piece)
+            size += len(piece)
+            if size > LONG:
+                total += len(self.tok.encode("".join(part), add_special_tokens=False))
+                part, size = [], 0
+        return total + len(self.tok.encode("".join(part), add_special_tokens=False))
 
     def resolve(self, pieces: set[str]) -> dict[str, int]:
         """Lengths of pieces that aren't known, each with a space before it.
@@ -78,7 +93,7 @@ class PieceLengths:
                 first, *parts = t.split(" ")
             heads.append(first)
             cut.append(parts)
-        new = {p for parts in cut for p in parts if p not in known}
+        new = set().union(*cut).difference(known)
         extra = self.resolve(new) if new else {}
         out = []
         for n, parts in zip(map(self.bare, heads), cut, strict=True):
@@ -107,13 +122,13 @@ def count_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     fast = ranks_agree(tokenizer)
 
     def run(batches):
-        gc.disable()  # the tables hold no cycles; walking them costs more than the work
         lengths = _lengths(tokenizer, fast)
-        for ids, texts in text_slices(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(lengths.count(texts), pa.int64())],
-                names=["doc_id", "n_bytes", "n_tokens"],
-            )
+        with collector_off():  # the tables hold no cycles; walking them costs more than the work
+            for ids, texts in text_slices(batches):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids, pa.int64()), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(lengths.count(texts), pa.int64())],
+                    names=["doc_id", "n_bytes", "n_tokens"],
+                )
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
 

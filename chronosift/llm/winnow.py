@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronosift.llm.common import id_text
+from chronosift.llm.common import id_text, text_slices
 
 K, W = 8, 32
 _BASE = 0x9E3779B97F4A7C15
@@ -85,23 +85,24 @@ def fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     """
 
     def run(batches):
-        for batch in batches:
-            made = [winnow(t or "", k, w) for t in batch.column(1).to_pylist()]
+        for ids, texts in text_slices(batches):
+            made = [winnow(t, k, w) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([h.astype(np.int64) for h, _ in made], pa.list_(pa.int64())), pa.array([p for _, p in made], pa.list_(pa.int64()))],
+                [pa.array(ids, pa.int64()), pa.array([h.astype(np.int64) for h, _ in made], pa.list_(pa.int64())), pa.array([p for _, p in made], pa.list_(pa.int64()))],
                 names=["doc_id", "hashes", "positions"],
             )
 
     return id_text(docs).mapInArrow(run, "doc_id long, hashes array<long>, positions array<long>")
 
 
-def with_next(docs: DataFrame, rows_each: int = 2000, most_parts: int = 16_384) -> tuple[DataFrame, int]:
+def with_next(docs: DataFrame, rows_each: int = 2000, most_parts: int = 131_072) -> tuple[DataFrame, int]:
     """(part, ahead, id, doc_id, text) such that, sorted by part, ahead and descending id, each document is followed by its next;
     and the number of parts.
 
     Parts are ranges of doc_id. A part ends with a copy (``ahead`` true) of the first document of the part after it, the last part with
     that of the first; so the texts are shuffled once and no task reads more than its range. Cut points are quantiles;
-    the driver gets one row for each part, ``most_parts`` at most. A null doc_id comes after all others.
+    the driver gets one row for each part, ``most_parts`` at most; beyond that parts grow, and tasks stream through them in longer time but no more memory. A null
+    doc_id comes after all others. All rows of one doc_id are in one part, sorted on disk if need be.
     """
     placed = docs.select(F.coalesce(F.col("doc_id"), F.lit(-(1 << 62))).alias("id"), "doc_id", "text")
     n = placed.count()
@@ -134,7 +135,8 @@ def compare_with_edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     """Fingerprints of each document and of its edited text, and their likeness; the columns of op7's contract.
 
     The next document is the one with the next smaller doc_id, after the last the first; rows of one doc_id follow each
-    other in the order of their texts. A lone document is its own next. Null texts are empty. An empty table gives an empty table.
+    other in the order of their texts. A lone document is its own next. Null texts are empty. An empty table gives an empty table. Texts of any length
+    are winnowed whole, two at a time in a task, at some 50 bytes a character. ``positions`` and ``edited_positions`` say where the choices stand.
     """
     parts, n_parts = with_next(id_text(docs))
     # twice as many tasks as parts: parts seldom meet in one, and a task's share doesn't grow with the table
@@ -144,11 +146,11 @@ def compare_with_edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
         n = len(text)
         cut = n // 3
         edited = text[: n - cut] + nxt[:cut]
-        other = own if edited == text else winnow(edited, k, w)[0]
-        return (doc_id, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), shown(own), shown(other), likeness(own, other), likeness(own, following))
+        (own, at), (other, other_at) = own, (own if edited == text else winnow(edited, k, w))
+        return (doc_id, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), shown(own), shown(other), likeness(own, other), likeness(own, following), at, other_at)
 
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "positions", "edited_positions"]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
 
     def run(batches):
         before, closed = None, None  # the row that waits for its next; the part whose last row has got it
@@ -158,9 +160,9 @@ def compare_with_edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
                 if ahead and closed == part:
                     continue  # more rows with the id of the first document
                 text = text or ""
-                mark = winnow(text, k, w)[0]
+                mark = winnow(text, k, w)
                 if before is not None:
-                    out.append(row(before[0], before[1], text, before[2], mark))
+                    out.append(row(before[0], before[1], text, before[2], mark[0]))
                     size += len(text)
                 before = None if ahead else (doc_id, text, mark)
                 closed = part if ahead else None
@@ -170,7 +172,7 @@ def compare_with_edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
-    return sorted_parts.select("part", "ahead", "doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return sorted_parts.select("part", "ahead", "doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, positions array<int>, edited_positions array<int>")
 
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

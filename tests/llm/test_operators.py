@@ -626,6 +626,13 @@ def test_edits(docs, rows):
     assert got == sorted(want)
 
 
+def test_positions_are_where_the_choices_stand(docs, rows):
+    text = {r[0]: r[1] or "" for r in rows}
+    for r in winnow.compare_with_edits(docs).collect():
+        hashes, at = winnow.winnow(text[r.doc_id])
+        assert r.positions == at.tolist() and r.fingerprint == winnow.shown(hashes) and len(r.edited_positions) * 8 == len(r.edited_fingerprint)
+
+
 def test_next_across_parts(spark):
     df = spark.createDataFrame([(i, f"text {i}") for i in range(50)] + [(None, "null id")], "doc_id long, text string")
     placed = winnow.with_next(df, rows_each=7)[0].collect()
@@ -660,6 +667,25 @@ def test_piece_lengths_are_the_librarys():
     assert slow.count(texts[:500]) == slow.encode(texts[:500])
 
 
+def test_long_runs_are_split_safely():
+    path = P.path("byte_bpe_50k.json")
+    rng = np.random.default_rng(12)
+    base64 = "".join(rng.choice([*"ABCdefXYZ0123456789+/="], 60_000))
+    texts = [base64, "中文，文字。" * 9000, "it's1a" * 9000, "<|endoftext|>" * 3000, "word " + base64 + " end", "é1" * 20_000, "日本語です。next、" * 5000, "a b" * 20_000, "x" * 40_000, "1'll" * 9000]
+    lengths = token_counts.PieceLengths(path, True)
+    assert lengths.count(texts) == [len(library(path).encode(t, add_special_tokens=False)) for t in texts]
+
+
+def test_workers_keep_their_collector():
+    import gc
+
+    from chronosift.llm.common import collector_off
+
+    with collector_off():
+        assert not gc.isenabled()
+    assert gc.isenabled()
+
+
 def test_token_counts_of_nothing(none):
     assert token_counts.count_tokens(none, P.path("byte_bpe_50k.json")).count() == 0
 
