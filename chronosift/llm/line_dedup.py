@@ -56,7 +56,7 @@ class LineRuns:
         path = fresh_path(self.spark, "run")
         name = "lines_" + path[-32:]
         out = counts.sortWithinPartitions("met", "k1", "k2").write.partitionBy("met").bucketBy(self.buckets, "k1", "k2").sortBy("k1", "k2")
-        out.option("path", path).option("compression", "zstd").saveAsTable(name)
+        out.option("path", path).option("compression", "uncompressed").saveAsTable(name)  # hashes don't compress
         self.tables[name] = path
         return name
 
@@ -136,7 +136,7 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, n_batches: int | No
         .select("rk", "rk2", "uid", "pos", k1.alias("k1"), k2.alias("k2"), F.pmod("rk", F.lit(n_batches)).cast("int").alias("batch"))
     )
     path = fresh_path(spark, "lines")
-    lines.write.partitionBy("batch").option("compression", "zstd").parquet(path)
+    lines.write.partitionBy("batch").option("compression", "snappy").parquet(path)
     lines = spark.read.schema(lines.schema).parquet(path)
     runs = LineRuns(spark, min_docs, fanout)
     for b in range(n_batches):
