@@ -41,10 +41,27 @@ def remove(spark: SparkSession, path: str) -> None:
         return
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """What is written to the shared folder inside goes at the end; for work whose result has then been written elsewhere."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove(spark, path)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, removed when the driver exits."""
+    """A new path in the shared folder, removed at the end of the scratch scope, or when the driver exits."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    atexit.register(remove, spark, path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    else:
+        atexit.register(remove, spark, path)
     return path
 
 

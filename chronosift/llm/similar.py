@@ -3,7 +3,7 @@
 Texts with the same set of shingles share a key and meet as one. A set has 40 bands of 5 MinHash values; sets that share a band are
 candidates, so a pair at likeness 0.8 is missed with a chance of (1 - 0.8 ** 5) ** 40 = 1.3e-7, one at 0.9 with 1e-15.
 Connected candidates meet in one task, each text once, where likenesses are counted from the whole sets and only pairs at or over the
-bound are linked. The largest connected group of candidates, with copies counted once, has to fit in a task.
+bound are linked. A group of candidates that is too large for a task is cut into blocks, and each pair of blocks is a task; the links are joined afterwards.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronosift.llm.common import free_names, written
+from chronosift.llm.common import free_names, text_slices, written
 from chronosift.llm.simhash import components
 
 #: Words of a shingle, and the least likeness of linked texts in hundredths.
@@ -112,20 +112,45 @@ def _signed(rows: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            sets = [shingles(t or "", shingle) for t in batch.column(2).to_pylist()]
-            keys = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
-            bands = _bands(np.array([_least(s) for s in sets])) if sets else np.empty((0, BANDS), np.int64)
-            listed = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys), listed], names=["id", "th", "key", "bands"])
+            ths, at = batch.column(1), 0
+            for ids, texts in text_slices([batch.select([0, 2])]):
+                sets = [shingles(t, shingle) for t in texts]
+                keys = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
+                bands = _bands(np.array([_least(s) for s in sets]))
+                listed = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), ths.slice(at, len(ids)), pa.array(keys), listed], names=["id", "th", "key", "bands"])
+                at += len(ids)
 
     return rows.mapInArrow(run, "id long, th long, key long, bands array<long>")
 
 
-def keep_first(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _linked(texts: DataFrame, shingle: int, percent: int, block_bytes: int, block_rows: int) -> DataFrame:
+    """(key, root) of each text (key, root, text) but the smallest key of its linked group, and that key. ``root`` on the way in is the group of candidates."""
+
+    def pair(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("key")
+        keys = pdf["key"].to_numpy(np.int64)
+        group = groups_of([shingles(t or "", shingle) for t in pdf["text"]], percent)
+        joined = group != np.arange(len(keys))
+        return pd.DataFrame({"key": keys[joined], "root": keys[group[joined]]})
+
+    size = F.greatest(F.ceil(F.sum(F.octet_length(F.coalesce("text", F.lit("")))) / block_bytes), F.ceil(F.count("*") / block_rows))
+    large = written(texts.groupBy("root").agg(size.cast("int").alias("blocks")).where("blocks > 1"), "large-groups")
+    if large.isEmpty():
+        return written(texts.groupBy("root").applyInPandas(pair, "key long, root long"), "linked")
+    n = F.coalesce("blocks", F.lit(1))
+    cut = texts.join(large, "root", "left").select("root", "key", "text", F.pmod(F.xxhash64("key"), n).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), n - 1)).alias("other"))
+    cut = cut.select("key", "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "text")
+    found = cut.groupBy("root", "i", "j").applyInPandas(pair, "key long, root long")
+    return components(found.select(F.col("key").alias("a"), F.col("root").alias("b"))).select(F.col("a").alias("key"), F.col("b").alias("root"))
+
+
+def keep_first(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 1 << 25, block_rows: int = 8192) -> DataFrame:
     """One row of ``docs`` for each group of rows that are linked, directly or over others, by likeness of their shingles.
 
     It is the row with the smallest id, nulls last, then with the smallest hash of its text; of the same id and text one stays. Rows that
-    share an id but not a group stay both. Null, empty and blank texts are one group. An empty table gives an empty table.
+    share an id but not a group stay both. Null, empty and blank texts are one group. An empty table gives an empty table. A task compares candidates of
+    ``block_bytes`` and ``block_rows`` at most, or two such blocks of a larger group; one longer text is a block of its own.
     """
     th = free_names(docs, "th")[0]
     text_hash = F.xxhash64(F.col(text_col).cast("string"), F.lit(7))
@@ -142,14 +167,7 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     same = [rows["id"].eqNullSafe(wanted["id"]), rows["th"] == wanted["th"]]
     texts = rows.join(wanted, same).select("key", "root", "text").dropDuplicates(["key"])
 
-    def pair(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("key")
-        keys = pdf["key"].to_numpy(np.int64)
-        group = groups_of([shingles(t or "", shingle) for t in pdf["text"]], percent)
-        joined = group != np.arange(len(keys))
-        return pd.DataFrame({"key": keys[joined], "root": keys[group[joined]]})
-
-    linked = written(texts.groupBy("root").applyInPandas(pair, "key long, root long"), "linked")
+    linked = _linked(texts, shingle, percent, block_bytes, block_rows)
     first = at.join(linked, "key", "left").groupBy(F.coalesce("root", "key")).agg(F.min("row").alias("row")).select("row.id", "row.th")
     marked = docs.withColumn(th, text_hash)
     stays = marked.join(first.hint("shuffle_hash"), [marked[id_col].cast("long").eqNullSafe(first["id"]), marked[th] == first["th"]], "left_semi")

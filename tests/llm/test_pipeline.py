@@ -51,3 +51,32 @@ def test_names():
 
     assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES if n.startswith("op")) == list(range(1, 11))
     assert "pipeline" in registry.QUERIES
+
+
+def test_run_on_an_empty_table(spark, none, tmp_path):
+    import corpus_pipeline as c
+
+    none.write.parquet(f"{tmp_path}/documents.parquet")
+    out = c.run(spark, str(tmp_path))
+    assert out.count() == 0 and {"doc_id", "sequence_id", "offset"} <= set(out.columns)
+
+
+def test_extra_columns_are_ignored(spark, clashing):
+    import corpus_pipeline as c
+
+    for _, stage in c.STAGES[:-1]:
+        assert stage(spark, clashing, "").columns == c.COLUMNS
+
+
+def test_scratch_goes(spark, docs):
+    import os
+
+    from chronosift.llm import common
+
+    kept = common.fresh_path(spark, "kept")
+    with common.scratch(spark):
+        inner = common.written(docs.select("doc_id"), "inner").inputFiles()[0]
+        docs.select("doc_id").write.parquet(kept)
+    path = inner.removeprefix("file://")
+    assert not os.path.exists(path) and spark.read.parquet(kept).count() == docs.count()
+    common.remove(spark, kept)

@@ -60,3 +60,18 @@ def test_rows_of_one_id_and_without_id(spark):
     got = sorted(((r.doc_id, r.text) for r in similar.keep_first(docs).collect()), key=str)
     assert got == [(1, "a b c d e f"), (1, "u v w x y z"), (2, ""), (None, "k l m n o p")]
     assert similar.keep_first(docs.limit(0)).count() == 0
+
+
+def test_large_groups_are_compared_in_blocks(spark):
+    """One large group of near copies, in tiny blocks: the same rows stay."""
+    texts = edited(random.Random(7), 25)
+    base = [f"w{i}" for i in range(60)]
+    rng = random.Random(8)
+    for _ in range(60):
+        words = base[:]
+        words[rng.randrange(60)] = f"x{rng.randrange(9)}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = sorted(set(plain_groups(plain_sets(texts))))
+    assert sorted(r.doc_id for r in similar.keep_first(docs, block_rows=10).collect()) == want
+    assert sorted(r.doc_id for r in similar.keep_first(docs, block_bytes=3000).collect()) == want
