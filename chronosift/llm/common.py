@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -13,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_LIBC = ctypes.CDLL(None)
+
 #: ASCII white space, as the contracts list it: \x20 and \x09-\x0D.
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -87,6 +90,13 @@ def collector_off():
             gc.enable()
 
 
+def give_back() -> None:
+    """Return freed memory of large arrays to the system, where the C library can; workers are used again and would hold it."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def crc_mod(col: str | Column, n: int) -> Column:
     """crc32 of the column as text, modulo n."""
     return F.crc32(F.col(col).cast("string").cast("binary") if isinstance(col, str) else col.cast("string").cast("binary")) % F.lit(n)

@@ -437,8 +437,9 @@ def test_scores_hang_on_no_partition(clashing):
 
 def seated(text, contexts, sweeps, model=pitman_yor.MODEL, hyper=False):
     """The distributed sampler's own steps over two shards, without Spark; the last half of the sweeps are samples. Returns shards, samples, hypers."""
-    docs = [(0, True, pitman_yor.tokens(text))]
-    _, asked = pitman_yor._chunk(docs, 2, contexts)
+    chunk = pitman_yor.Words()
+    chunk.add(0, True, text)
+    _, asked = pitman_yor._chunk(chunk, 2, contexts)
     shards = [pitman_yor.Shard.of([pitman_yor._unpack(b)], contexts)[0] for _, b in asked]
 
     def total(d, theta):
@@ -727,9 +728,9 @@ def searched(vecs, k, blocks=1):
     parts = [topk.Block(np.arange(len(vecs))[i::blocks], vecs[i::blocks]) for i in range(blocks)]
     queries = range(0, len(vecs), 20)
     for q in queries:
-        best = []
+        best, depth = [], topk.FIRST
         for part in parts:
-            best = part.search(q, vecs[q], k, best)
+            best, depth = part.search(q, vecs[q], k, best, depth)
         scores = vecs @ vecs[q]
         assert best == sorted((-int(scores[i]), i) for i in range(len(vecs)) if i != q)[:k]
     brute = len(queries) * vecs.size
