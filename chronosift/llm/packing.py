@@ -9,7 +9,6 @@ still on the histogram. The plan's size depends on the window only. Pieces get t
 from __future__ import annotations
 
 import functools
-import gc
 import re
 import zlib
 
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronosift.llm.bpe import library, ranks_agree, word_encoder
-from chronosift.llm.common import id_text, text_slices, written
+from chronosift.llm.common import collector_off, id_text, text_slices, written
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -68,7 +67,7 @@ class WordIds:
             if "\n" in t:
                 t = t.replace("\n", " ")
             cut.append(t.split(" "))
-        new = {w for words in cut for w in words if w not in known}
+        new = set().union(*cut).difference(known)
         extra = self.resolve(new) if new else {}
         if extra:
             return [b"".join([known[w] if w in known else extra[w] for w in words]) for words in cut]
@@ -85,16 +84,16 @@ def tokenise_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int) -
     fast, step, end = ranks_agree(tokenizer), 4 * window, int(end_id).to_bytes(4, "little")
 
     def run(batches):
-        gc.disable()  # the tables hold no cycles
         words = _words(tokenizer, fast)
-        for ids, texts in text_slices(batches):
-            rows = []
-            for doc_id, raw in zip(ids, words.ids(texts), strict=True):
-                raw += end
-                for at in range(0, len(raw), step):
-                    part = raw[at : at + step]
-                    rows.append((doc_id, at // 4, len(part) // 4, zlib.crc32(part), len(raw) // 4))
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        with collector_off():  # the tables hold no cycles
+            for ids, texts in text_slices(batches):
+                rows = []
+                for doc_id, raw in zip(ids, words.ids(texts), strict=True):
+                    raw += end
+                    for at in range(0, len(raw), step):
+                        part = raw[at : at + step]
+                        rows.append((doc_id, at // 4, len(part) // 4, zlib.crc32(part), len(raw) // 4))
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     return id_text(docs).mapInArrow(run, PIECES)
 
@@ -140,8 +139,11 @@ def combinations(counts: np.ndarray, window: int, depth: int, each: int) -> np.n
     return rows[(total <= window) & (total >= window - window // 64)]
 
 
-def repeat_counts(rows: np.ndarray, counts: np.ndarray, steps: int = 400) -> np.ndarray:
-    """x >= 0 least squares of sum_j x_j a_j = counts, a_j the lengths in combination j: projected gradient with momentum, preconditioned by length."""
+def repeat_counts(rows: np.ndarray, counts: np.ndarray, steps: int = 2000, close: float = 1e-4) -> np.ndarray:
+    """x >= 0 least squares of sum_j x_j a_j = counts, a_j the lengths in combination j: projected gradient with momentum, preconditioned by length.
+
+    It ends when a step moves no count by ``close`` of the largest, tried every 25 steps, or after ``steps``; what is not covered is packed greedily.
+    """
     if not len(rows):
         return np.zeros(0)
     n = len(counts)
@@ -152,13 +154,16 @@ def repeat_counts(rows: np.ndarray, counts: np.ndarray, steps: int = 400) -> np.
     cover = np.bincount(rows.ravel(), minlength=n).astype(float)
     cover[0] = 0.0
     step = 1.0 / np.maximum((cover * weight)[rows].sum(axis=1), 1e-12)
-    for _ in range(steps):
+    for i in range(steps):
         got = np.bincount(rows.ravel(), weights=np.repeat(y, rows.shape[1]), minlength=n)
         grad = ((got - counts) * weight)[rows].sum(axis=1)
         nxt = np.maximum(0.0, y - step * grad)
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         y = nxt + (t - 1) / t2 * (nxt - x)
+        still = i % 25 == 24 and np.abs(nxt - x).max() <= close * nxt.max(initial=1.0)
         x, t = nxt, t2
+        if still:
+            break
     return x
 
 
@@ -218,7 +223,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2) -
     """Pieces of all documents and their places: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Null and empty texts are one end token. Repeated rows are packed each. Each id of a document lies in one piece; a
-    sequence's pieces follow each other from offset 0. An empty table gives an empty table. Other columns are not read.
+    sequence's pieces follow each other from offset 0. An empty table gives an empty table. Other columns are not read. A text of any length is
+    tokenised whole in its task, at 4 bytes an id, and cut to windows.
 
     Only the histogram of lengths (``window`` numbers) reaches the driver. Ranks within a length are made in two
     steps, by salt and within it, so that many copies of one length are spread.
