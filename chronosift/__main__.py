@@ -17,7 +17,7 @@ def main(argv: list[str] | None = None) -> int:
     for flag in ("--csv", "--endpoint", "--instance", "--tenant", "--timestamp-column"):
         ingest.add_argument(flag, required=flag in ("--csv", "--endpoint", "--instance"))
     ingest.add_argument("--metric-prefix", default="")
-    ingest.add_argument("--time-format", default="yyyy-MM-dd HH:mm:ss")
+    ingest.add_argument("--time-format", default="%Y-%m-%d %H:%M:%S", help="with % signs or in Spark's letters")
     ingest.add_argument("--label", action="append", default=[], metavar="K=V")
     ingest.add_argument("--end-at-now", action="store_true")
     ingest.add_argument("--dry-run", action="store_true")

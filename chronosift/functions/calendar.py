@@ -70,8 +70,33 @@ def future(last: Column, n: int, step: str = "INTERVAL 1 HOUR") -> Column:
     return F.sequence(last + F.expr(step), last + F.expr(step) * n, F.expr(step))
 
 
+#: The pattern letters of both notations.
+_STRPTIME = {"Y": "yyyy", "m": "MM", "d": "dd", "H": "HH", "M": "mm", "S": "ss", "f": "SSSSSS", "y": "yy", "b": "MMM", "B": "MMMM", "j": "DDD", "p": "a", "I": "hh", "z": "xx", "T": "HH:mm:ss", "F": "yyyy-MM-dd", "%": "%"}
+
+
+def pattern(fmt: str) -> str:
+    """A time pattern for Spark from one with % signs; one without is taken as it is."""
+    if "%" not in fmt:
+        return fmt
+    out, at, text = [], 0, ""
+    while at < len(fmt):
+        if fmt[at] == "%" and at + 1 < len(fmt):
+            if fmt[at + 1] not in _STRPTIME:
+                raise ValueError(f"unknown directive %{fmt[at + 1]} in {fmt!r}")
+            out += ([f"'{text}'"] if text else []) + [_STRPTIME[fmt[at + 1]]]
+            text, at = "", at + 2
+        else:
+            if fmt[at].isalpha():
+                text += fmt[at]
+            else:
+                out += ([f"'{text}'"] if text else []) + ["''" if fmt[at] == "'" else fmt[at]]
+                text = ""
+            at += 1
+    return "".join(out + ([f"'{text}'"] if text else []))
+
+
 def parse_ts(cell: Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """Epoch ms of a cell: numbers above 1e12 are ms, other numbers seconds, all else a time in UTC."""
     number = cell.try_cast("double")
-    local = F.try_to_timestamp(cell, F.lit(fmt)).cast("timestamp_ntz")
+    local = F.try_to_timestamp(cell, F.lit(pattern(fmt))).cast("timestamp_ntz")
     return F.when(number > 1e12, number).when(number.isNotNull(), number * 1000).otherwise(F.timestamp_diff("MILLISECOND", F.lit("1970-01-01").cast("timestamp_ntz"), local)).cast("long")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,6 +121,32 @@ def top_delays(correlation: Column, factor: float = 1.0) -> Column:
     return F.transform(F.slice(F.array_sort(pairs), F.lit(1), k), lambda p: p["i"])
 
 
+def last_steps(v: Column, n: int, features: str = "M") -> Column:
+    """The last n steps of a prediction; of steps that are arrays of channels, with ``MS`` the last channel only."""
+    tail = F.slice(v, -n, n)
+    return F.transform(tail, lambda x: F.element_at(x, -1)) if features == "MS" else tail
+
+
+def sigmoid_range(x: Column, low: float, high: float) -> Column:
+    """A logistic curve from low to high."""
+    return F.lit(high - low) / (1 + F.exp(-x)) + F.lit(low)
+
+
+def activation(name: str, x: Column) -> Column:
+    """relu, gelu (by its tanh form), sigmoid or tanh of a column."""
+    cube = F.lit(0.7978845608028654) * (x + F.lit(0.044715) * x * x * x)
+    known = {"relu": F.greatest(F.lit(0.0), x), "gelu": F.lit(0.5) * x * (1 + F.tanh(cube)), "sigmoid": 1 / (1 + F.exp(-x)), "tanh": F.tanh(x)}
+    if name.lower() not in known:
+        raise ValueError(f"unknown activation {name!r}, one of {', '.join(known)}")
+    return known[name.lower()]
+
+
+def ordered_series(points: DataFrame, keys: list[str], value: str = "value", ts: str = "ts_ms") -> DataFrame:
+    """Each key's values as one array, ordered by time and value."""
+    pairs = F.array_sort(F.collect_list(F.struct(F.col(ts).alias("t"), F.col(value).alias("v"))))
+    return points.groupBy(*keys).agg(pairs.alias("_p")).select(*keys, F.col("_p.v").alias("series"))
+
+
 def frequency_modes(length: int, modes: int, how: str = "lowest", seed: int = 0) -> list[int]:
     """Frequencies to keep: the lowest, or a seeded choice; ascending."""
     modes = min(modes, length // 2)

@@ -33,7 +33,7 @@ KNOWN = {
     "ett-hourly": DatasetSpec(split="months"),
     "ett-minutely": DatasetSpec(split="months", per_hour=4, freq="15min"),
     "custom": DatasetSpec(),
-    "sinusoid": DatasetSpec(freq=""),
+    "sinusoid": DatasetSpec(seq_len=384, label_len=96, pred_len=96, features="S", target="y", freq=""),
 }
 
 
@@ -102,6 +102,54 @@ def flow(df: DataFrame, keys: list[str], order: str, seq: int, step: int) -> Dat
     return windows.window_points(n, seq, step)
 
 
+def sinusoid_set(long: DataFrame, spec: DatasetSpec, keys: list[str], order: list[str]) -> DataFrame:
+    """Parts of a series without calendar: its marks are 0."""
+    return prepare(long, dataclasses.replace(spec, split="share", freq=""), keys, order).withColumn("mark", F.lit(0.0))
+
+
+def long_range_set(long: DataFrame, keys: list[str], order: list[str], seq_len: int, pred_len: int, stride: int = 24, share: float = 0.9) -> DataFrame:
+    """Training and test windows of long synthetic series: part, win, pos, value, scaled (over the mean of the inputs + 1, if that mean is above 0), mean and sd.
+
+    Training windows end where ``share`` of all windows end; test windows begin a look-back before.
+    """
+    span = seq_len + pred_len
+    n = windows.with_length(windows.indexed(long, keys, order), keys)
+    train_end = F.lit(span) + F.floor(F.lit(share) * ((F.col("n") - span) / F.lit(float(stride)))) * stride
+    test_start = train_end - seq_len + 1
+    found = []
+    for part, at, room in (("train", F.lit(0), train_end - span), ("test", test_start, F.col("n") - test_start - span)):
+        many = F.floor(room / stride)
+        idx = F.col("idx") - at
+        low, high = F.greatest(F.lit(0), F.ceil((idx - (span - 1)) / stride)).cast("long"), F.least(many - 1, F.floor(idx / stride)).cast("long")
+        wins = F.when((high >= low) & (idx >= 0), F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))
+        found.append(n.withColumn("part", F.lit(part)).withColumn("win", F.explode(wins)).withColumn("pos", idx - F.col("win") * stride))
+    rows = found[0].unionByName(found[1])
+    given = F.when(F.col("pos") < seq_len, F.col("value"))
+    stats = rows.groupBy("part", *keys, "win").agg(F.avg(given).alias("mean"), F.stddev_samp(given).alias("sd"))
+    return rows.join(stats, ["part", *keys, "win"]).withColumn("scaled", F.when(F.col("mean") > 0, F.col("value") / (F.col("mean") + 1)).otherwise(F.col("value")))
+
+
+def single_step_test(points: DataFrame, kind: str, length: int, pred_len: int) -> DataFrame:
+    """Windows of ``length`` points with their scale ``v`` as one sample for each of the ``pred_len`` last steps; the last value of a sample is masked.
+
+    Inputs of ``elect`` are raw values over the scale; ``flow`` and ``wind`` hold scaled ones, whose targets get the scale again.
+    """
+    if kind not in ("elect", "flow", "wind"):
+        raise ValueError(f"unknown set {kind!r}")
+    v = F.col("v")
+    target = F.col("value") if kind == "elect" else F.col("value") * v
+    given = F.when(v > 0, F.col("value") / v).otherwise(F.col("value")) if kind == "elect" else F.col("value")
+    steps = windows.horizon_steps(points.withColumn("_t", target).withColumn("value", given), length - pred_len + 1, pred_len)
+    return steps.withColumn("target", F.when(F.col("target").isNotNull(), F.col("_t"))).drop("_t")
+
+
+def single_step_train(points: DataFrame, scales: DataFrame, keys: list[str], length: int, pred_len: int, seed: int) -> DataFrame:
+    """As many windows as there are, drawn with replacement by |v|, each cut to single-step samples; ``draw`` numbers the drawn."""
+    named = scales.withColumn("_k", F.concat_ws("/", *keys))
+    drawn = windows.sample_with_replacement(named, scales.count(), F.col("v"), seed, "_k").drop("_k", "v")
+    return windows.horizon_steps(points.join(drawn, keys), length - pred_len + 1, pred_len)
+
+
 def wind(df: DataFrame, keys: list[str], order: str, seq: int, base: int, step: int) -> DataFrame:
     """Wind preparation: windows whose first ``base`` values hold a positive one, over the mean of the positive."""
     w = windows.window_points(windows.with_length(windows.indexed(df, keys, [order]), keys), seq, step)
@@ -109,6 +157,11 @@ def wind(df: DataFrame, keys: list[str], order: str, seq: int, base: int, step:
     return w.join(scale, [*keys, "win"]).withColumn("scaled", F.col("value") / F.col("scale"))
 
 
+def with_covariates(values: DataFrame, covariates: DataFrame, on: str = "h") -> DataFrame:
+    """Values beside the covariates of their time or position; those without covariates go."""
+    return values.join(covariates, on)
+
+
 def with_age(df: DataFrame, keys: list[str]) -> DataFrame:
     """``age``: the index since the first non-zero value, z-scored over all rows of the series."""
     from pyspark.sql import Window

@@ -18,11 +18,34 @@ def cut_at_least(score: Column, warning: float | Column, critical: float | Colum
     return F.when(F.isnan(score) | score.isNull(), SEVERITIES[0]).when(score >= critical, SEVERITIES[2]).when(score >= warning, SEVERITIES[1]).otherwise(SEVERITIES[0])
 
 
+def anomalies(signals: DataFrame) -> DataFrame:
+    """Signals that aren't normal."""
+    return signals.where(F.col("severity") != SEVERITIES[0])
+
+
+def with_group_labels(signals: DataFrame, labels: DataFrame, key: str = "entity_uid") -> DataFrame:
+    """The signals with their entity's labels; entities without any keep their signals."""
+    return signals.join(labels, key, "left")
+
+
 def cut_above(score: Column, warning: Column | float, critical: Column | float) -> Column:
     """Severity by exclusive cuts; NaN is normal."""
     return F.when(F.isnan(score) | score.isNull(), SEVERITIES[0]).when(score > critical, SEVERITIES[2]).when(score > warning, SEVERITIES[1]).otherwise(SEVERITIES[0])
 
 
+def recent_tail(points: DataFrame, keys: list[str], recent: float = Z_RECENT, order: list[str] | None = None) -> DataFrame:
+    """The last ``recent`` share of each key's points by time and value, one at least."""
+    order = order or ["ts_ms", "value"]
+    part = Window.partitionBy(*keys)
+    ranked = points.withColumn("_rn", F.row_number().over(part.orderBy(*[F.desc(c) for c in order]))).withColumn("_n", F.count(F.lit(1)).over(part))
+    return ranked.where(F.col("_rn") <= F.greatest(F.lit(1), F.floor(F.col("_n") * recent))).drop("_rn", "_n")
+
+
+def without_rollups(signals: DataFrame) -> DataFrame:
+    """Signals of channels: those of entities go."""
+    return signals.where(F.col("metric_name") != ENTITY_METRIC)
+
+
 def zscore(points: DataFrame, keys: list[str], order: list[str] | None = None, value: str = "value", warning: float = Z_WARNING, critical: float = Z_CRITICAL, min_points: int = Z_MIN_POINTS, recent: float = Z_RECENT) -> DataFrame:
     """One row for each key: n_points, score (rounded to 4) and severity.
 
@@ -54,7 +77,7 @@ def error_ratio(windows: DataFrame, keys: list[str], error: str = "error", order
     scored = windows.where(F.col(eval_flag)).select(*keys, F.col(error).alias("eval_error")).join(history, keys, "left")
     baseline = F.coalesce(F.col("baseline"), F.col("eval_error"))
     raw = F.when(F.col("baseline").isNull(), F.lit(1.0)).otherwise(F.col("eval_error") / F.greatest(baseline, F.lit(R_FLOOR)))
-    return scored.select(*keys, "eval_error", baseline.alias("baseline"), F.round(raw, 4).alias("score"), cut_at_least(raw, warning, critical).alias("severity"))
+    return scored.select(*keys, "eval_error", baseline.alias("baseline"), raw.alias("raw"), F.round(raw, 4).alias("score"), cut_at_least(raw, warning, critical).alias("severity"))
 
 
 POLICIES = ("max", "mean", "l2")

@@ -145,10 +145,62 @@ def reconstruction_errors(series: DataFrame, keys: list[str], context: int, patc
     return series.select(*keys, "series").mapInPandas(fit, schema)
 
 
-def detect_by_error(points: DataFrame, errors: DataFrame, keys: list[str], method: str) -> DataFrame:
-    """Signals from error ratios; series too short for a window fall back to the z-score, and ``method`` says which ran."""
-    scored = detect.error_ratio(errors, keys).select(*keys, "score", "severity", F.lit(method).alias("method"))
-    plain = detect.zscore(points, keys)
+def model_errors(series: DataFrame, keys: list[str], spec: ModelSpec, engine, face: str) -> DataFrame:
+    """win, is_eval, error and failure for windows of each series, from a model: the RMSE of its forecasts, or its mean rebuilding error.
+
+    ``engine`` has forecast(x) -> [batch, horizon, channels] and reconstruct(x) -> (patches, errors); it is broadcast, and a worker makes it once. History windows lie in the first
+    80 %, a quarter of a context apart, one at least; the evaluated window is the last. Series shorter than a window give no row. A failing model gives one row with what it said.
+    """
+    c = spec.context_length
+    span = c + spec.horizon if face == "forecast" else c
+    step = max(1, c // 4)
+    held = series.sparkSession.sparkContext.broadcast(engine)
+
+    def run(batches):
+        model = held.value
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                x = np.asarray(row.series, float)
+                if len(x) < span:
+                    continue
+                own = row[: len(keys)]
+                starts = [*range(0, max(span, int(len(x) * 0.8)) - span + 1, step), len(x) - span]
+                wins = np.stack([x[s : s + span] for s in starts])[:, :, None]
+                try:
+                    if face == "forecast":
+                        errors = np.sqrt(((model.forecast(wins[:, :c]) - wins[:, c:]) ** 2).mean(axis=(1, 2)))
+                    else:
+                        errors = np.asarray(model.reconstruct(wins)[1]).reshape(len(wins), -1).mean(axis=1)
+                    out += [(*own, i, i + 1 == len(starts), float(e), None) for i, e in enumerate(errors)]
+                except Exception as failed:  # the z-score answers instead, and says so
+                    out.append((*own, 0, True, None, f"{type(failed).__name__}: {failed}"))
+            yield pd.DataFrame(out, columns=[*keys, "win", "is_eval", "error", "failure"])
+
+    kinds = dict(series.dtypes)
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", win int, is_eval boolean, error double, failure string"
+    return series.select(*keys, "series").mapInPandas(run, schema)
+
+
+def detect_by_error(points: DataFrame, errors: DataFrame, keys: list[str], method: str, policy=None) -> DataFrame:
+    """Signals from error ratios; series too short for a window, or whose model failed, fall back to the z-score, and ``method`` says which ran.
+
+    ``policy`` (scores, keys, order) -> scores with severity judges instead of the fixed cuts; ``failure`` tells why a model gave no score.
+    """
+    known = errors.where(F.col("error").isNotNull()) if "failure" in errors.columns else errors
+    ratio = detect.error_ratio(known, keys)
+    if policy is not None:
+        order = [k for k in keys if k == "win_start"] or [F.lit(0)]
+        ratio = policy(ratio.drop("severity").withColumn("score", F.col("raw")), [k for k in keys if k != "win_start"] if "win_start" in keys else keys, order)
+    scored = ratio.select(*keys, F.round("score", 4).alias("score"), "severity", F.lit(method).alias("method"))
+    if "failure" in errors.columns:
+        failed = errors.where(F.col("failure").isNotNull()).select(*keys, "failure")
+        return _with_fallback(points, scored, keys).join(failed, keys, "left")
+    return _with_fallback(points, scored, keys)
+
+
+def _with_fallback(points: DataFrame, scored: DataFrame, keys: list[str]) -> DataFrame:
+    plain = detect.zscore(points, keys, ["ts_ms", "value"])
     out = plain.alias("z").join(scored.alias("r"), keys, "left")
     has = F.col("r.method").isNotNull()
     return out.select(*keys, F.when(has, F.col("r.score")).otherwise(F.col("z.score")).alias("score"), F.when(has, F.col("r.severity")).otherwise(F.col("z.severity")).alias("severity"), F.when(has, F.col("r.method")).otherwise("zscore").alias("method"), "z.n_points")

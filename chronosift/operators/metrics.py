@@ -54,6 +54,17 @@ def gaussian_nll(x: Column, mu: Column, sigma: Column) -> Column:
     return 0.5 * math.log(2 * math.pi) + F.ln(sigma) + (x - mu) * (x - mu) / (2 * sigma * sigma)
 
 
+def loss_mask(truth: Column, how: str = "nonzero") -> Column:
+    """Which rows count in a loss: those whose truth isn't 0, or isn't negative (``known``)."""
+    return {"nonzero": truth != 0, "known": truth >= 0}[how]
+
+
+def patch_error(patches: DataFrame, keys: list[str], true: str = "patch", pred: str = "rebuilt") -> DataFrame:
+    """Mean square error of rebuilt patches over patches and the places in them; patches of a key are of one length."""
+    square = F.zip_with(true, pred, lambda a, b: (a - b) * (a - b))
+    return patches.groupBy(*keys).agg(F.avg(F.aggregate(square, F.lit(0.0), lambda s, x: s + x) / F.size(true)).alias("error"))
+
+
 def bundle(df: DataFrame, keys: list[str], p: str = "pred", t: str = "true") -> DataFrame:
     """mae, mse, rmse, mape, mspe, rse and corr of each key; corr over series if there is a column ``cell``, else over single cells."""
     names = {"mae": mae, "mse": mse, "rmse": rmse, "mape": mape, "mspe": mspe, "rse": rse}

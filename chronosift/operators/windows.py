@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronosift.storage import durable
+
 
 def indexed(df: DataFrame, keys: list[str], order: list[str], name: str = "idx") -> DataFrame:
     """A running index from 0 within each key."""
@@ -135,22 +137,89 @@ def sliding(df: DataFrame, keys: list[str], ts_s: str, size_s: int, slide_s: int
     return df.withColumn("win_start", F.explode(starts))
 
 
-def sample_with_replacement(df: DataFrame, n: int, weight: Column, seed: int, order: str, parts: int = 32) -> DataFrame:
-    """``n`` draws in proportion to |weight|: seeded numbers are looked up in cumulative weights.
+def running_sum(df: DataFrame, keys: list[str], order: str, value: str = "value", name: str = "total") -> DataFrame:
+    """The sum of a series up to each point."""
+    return df.withColumn(name, F.sum(value).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def date_range(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
+    """Rows from ``start`` to ``end``, both included; a filter that reaches the scan."""
+    kind = dict(df.dtypes)[ts]
+    return df.where(F.col(ts).between(F.lit(start).cast(kind), F.lit(end).cast(kind)))
+
+
+def split_series(df: DataFrame, keys: list[str], sep: str = "/") -> DataFrame:
+    """The rows with the name of their series, dealt so that a series is in one partition and in order of time."""
+    return df.withColumn("series", F.concat_ws(sep, *keys)).repartition("series")
+
+
+def noise(keys: list[str], seed: int) -> Column:
+    """A number in [0, 1) that hangs on the keys' values and the seed alone, the same in any plan and after any loss."""
+    digest = F.md5(F.concat_ws("/", *keys, F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
+
+def shuffled_rank(df: DataFrame, keys: list[str], seed: int, name: str = "rank") -> DataFrame:
+    """The place (from 0) of each row in a random order of all rows, given by the digest of its keys.
+
+    Rows are dealt to ranges of the digest; the counts of the ranges give each its offset, so no task sees all rows.
+    """
+    digest = F.md5(F.concat_ws("/", *keys, F.lit(str(seed))))
+    whole = df.withColumn("_d", digest)
+    width = max(1, min(4, len(f"{df.count() // 50_000:x}")))  # 16, 256, 4096 or 65536 ranges
+    whole = whole.withColumn("_r", F.substring("_d", 1, width))
+    counts = whole.groupBy("_r").agg(F.count(F.lit(1)).alias("_c"))
+    offsets = counts.select("_r", (F.sum("_c").over(Window.orderBy("_r")) - F.col("_c")).alias("_o"))  # at most 65536 rows
+    within = F.row_number().over(Window.partitionBy("_r").orderBy("_d", *keys)) - 1
+    return whole.withColumn("_w", within).join(F.broadcast(offsets), "_r").withColumn(name, (F.col("_o") + F.col("_w")).cast("long")).drop("_d", "_r", "_w", "_o")
+
+
+def random_batches(df: DataFrame, keys: list[str], size: int, seed: int) -> DataFrame:
+    """All rows in a random order, cut to batches of ``size``: batch and place in it."""
+    ranked = shuffled_rank(df, keys, seed, "_rank")
+    return ranked.withColumn("batch", F.floor(F.col("_rank") / size)).withColumn("place", F.pmod("_rank", F.lit(size))).drop("_rank")
+
+
+def random_mask(patches: DataFrame, keys: list[str], patch: str, ratio: float, seed: int) -> DataFrame:
+    """``masked`` for each patch: of a window's L patches the int(L * (1 - ratio)) of lowest noise are kept."""
+    part = Window.partitionBy(*keys)
+    rank = F.row_number().over(part.orderBy(noise([*keys, patch], seed), patch))
+    kept = F.floor(F.count(F.lit(1)).over(part) * F.lit(1 - ratio) + 1e-9)
+    return patches.withColumn("masked", rank > kept)
+
+
+def ordinals(df: DataFrame, order: list[str], parts: int | None = None, name: str = "rn") -> DataFrame:
+    """The place (from 1) of each row in the order of all rows. Ranges of the order are dealt once and kept, so that they are the same when
+    they are read again; their counts give each its offset."""
+    parts = parts or max(1, min(4096, df.count() // 50_000 + 1))
+    dealt = durable(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
+    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_c"))
+    before = counts.select("_part", (F.sum("_c").over(Window.orderBy("_part")) - F.col("_c")).alias("_o"))  # ``parts`` rows
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return dealt.withColumn("_w", within).join(F.broadcast(before), "_part").withColumn(name, (F.col("_o") + F.col("_w")).cast("long")).drop("_part", "_o", "_w")
+
+
+def sample_with_replacement(df: DataFrame, n: int, weight: Column, seed: int, key: str) -> DataFrame:
+    """``n`` draws in proportion to |weight|: seeded numbers are looked up in cumulative weights, the rows in order of ``key``'s digest.
 
-    Rows are dealt to ranges of ``order``; sums of the ranges (``parts`` rows) give each its offset, and a draw goes to its range. Within a range
-    draws and rows are merged in order, so no task sees all rows and no range join is made on them.
+    Rows are dealt to ranges of the digest; their sums (at most 65536) give each its offset, and a draw goes to its range. Within a range
+    draws and rows are merged in order, so no task sees all rows and no range join is made on them. Draws and order hang on seed and keys alone.
     """
     spark = df.sparkSession
-    dealt = df.repartitionByRange(parts, order).withColumn("_w", F.abs(weight)).withColumn("_part", F.spark_partition_id())
+    width = max(1, min(4, len(f"{df.count() // 50_000:x}")))
+    row = F.struct(*df.columns)
+    dealt = df.select(row.alias("_row"), F.abs(weight).alias("_w"), F.md5(F.col(key).cast("string")).alias("_d")).where("_w > 0").withColumn("_part", F.substring("_d", 1, width))
     sums = dealt.groupBy("_part").agg(F.sum("_w").alias("_sum"))
-    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)  # over ``parts`` rows
-    spans = sums.withColumn("_hi", F.sum("_sum").over(upto)).withColumn("_lo", F.col("_hi") - F.col("_sum")).cache()
-    total = spans.agg(F.max("_hi")).first()[0] or 0.0
-    inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    cum = dealt.join(F.broadcast(spans), "_part").select("_part", (F.col("_lo") + F.sum("_w").over(inside)).alias("_at"), F.lit(None).cast("long").alias("draw"), F.struct(*df.columns).alias("_row"))
-    draws = spark.range(n).select(F.col("id").alias("draw"), (F.rand(seed) * F.lit(total)).alias("_at"))
-    draws = draws.join(F.broadcast(spans), (F.col("_at") > F.col("_lo")) & (F.col("_at") <= F.col("_hi"))).select("_part", "_at", "draw")
+    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    spans = sorted(tuple(r) for r in sums.withColumn("_hi", F.sum("_sum").over(upto)).select("_part", "_sum", "_hi").collect())
+    total = float(spans[-1][2]) if spans else 0.0
+    table = F.broadcast(spark.createDataFrame([(p, float(hi - own), float(hi)) for p, own, hi in spans], "_part string, _lo double, _hi double"))
+    inside = Window.partitionBy("_part").orderBy("_d").rowsBetween(Window.unboundedPreceding, 0)
+    cum = dealt.join(table, "_part").select("_part", (F.col("_lo") + F.sum("_w").over(inside)).alias("_at"), F.lit(None).cast("long").alias("draw"), "_row")
+    draws = spark.range(n).select(F.col("id").alias("draw")).select("draw", (noise(["draw"], seed) * F.lit(total)).alias("_at"))
+    draws = draws.join(table, (F.col("_at") >= F.col("_lo")) & (F.col("_at") < F.col("_hi"))).select("_part", "_at", "draw")
     both = cum.unionByName(draws, allowMissingColumns=True)
-    found = both.withColumn("_row", F.first("_row", ignorenulls=True).over(Window.partitionBy("_part").orderBy("_at", F.desc_nulls_last("draw")).rowsBetween(0, Window.unboundedFollowing)))
+    # a draw takes the first row whose cumulative weight is above it
+    after = F.first(F.when(F.col("draw").isNull(), F.col("_row")), ignorenulls=True).over(Window.partitionBy("_part").orderBy("_at", F.asc_nulls_first("draw")).rowsBetween(1, Window.unboundedFollowing))
+    found = both.withColumn("_row", F.coalesce("_row", after))
     return found.where("draw IS NOT NULL AND _row IS NOT NULL").select("draw", "_row.*")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chronosift.functions import calendar
-from chronosift.operators import datasets, windows
+from chronosift.functions import calendar, series
+from chronosift.operators import datasets, metrics, windows
 from chronosift.plans.base import POINTS, Registry, points, r6, table
+from chronosift.schema import label_value
 from chronosift.sources import files
 
 Q = Registry()
@@ -43,9 +44,9 @@ def _(spark, sf):
     return files.synthetic(spark, ["a", "b"], ["cpu", "mem", "net"], 100, 60_000, 15, 2.0, 0.5, 40)
 
 
-@Q("src6_wide_to_long", "SELECT CAST(l_orderkey AS VARCHAR) AS ts_cell, channel, value FROM (SELECT l_orderkey, l_quantity, l_discount, l_tax FROM lineitem WHERE l_linenumber = 1) UNPIVOT (value FOR channel IN (l_quantity, l_discount, l_tax))")
+@Q("src6_wide_to_long", "SELECT CAST(l_orderkey AS VARCHAR) AS ts_cell, channel, value FROM (SELECT l_orderkey, l_quantity, l_discount, l_tax FROM lineitem) UNPIVOT (value FOR channel IN (l_quantity, l_discount, l_tax))")
 def _(spark, sf):
-    wide = table(spark, sf, "lineitem").where("l_linenumber = 1").select("l_orderkey", "l_quantity", "l_discount", "l_tax")
+    wide = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_discount", "l_tax")
     return files.wide_to_long(wide, "l_orderkey")
 
 
@@ -67,9 +68,12 @@ def _(spark, sf):
     return e.where("value > 10").groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
-@Q("src15_sinusoids")
+_WAVES = "WITH k AS (SELECT CAST(s AS BIGINT) AS series_id, p, 5 + 5 * (('0x' || substr(md5(s || '/' || p || '/a/0'), 1, 8))::BIGINT / 4294967296.0) AS amp, 2 * pi() * (('0x' || substr(md5(s || '/' || p || '/f/0'), 1, 8))::BIGINT / 4294967296.0) AS phase FROM range(0, 6) t(s), (VALUES (24), (168), (720)) y(p))"
+
+
+@Q("src15_sinusoids", _WAVES + " SELECT series_id, CAST(i AS BIGINT) AS idx, round(sum(amp * sin(2 * pi() * i / p + phase)), 6) AS value FROM k, range(0, 2000) r(i) GROUP BY 1, 2")
 def _(spark, sf):
-    return files.sinusoids(spark, 6, 200).groupBy("series_id").agg(F.count("*").alias("n"))
+    return files.sinusoids(spark, 6, 2000, noise=0.0).select("series_id", "idx", r6("value").alias("value"))
 
 
 # ---- scalar functions
@@ -107,7 +111,7 @@ def _(spark, sf):
 @Q("f10_label_pairs", "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_type || '=x' ELSE '' END AS v FROM events")
 def _(spark, sf):
     pair = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("k="), F.col("event_type"), F.lit("=x"))).otherwise("k")
-    return table(spark, sf, "events").select("event_id", F.coalesce(F.get(F.split(pair, "=", 2), F.lit(1)), F.lit("")).alias("v"))
+    return table(spark, sf, "events").select("event_id", label_value(pair).alias("v"))
 
 
 @Q("f15_marks", "SELECT event_id, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day, CAST(isodow(ts) - 1 AS INTEGER) AS weekday, CAST(hour(ts) AS INTEGER) AS hour, CAST(minute(ts) // 15 AS INTEGER) AS minute FROM events")
@@ -152,7 +156,7 @@ def _(spark, sf):
 def _(spark, sf):
     e = table(spark, sf, "events").withColumn("h", F.date_trunc("hour", "ts"))
     cov = e.select("h", F.weekday("ts").alias("weekday")).distinct()
-    return e.join(cov, "h").select("event_id", "weekday")
+    return datasets.with_covariates(e, cov).select("event_id", "weekday")
 
 
 # ---- filters and aggregates of data preparation
@@ -172,7 +176,7 @@ def _(spark, sf):
 
 @Q("pf6_last_steps", "SELECT vec_id, round(CAST(list_sum(list_transform(embedding[-5:], lambda x: CAST(x AS DOUBLE))) AS DOUBLE), 5) AS total FROM embeddings")
 def _(spark, sf):
-    v = table(spark, sf, "embeddings").select("vec_id", F.slice(F.col("embedding").cast("array<double>"), -5, 5).alias("v"))
+    v = table(spark, sf, "embeddings").select("vec_id", series.last_steps(F.col("embedding").cast("array<double>"), 5).alias("v"))
     return v.select("vec_id", F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
 
 
@@ -213,12 +217,12 @@ def _(spark, sf):
 
 @Q("pf11_date_range", "SELECT event_id FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-12'")
 def _(spark, sf):
-    return table(spark, sf, "events").where("ts BETWEEN TIMESTAMP_NTZ '2024-01-05' AND TIMESTAMP_NTZ '2024-01-12'").select("event_id")
+    return windows.date_range(table(spark, sf, "events"), "ts", "2024-01-05", "2024-01-12").select("event_id")
 
 
 @Q("pf12_loss_mask", "SELECT event_type, count(*) FILTER (value <> 0) AS nonzero, count(*) FILTER (value >= 0) AS known FROM events GROUP BY 1")
 def _(spark, sf):
-    return table(spark, sf, "events").groupBy("event_type").agg(F.count_if(F.col("value") != 0).alias("nonzero"), F.count_if(F.col("value") >= 0).alias("known"))
+    return table(spark, sf, "events").groupBy("event_type").agg(F.count_if(metrics.loss_mask(F.col("value"))).alias("nonzero"), F.count_if(metrics.loss_mask(F.col("value"), "known")).alias("known"))
 
 
 @Q("ag14_resample", "WITH e AS (SELECT event_type, CAST(ceil(CAST(epoch_us(ts) // 1000000 AS DOUBLE) / 3600) * 3600 - 3600 AS BIGINT) AS bucket, value FROM events), s AS (SELECT event_type, bucket, sum(value) AS v FROM e GROUP BY ALL), r AS (SELECT event_type, unnest(range(min(bucket), max(bucket) + 3600, 3600)) AS bucket FROM s GROUP BY 1) SELECT r.event_type, r.bucket, round(coalesce(v, 0), 5) AS value FROM r LEFT JOIN s ON s.event_type = r.event_type AND s.bucket = r.bucket")
@@ -239,9 +243,9 @@ _scale("positive", "coalesce(avg(value) FILTER (value > 0), 0)")
 _scale("std", "coalesce(stddev_samp(value), 0)")
 
 
-@Q("ag17_series_split", f"WITH {POINTS} SELECT group_id, channel, count(*) AS n FROM p GROUP BY ALL")
+@Q("ag17_series_split", f"WITH {POINTS} SELECT group_id || '/' || channel AS series, count(*) AS n, min(ts_ms) AS first_ts, max(ts_ms) AS last_ts FROM p GROUP BY 1")
 def _(spark, sf):
-    return points(spark, sf).groupBy(*KEYS).agg(F.count("*").alias("n"))
+    return windows.split_series(points(spark, sf), KEYS).groupBy("series").agg(F.count("*").alias("n"), F.min("ts_ms").alias("first_ts"), F.max("ts_ms").alias("last_ts"))
 
 
 @Q("so1_union_of_buckets", f"WITH {POINTS} SELECT DISTINCT group_id, ts_ms - ts_ms % 3600000 AS bucket FROM p")
@@ -311,5 +315,41 @@ def _(spark, sf):
 
 @Q("ds9_flow", f"WITH {_SPARSE}, g AS (SELECT group_id, channel FROM q GROUP BY ALL HAVING avg(CASE WHEN value = 0 THEN 1.0 ELSE 0 END) <= 0.2), k AS (SELECT * FROM q SEMI JOIN g USING (group_id, channel)), l AS (SELECT min(c) AS least FROM (SELECT count(*) AS c FROM k GROUP BY group_id, channel)), r AS (SELECT *, row_number() OVER (PARTITION BY group_id, channel ORDER BY ts_ms DESC, value DESC) AS rn FROM k) SELECT group_id, channel, count(*) AS n, round(sum(value), 5) AS total FROM r WHERE rn <= (SELECT least FROM l) GROUP BY ALL")
 def _(spark, sf):
-    good = windows.drop_mostly_zero(_sparse(spark, sf), KEYS).withColumn("o", F.struct("ts_ms", "value"))
-    return windows.right_aligned(good, KEYS, "o").groupBy(*KEYS).agg(F.count("*").alias("n"), F.round(F.sum("value"), 5).alias("total"))
+    out = datasets.flow(_sparse(spark, sf).withColumn("o", F.struct("ts_ms", "value")), KEYS, "o", 1, 1)
+    return out.groupBy(*KEYS).agg(F.count("*").alias("n"), F.round(F.sum("value"), 5).alias("total"))
+
+
+@Q("ds5_sinusoid_set", f"WITH {_IDX}, {_PARTS}, st AS (SELECT group_id, channel, avg(value) AS m, CASE WHEN stddev_pop(value) = 0 THEN 1 ELSE stddev_pop(value) END AS sd FROM i WHERE idx < floor(n * 0.7) GROUP BY ALL) SELECT part, group_id, channel, idx, round((value - m) / sd, 5) AS scaled, 0.0::DOUBLE AS mark FROM i JOIN st USING (group_id, channel) CROSS JOIN parts WHERE {_CUT}")
+def _(spark, sf):
+    out = datasets.sinusoid_set(points(spark, sf), _SPEC, KEYS, ["ts_ms", "value"])
+    return out.select("part", *KEYS, "idx", F.round("scaled", 5).alias("scaled"), "mark")
+
+
+_STEP = f"WITH {_SI}, n AS (SELECT *, count(*) OVER (PARTITION BY group_id, channel) AS n FROM i), w AS (SELECT *, unnest(range(0, n)) AS win FROM n), qq AS (SELECT *, idx - win * 3 AS pos FROM w WHERE win * 3 + 6 <= n AND idx BETWEEN win * 3 AND win * 3 + 5), s AS (SELECT group_id, channel, win, coalesce(avg(value) FILTER (value <> 0), 0) + 1 AS v FROM qq GROUP BY ALL), h AS (SELECT *, unnest(range(0, 2)) AS h FROM qq JOIN s USING (group_id, channel, win))"
+
+
+def _single_step(kind: str, given: str, target: str):
+    @Q(f"ds11_single_step_{kind}", _STEP + f" SELECT group_id, channel, win, h, round(sum(CASE WHEN pos - h = 4 THEN -1 ELSE {given} END), 4) AS given, round(sum({target}) FILTER (pos - h = 4), 4) AS target FROM h WHERE pos - h BETWEEN 0 AND 4 GROUP BY ALL")
+    def _(spark, sf):
+        w = windows.window_points(windows.with_length(_sparse_idx(spark, sf), KEYS), 6, 3)
+        scale = windows.window_scale(w, [*KEYS, "win"], "nonzero").withColumnRenamed("scale", "v")
+        out = datasets.single_step_test(w.join(scale, [*KEYS, "win"]), kind, 6, 2)
+        return out.groupBy(*KEYS, "win", F.col("h").cast("long").alias("h")).agg(F.round(F.sum("value"), 4).alias("given"), F.round(F.sum("target"), 4).alias("target"))
+
+
+_single_step("elect", "CASE WHEN v > 0 THEN value / v ELSE value END", "value")
+_single_step("flow", "value", "value * v")
+
+
+@Q("ds11_single_step_train")
+def _(spark, sf):
+    w = windows.window_points(windows.with_length(_sparse_idx(spark, sf), KEYS), 6, 3)
+    scale = windows.window_scale(w, [*KEYS, "win"], "nonzero").withColumnRenamed("scale", "v")
+    out = datasets.single_step_train(w, scale, [*KEYS, "win"], 6, 2, seed=4)
+    return out.groupBy("draw").agg(F.count("*").alias("n"), F.count("target").alias("targets"))
+
+
+@Q("ds12_long_range_set", f"WITH {_SI}, n AS (SELECT *, count(*) OVER (PARTITION BY group_id, channel) AS n FROM i), b AS (SELECT group_id, channel, max(n) AS n, 6 + floor(0.9 * ((max(n) - 6) / 2.0)) * 2 AS train_end FROM n GROUP BY ALL), c AS (SELECT *, train_end - 4 + 1 AS test_start FROM b), p AS (SELECT group_id, channel, 'train' AS part, unnest(range(0, CAST(greatest(0, floor((train_end - 6) / 2)) AS BIGINT))) AS win, 0 AS beg FROM c UNION ALL SELECT group_id, channel, 'test', unnest(range(0, CAST(greatest(0, floor((n - test_start - 6) / 2)) AS BIGINT))), test_start FROM c), x AS (SELECT p.*, i.value, i.idx - (beg + win * 2) AS pos FROM p JOIN i ON i.group_id = p.group_id AND i.channel = p.channel AND i.idx >= beg + win * 2 AND i.idx < beg + win * 2 + 6), m AS (SELECT *, avg(value) FILTER (pos < 4) OVER (PARTITION BY group_id, channel, part, win) AS mean FROM x) SELECT part, group_id, channel, win, count(*) AS n, round(sum(CASE WHEN mean > 0 THEN value / (mean + 1) ELSE value END), 5) AS total FROM m GROUP BY ALL")
+def _(spark, sf):
+    out = datasets.long_range_set(_sparse(spark, sf).withColumn("o", F.struct("ts_ms", "value")), KEYS, ["o"], 4, 2, stride=2)
+    return out.groupBy("part", *KEYS, "win").agg(F.count("*").alias("n"), F.round(F.sum("scaled"), 5).alias("total"))

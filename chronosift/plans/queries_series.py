@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chronosift.functions import series as S
-from chronosift.operators import metrics, scaling, windows
+from chronosift.operators import graph, metrics, scaling, windows
 from chronosift.plans.base import POINTS, Registry, points, r6, table
 
 Q = Registry()
@@ -17,7 +17,7 @@ _IDX = POINTS + ", i AS (SELECT *, row_number() OVER (PARTITION BY group_id, cha
 
 
 def _series(spark, sf):
-    return points(spark, sf).groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("ts_ms", "value"))).alias("p")).select(*KEYS, F.col("p.value").alias("v"))
+    return S.ordered_series(points(spark, sf), KEYS).withColumnRenamed("series", "v")
 
 
 def _indexed(spark, sf):
@@ -61,13 +61,10 @@ def _(spark, sf):
 @Q("w15_split_windows", f"""WITH {_IDX}, w AS (SELECT DISTINCT group_id, channel, unnest(range(0, greatest(0, n - 5))) AS win FROM i), r AS (SELECT *, count(*) OVER () AS total, row_number() OVER (ORDER BY group_id, channel, win) AS rn FROM w)
  SELECT CASE WHEN rn <= floor(total * 0.97) THEN 'train' ELSE 'test' END AS part, count(*) AS n FROM r GROUP BY 1""")
 def _(spark, sf):
-    w = windows.window_points(_indexed(spark, sf), 6).select(*KEYS, "win").distinct()
+    w = windows.window_points(_indexed(spark, sf), 6).where("pos = 0").select(*KEYS, "win")
     total = w.count()
-    # ordinals by sorted partitions: counts before each partition, then the rank within, so no task sees all windows
-    part = w.repartitionByRange(16, *KEYS, "win").withColumn("part", F.spark_partition_id())
-    before = part.groupBy("part").count().withColumn("before", F.sum("count").over(Window.orderBy("part")) - F.col("count"))
-    rn = part.withColumn("rn", F.row_number().over(Window.partitionBy("part").orderBy(*KEYS, "win"))).join(before, "part")
-    return rn.groupBy(F.when(F.col("before") + F.col("rn") <= int(total * 0.97), "train").otherwise("test").alias("part")).agg(F.count("*").alias("n"))
+    rn = windows.ordinals(w, [*KEYS, "win"])
+    return rn.groupBy(F.when(F.col("rn") <= int(total * 0.97), "train").otherwise("test").alias("part")).agg(F.count("*").alias("n"))
 
 
 @Q("w16_horizon_steps", f"WITH {_IDX}, w AS (SELECT *, unnest(range(0, greatest(0, n - 6))) AS win FROM i), q AS (SELECT *, idx - win AS pos FROM w WHERE idx BETWEEN win AND win + 6), h AS (SELECT *, unnest(range(0, 3)) AS h FROM q) SELECT h, count(*) AS n, count(*) FILTER (pos - h = 4) AS masked, round(sum(CASE WHEN pos - h = 4 THEN -1 ELSE value END), 4) AS total, round(sum(value) FILTER (pos - h = 4), 4) AS target FROM h WHERE pos - h BETWEEN 0 AND 4 GROUP BY 1")
@@ -97,8 +94,7 @@ def _(spark, sf):
 
 @Q("w20_running_sum", f"WITH {_IDX} SELECT group_id, channel, idx, round(sum(value) OVER (PARTITION BY group_id, channel ORDER BY idx), 5) AS total FROM i")
 def _(spark, sf):
-    w = Window.partitionBy(*KEYS).orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
-    return _indexed(spark, sf).select(*KEYS, "idx", F.round(F.sum("value").over(w), 5).alias("total"))
+    return windows.running_sum(_indexed(spark, sf), KEYS, "idx").select(*KEYS, "idx", F.round("total", 5).alias("total"))
 
 
 @Q("w21_roll", "SELECT vec_id, round(CAST(embedding[6] AS DOUBLE), 6) AS first, round(CAST(embedding[5] AS DOUBLE), 6) AS last FROM embeddings")
@@ -120,11 +116,16 @@ def _(spark, sf):
     return both.groupBy(*KEYS, "win").agg(F.round(F.sum(F.col("value") / F.col("scale")), 5).alias("total"))
 
 
-@Q("j10_pyramid_edges", "WITH n AS (SELECT unnest(range(0, 64)) AS a) SELECT a, b FROM n, LATERAL (SELECT unnest(range(greatest(0, a - 1), least(63, a + 1) + 1)) AS b) WHERE a <> b UNION ALL SELECT a, 64 + a // 4 FROM n")
+@Q("j10_pyramid_edges", "WITH n AS (SELECT unnest(range(0, 64)) AS a), l AS (SELECT unnest(range(0, 16)) AS a) SELECT a, b FROM n, LATERAL (SELECT unnest(range(greatest(0, a - 1), least(63, a + 1) + 1)) AS b) WHERE a <> b UNION ALL SELECT 64 + a, 64 + b FROM l, LATERAL (SELECT unnest(range(greatest(0, a - 1), least(15, a + 1) + 1)) AS b) WHERE a <> b UNION ALL SELECT a, 64 + a // 4 FROM n")
 def _(spark, sf):
-    n = spark.range(64).select(F.col("id").alias("a"))
-    near = n.select("a", F.explode(F.sequence(F.greatest(F.lit(0).cast("long"), F.col("a") - 1), F.least(F.lit(63).cast("long"), F.col("a") + 1))).alias("b")).where("a <> b")
-    return near.union(n.select("a", F.floor(F.col("a") / 4) + 64))
+    return graph.pyramid_edges(spark, 64, [4], 1)
+
+
+@Q("j10_pyramid_of_series", f"WITH {_IDX}, s AS (SELECT group_id, channel, max(n) AS n FROM i GROUP BY ALL) SELECT group_id, channel, count(*) AS n_nodes, sum(CASE WHEN idx // 4 < n // 4 THEN 1 ELSE 0 END) AS n_parents FROM i GROUP BY 1, 2")
+def _(spark, sf):
+    i = _indexed(spark, sf)
+    up = graph.parents(i, "idx", "n", 4)
+    return up.groupBy(*KEYS).agg(F.count("*").alias("n_nodes"), F.sum(F.col("parent").isNotNull().cast("long")).alias("n_parents"))
 
 
 _REV = "WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings), m AS (SELECT *, list_avg(v) AS mu, list_var_pop(v) AS var FROM e)"
@@ -154,10 +155,36 @@ def _(spark, sf):
     return spark.range(64).select(F.col("id").alias("pos"), r6(enc[0]).alias("s0"), r6(enc[1]).alias("c0"), r6(enc[2]).alias("s1"), r6(S.coordinate_encoding(F.col("id"), 64)).alias("coord"))
 
 
-@Q("f27_autocorrelation")
+_CIRCULAR = """WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings), t AS (SELECT vec_id, v, unnest(range(0, len(v) // 2 + 1)) AS lag FROM e),
+ a AS (SELECT vec_id, lag, list_sum(list_transform(range(0, len(v)), lambda i: v[i + 1] * v[(i + lag) % len(v) + 1])) / len(v) AS ac FROM t)"""
+
+
+@Q("f27_autocorrelation", _CIRCULAR + " SELECT vec_id, lag, round(ac, 6) AS ac FROM a")
+def _(spark, sf):
+    v = _vectors(spark, sf).select("vec_id", F.posexplode(S.autocorrelation("v")).alias("lag", "ac"), F.size("v").alias("n"))
+    return v.where(F.col("lag") <= F.floor(F.col("n") / 2)).select("vec_id", F.col("lag").cast("long").alias("lag"), r6("ac").alias("ac"))
+
+
+@Q("f27_top_delays", _CIRCULAR + ", r AS (SELECT vec_id, lag, row_number() OVER (PARTITION BY vec_id ORDER BY round(ac, 6) DESC, lag) AS rn FROM a) SELECT vec_id, lag FROM r WHERE rn <= 3")
 def _(spark, sf):
     v = _vectors(spark, sf).select("vec_id", S.autocorrelation("v").alias("ac"))
-    return v.select("vec_id", r6(F.element_at("ac", 1)).alias("energy"), F.concat_ws(",", S.top_delays(F.col("ac"))).alias("delays"))
+    half = F.transform(F.slice("ac", F.lit(1), F.floor(F.size("ac") / 2).cast("int") + 1), lambda x: F.round(x, 6))  # the other half mirrors it
+    return v.select("vec_id", F.explode(S.top_delays(half, 1.0)).alias("lag")).select("vec_id", F.col("lag").cast("long").alias("lag"))
+
+
+@Q("f31_sigmoid_range", "SELECT vec_id, round(3.0 / (1 + exp(-CAST(embedding[1] AS DOUBLE))) - 1, 6) AS ranged, round(greatest(0, CAST(embedding[2] AS DOUBLE)), 6) AS relu, round(1 / (1 + exp(-CAST(embedding[3] AS DOUBLE))), 6) AS sigmoid FROM embeddings")
+def _(spark, sf):
+    v = _vectors(spark, sf)
+    at = lambda i: F.element_at("v", i)
+    return v.select("vec_id", r6(S.sigmoid_range(at(1), -1.0, 2.0)).alias("ranged"), r6(S.activation("relu", at(2))).alias("relu"), r6(S.activation("sigmoid", at(3))).alias("sigmoid"))
+
+
+@Q("m15_patch_error", "WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings), q AS (SELECT vec_id, unnest(list_transform(range(0, len(v) // 8), lambda k: v[k * 8 + 1 : k * 8 + 8])) AS p FROM e) SELECT vec_id, round(avg(list_avg(list_transform(p, lambda x: pow(x - list_avg(p), 2)))), 8) AS error FROM q GROUP BY 1")
+def _(spark, sf):
+    p = _vectors(spark, sf).select("vec_id", F.explode(S.patches(F.col("v"), 8, 8)).alias("patch"))
+    mean = F.aggregate("patch", F.lit(0.0), lambda a, x: a + x) / F.size("patch")
+    out = metrics.patch_error(p.withColumn("rebuilt", F.array_repeat(mean, F.size("patch"))), ["vec_id"])
+    return out.select("vec_id", F.round("error", 8).alias("error"))
 
 
 @Q("f30_num_patches", "SELECT n, CAST((greatest(n, 16) - 16) // 8 + 1 AS INTEGER) AS patches FROM range(1, 400) t(n)")
@@ -177,9 +204,9 @@ def _(spark, sf):
     return s.select(*KEYS, "idx", F.round("scaled", 5).alias("scaled"), F.round("restored", 5).alias("restored"))
 
 
-@Q("f24_gaussian_pointwise", f"WITH {_IDX} SELECT group_id, channel, idx, round((value - avg(value) OVER w) / (stddev_samp(value) OVER w + 1e-5), 5) AS scaled FROM i WHERE idx < 5 WINDOW w AS (PARTITION BY idx)")
+@Q("f24_gaussian_pointwise", f"WITH {_IDX} SELECT group_id, channel, idx, round((value - avg(value) OVER w) / (stddev_samp(value) OVER w + 1e-5), 5) AS scaled FROM i WINDOW w AS (PARTITION BY idx)")
 def _(spark, sf):
-    return scaling.gaussian(_indexed(spark, sf).where("idx < 5"), ["idx"]).select(*KEYS, "idx", F.round("scaled", 5).alias("scaled"))
+    return scaling.gaussian(_indexed(spark, sf), ["idx"]).select(*KEYS, "idx", F.round("scaled", 5).alias("scaled"))
 
 
 @Q("f24_gaussian_global", "SELECT event_id, round((value - avg(value) OVER ()) / (stddev_samp(value) OVER () + 1e-5), 5) AS scaled FROM events")
@@ -236,9 +263,9 @@ def _(spark, sf):
     return metrics.top_k_loss(d, ["channel"], 25).select("channel", F.round("top_k_loss", 4).alias("top_k_loss"))
 
 
-@Q("m11_gaussian_nll", f"WITH {_PT} SELECT channel, round(avg(0.5 * ln(2 * pi()) + ln(2.0 + idx % 3) + pow(t - q, 2) / (2 * pow(2.0 + idx % 3, 2))), 4) AS nll FROM e WHERE t <> 0 GROUP BY 1")
+@Q("m11_gaussian_nll", f"WITH {_PT} SELECT channel, round(avg(0.5 * ln(2 * pi()) + ln(2.0 + idx % 3) + pow(t - q, 2) / (2 * pow(2.0 + idx % 3, 2))), 4) AS nll FROM e GROUP BY 1")
 def _(spark, sf):
-    d = _pairs(spark, sf).where(F.col("true") != 0)
+    d = _pairs(spark, sf)
     return d.groupBy("channel").agg(F.round(F.avg(metrics.gaussian_nll(F.col("true"), F.col("pred"), F.lit(2.0) + F.col("idx") % 3)), 4).alias("nll"))
 
 
@@ -283,21 +310,30 @@ def _(spark, sf):
     return spark.createDataFrame([(m,) for m in S.frequency_modes(64, 8)], "mode long")
 
 
-@Q("st11_random_mask")
+@Q("st11_random_mask", "WITH p AS (SELECT vec_id, unnest(range(0, len(embedding) // 8)) AS p FROM embeddings), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY substr(md5(vec_id || '/' || p || '/7'), 1, 8), p) AS rn, count(*) OVER (PARTITION BY vec_id) AS l FROM p) SELECT vec_id, p, rn > floor(l * 0.6 + 1e-9) AS masked FROM r")
 def _(spark, sf):
-    w = Window.partitionBy("vec_id").orderBy(F.rand(7), "p")
-    p = _vectors(spark, sf).select("vec_id", F.posexplode(S.patches(F.col("v"), 8, 8)).alias("p", "x"))
-    return p.withColumn("rn", F.row_number().over(w)).groupBy("vec_id").agg(F.count_if(F.col("rn") > 4).alias("masked"))
+    p = _vectors(spark, sf).select("vec_id", F.posexplode(S.patches(F.col("v"), 8, 8)).alias("p", "x")).select("vec_id", F.col("p").cast("long").alias("p"))
+    return windows.random_mask(p, ["vec_id"], "p", 0.4, 7)
+
 
+_DRAWS = f"""WITH {_IDX}, w AS (SELECT *, unnest(range(0, n)) AS win FROM i), v AS (SELECT group_id || '/' || channel || '/' || win AS key, channel, sum(value) AS v FROM w WHERE win * 3 + 6 <= n AND idx BETWEEN win * 3 AND win * 3 + 5 GROUP BY group_id, channel, win),
+ c AS (SELECT *, sum(abs(v)) OVER (ORDER BY md5(key)) AS hi, sum(abs(v)) OVER () AS total FROM v WHERE v <> 0),
+ d AS (SELECT draw, ('0x' || substr(md5(draw || '/3'), 1, 8))::BIGINT / 4294967296.0 * (SELECT any_value(total) FROM c) AS x FROM (SELECT CAST(unnest(range(0, 200)) AS BIGINT) AS draw))"""
 
-@Q("st9_weighted_sample")
+
+@Q("st9_weighted_sample", _DRAWS + " SELECT draw, arg_min(key, hi) AS key FROM d JOIN c ON c.hi > d.x GROUP BY 1")
 def _(spark, sf):
     w = windows.window_points(_indexed(spark, sf), 6, 3).groupBy(*KEYS, "win").agg(F.sum("value").alias("v"))
     w = w.withColumn("key", F.concat_ws("/", *KEYS, "win"))
-    return windows.sample_with_replacement(w, 200, F.col("v"), 3, "key").groupBy("channel").agg(F.count("*").alias("n"))
+    return windows.sample_with_replacement(w, 200, F.col("v"), 3, "key").select("draw", "key")
+
+
+@Q("st10_batches", "WITH r AS (SELECT p_partkey, row_number() OVER (ORDER BY md5(p_partkey || '/5'), p_partkey) - 1 AS rn FROM part) SELECT p_partkey, rn // 32 AS batch, rn % 32 AS place FROM r")
+def _(spark, sf):
+    return windows.random_batches(table(spark, sf, "part").select("p_partkey"), ["p_partkey"], 32, 5)
 
 
-@Q("st10_batches")
+@Q("st5_text_order", "SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY CAST(event_id AS VARCHAR)) - 1 AS idx FROM events")
 def _(spark, sf):
-    n = windows.indexed(table(spark, sf, "part").withColumn("k", F.xxhash64("p_partkey", F.lit(5))).withColumn("g", F.lit(1)), ["g"], ["k"])
-    return n.groupBy(F.floor(F.col("idx") / 32).alias("batch")).agg(F.count("*").alias("n"))
+    e = table(spark, sf, "events").select("event_id", "user_id", F.col("event_id").cast("string").alias("as_text"))
+    return windows.indexed(e, ["user_id"], ["as_text"]).select("event_id", "idx")

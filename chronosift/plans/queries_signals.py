@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chronosift.functions import series
 from chronosift.operators import align, detect, forecast, regime, threshold, windows
 from chronosift.plans.base import DAY, POINTS, SIGNALS, TICKS, Registry, points, r6, signals, table, ticks
 from chronosift.schema import as_signals, labels_json, merge_labels, pivot_problem, quarantine, severity_rank, signal_problem
@@ -125,16 +126,12 @@ def _(spark, sf):
 @Q("j3_labels_on_signals", f"WITH {SIGNALS}, c AS (SELECT CAST(c_custkey AS VARCHAR) AS entity_uid, c_mktsegment AS segment FROM customer) SELECT entity_uid, metric_name, ts, segment FROM signals LEFT JOIN c USING (entity_uid)")
 def _(spark, sf):
     c = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("entity_uid"), F.col("c_mktsegment").alias("segment"))
-    return signals(spark, sf).join(c, "entity_uid", "left").select("entity_uid", "metric_name", "ts", "segment")
+    return detect.with_group_labels(signals(spark, sf), c).select("entity_uid", "metric_name", "ts", "segment")
 
 
 @Q("w1_recent_tail", f"WITH {POINTS}, r AS (SELECT *, row_number() OVER (PARTITION BY group_id, channel ORDER BY ts_ms DESC, value DESC) AS rn, count(*) OVER (PARTITION BY group_id, channel) AS n FROM p) SELECT group_id, channel, count(*) AS n_tail, round(max(value), 6) AS top FROM r WHERE rn <= greatest(1, floor(n * 0.25)) GROUP BY 1, 2")
 def _(spark, sf):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("group_id", "channel")
-    r = points(spark, sf).withColumn("rn", F.row_number().over(w.orderBy(F.desc("ts_ms"), F.desc("value")))).withColumn("n", F.count("*").over(w))
-    return r.where(F.col("rn") <= F.greatest(F.lit(1), F.floor(F.col("n") * 0.25))).groupBy("group_id", "channel").agg(F.count("*").alias("n_tail"), r6(F.max("value")).alias("top"))
+    return detect.recent_tail(points(spark, sf), ["group_id", "channel"]).groupBy("group_id", "channel").agg(F.count("*").alias("n_tail"), r6(F.max("value")).alias("top"))
 
 
 @Q("w3_rolling_quantile", f"""WITH {TICKS}, c AS (SELECT group_id, channel, day, score, count(score) OVER w AS h, quantile_cont(score, 0.95) OVER w AS qw, quantile_cont(score, 0.99) OVER w AS qc FROM ticks
@@ -169,7 +166,7 @@ _REGIME = f"""WITH {TICKS}, t AS (SELECT group_id, channel, day AS seq, CASE WHE
  b AS (SELECT *, CASE WHEN fs = 'critical' AND rs <> 'normal' THEN 1 WHEN fs <> 'critical' AND rs = 'normal' THEN 0 END AS st, sum(CASE WHEN fs = 'critical' AND rs = 'normal' THEN 1 ELSE 0 END) OVER w AS sw FROM t WINDOW w AS (PARTITION BY group_id, channel ORDER BY seq)),
  l AS (SELECT *, last_value(st IGNORE NULLS) OVER w AS s0, last_value(CASE WHEN st IS NOT NULL THEN sw END IGNORE NULLS) OVER w AS k0 FROM b WINDOW w AS (PARTITION BY group_id, channel ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
  f AS (SELECT *, (coalesce(s0, 0) + sw - coalesce(k0, 0)) % 2 AS state FROM l), pr AS (SELECT *, coalesce(lag(state) OVER (PARTITION BY group_id, channel ORDER BY seq), 0) AS prior FROM f)
- SELECT group_id, channel, seq, CASE WHEN prior = 1 THEN 'detective' ELSE 'anticipative' END AS mode, CASE WHEN state = 1 THEN 'incident' ELSE 'normal' END AS regime, CASE WHEN prior = 1 THEN rs ELSE fs END AS severity FROM pr"""
+ SELECT group_id, channel, seq, CASE WHEN prior = 1 THEN 'detective' ELSE 'anticipation' END AS mode, CASE WHEN state = 1 THEN 'incident' ELSE 'normal' END AS regime, CASE WHEN prior = 1 THEN rs ELSE fs END AS severity FROM pr"""
 
 
 @Q("w7_regime_fold", _REGIME)
@@ -222,11 +219,11 @@ def _(spark, sf):
     return store.newest(signals(spark, sf)).select("entity_uid", "metric_name", "ts", "score")
 
 
-@Q("pf7_without_rollups", f"WITH {SIGNALS} SELECT count(*) AS n FROM signals")
+@Q("pf7_without_rollups", f"WITH {SIGNALS} SELECT entity_uid, metric_name, ts, score FROM signals")
 def _(spark, sf):
     s = signals(spark, sf)
-    both = s.select("entity_uid", "metric_name").unionByName(detect.roll_up(s).select("entity_uid", "metric_name"))
-    return both.where(F.col("metric_name") != "__entity__").agg(F.count("*").alias("n"))
+    both = s.unionByName(detect.roll_up(s).select(*s.columns[:2], F.lit(0).cast("long").alias("ts"), "severity", "score", "method", "horizon", "n_points"))
+    return detect.without_rollups(both).select("entity_uid", "metric_name", "ts", "score")
 
 
 @Q("pf13_row_validation", "SELECT CASE WHEN user_id % 7 = 0 THEN 'empty group_id' WHEN user_id % 11 = 0 THEN 'values do not match channels' WHEN user_id % 13 = 0 THEN 'channels repeat' ELSE 'good' END AS problem, count(*) AS n FROM events GROUP BY 1")
@@ -238,14 +235,17 @@ def _(spark, sf):
     return good.select(F.lit("good").alias("problem")).unionByName(bad.select("problem")).groupBy("problem").agg(F.count("*").alias("n"))
 
 
-@Q("pf13_signal_validation", f"WITH {SIGNALS} SELECT count(*) FILTER (ts % 3 <> 0 OR TRUE) AS n_good FROM signals")
+@Q("pf13_signal_validation", f"WITH {SIGNALS} SELECT CASE WHEN n_points % 5 = 0 THEN 'empty entity_uid' WHEN n_points % 3 = 0 THEN 'unknown severity' WHEN score > 1.5 THEN 'unknown horizon' ELSE 'good' END AS problem, count(*) AS n FROM signals GROUP BY 1")
 def _(spark, sf):
-    return quarantine(signals(spark, sf), signal_problem())[0].agg(F.count("*").alias("n_good"))
+    n = F.col("n_points")
+    s = signals(spark, sf).withColumns({"entity_uid": F.when(n % 5 == 0, "").otherwise(F.col("entity_uid")), "severity": F.when(n % 3 == 0, "odd").otherwise(F.col("severity")), "horizon": F.when(F.col("score") > 1.5, "never").otherwise("")})
+    good, bad = quarantine(s, signal_problem())
+    return good.select(F.lit("good").alias("problem")).unionByName(bad.select("problem")).groupBy("problem").agg(F.count("*").alias("n"))
 
 
 @Q("pf14_anomalies", f"WITH {SIGNALS} SELECT entity_uid, metric_name, ts FROM signals WHERE severity <> 'normal'")
 def _(spark, sf):
-    return signals(spark, sf).where(F.col("severity") != "normal").select("entity_uid", "metric_name", "ts")
+    return detect.anomalies(signals(spark, sf)).select("entity_uid", "metric_name", "ts")
 
 
 @Q("pf15_short_series", f"WITH {POINTS}{_Z} SELECT group_id, channel, n_points, score FROM zs WHERE n_points < 8")
@@ -258,10 +258,9 @@ def _(spark, sf):
     return signals(spark, sf).groupBy(severity_rank(F.col("severity")).alias("rank")).agg(F.count("*").alias("n"))
 
 
-@Q("f8_narrative", f"WITH {SIGNALS} SELECT 'signal metric=' || metric_name || ' entity=' || entity_uid || ' severity=' || severity || ' score=' || format('{{:.3f}}', score) || ' method=tick n=' || n_points AS text FROM signals WHERE abs(score * 1000 - floor(score * 1000) - 0.5) > 0.01")
+@Q("f8_narrative", f"WITH {SIGNALS} SELECT 'signal metric=' || metric_name || ' entity=' || entity_uid || ' severity=' || severity || ' score=' || format('{{:.3f}}', score) || ' method=tick n=' || n_points AS text FROM signals")
 def _(spark, sf):
-    s = signals(spark, sf).where("abs(score * 1000 - floor(score * 1000) - 0.5) > 0.01")
-    return as_signals(s, 0).select("text")
+    return as_signals(signals(spark, sf), 0).select("text")
 
 
 @Q("f6_labels_json", "SELECT event_id, '{\"a\":\"' || event_type || '\",\"z\":\"' || user_id || '\"}' AS labels FROM events")
@@ -325,7 +324,7 @@ _sliding("str3_tumbling_windows", 10 * 86400, 10 * 86400)
  b AS (SELECT group_id, channel, avg(err) AS baseline FROM (SELECT *, row_number() OVER (PARTITION BY group_id, channel ORDER BY off DESC) AS rn FROM e WHERE NOT ev) WHERE rn <= 5 GROUP BY ALL)
  SELECT e.group_id, e.channel, round(err, 6) AS eval_error, round(coalesce(baseline, err), 6) AS baseline, round(CASE WHEN baseline IS NULL THEN 1.0 ELSE err / greatest(baseline, 1e-8) END, 4) AS score FROM e LEFT JOIN b USING (group_id, channel) WHERE ev""")
 def _(spark, sf):
-    s = points(spark, sf).groupBy("group_id", "channel").agg(F.array_sort(F.collect_list(F.struct("ts_ms", "value"))).alias("p")).select("group_id", "channel", F.col("p.value").alias("series"))
+    s = series.ordered_series(points(spark, sf), ["group_id", "channel"])
     out = detect.error_ratio(forecast.window_errors(s, ["group_id", "channel"], 4, 2), ["group_id", "channel"])
     return out.select("group_id", "channel", r6("eval_error").alias("eval_error"), r6("baseline").alias("baseline"), "score")
 
@@ -334,8 +333,8 @@ def _model(kind: str):
     @Q(f"dt4_ratio_{kind}")
     def _(spark, sf):
         p = points(spark, sf)
-        s = p.groupBy("group_id", "channel").agg(F.array_sort(F.collect_list(F.struct("ts_ms", "value"))).alias("p")).select("group_id", "channel", F.col("p.value").alias("series"))
         keys = ["group_id", "channel"]
+        s = series.ordered_series(p, keys)
         errors = forecast.reconstruction_errors(s, keys, 6, 2) if kind == "reconstruction" else forecast.window_errors(s, keys, 6, 2, kind)
         return forecast.detect_by_error(p, errors, keys, kind)
 

@@ -13,12 +13,27 @@ class Source(Protocol):
     def describe(self) -> dict: ...
 
 
+@runtime_checkable
+class StreamSource(Source, Protocol):
+    """A source that also gives a stream; ``folder`` is where a bounded one keeps what it replays."""
+
+    def read_stream(self, spark: SparkSession, folder: str) -> DataFrame: ...
+
+
 @runtime_checkable
 class Sink(Protocol):
     def write(self, df: DataFrame) -> None: ...
     def describe(self) -> dict: ...
 
 
+@runtime_checkable
+class StreamSink(Sink, Protocol):
+    """A sink that also takes a stream, batch by batch under the batch's name."""
+
+    def write_batch(self, df: DataFrame, batch: str) -> None: ...
+    def write_stream(self, df: DataFrame, checkpoint: str) -> None: ...
+
+
 _KNOWN: dict[str, type] = {}
 
 

@@ -93,6 +93,29 @@ def labels_json(labels: Column) -> Column:
     return F.to_json(sorted_labels(labels))
 
 
+def label_value(pair: Column) -> Column:
+    """The value of a ``key=value`` text: all behind the first =, empty without one."""
+    return F.coalesce(F.get(F.split(pair, "=", 2), F.lit(1)), F.lit(""))
+
+
+def thousandths(x: Column) -> Column:
+    """The number to three decimals, as printing its exact binary value gives them: halves that only a decimal reading has aren't ties.
+
+    x * 1000 is split into a rounded product and its exact error, which decides at halves; real ties go to the even digit.
+    """
+    p = x * F.lit(1000.0)
+    c = x * F.lit(134217729.0)
+    high = c - (c - x)
+    error = (high * F.lit(1000.0) - p) + (x - high) * F.lit(1000.0)
+    low = F.floor(p)
+    over = p - low
+    up = (over > 0.5) | ((over == 0.5) & ((error > 0) | ((error == 0) & (F.pmod(low, F.lit(2)) == 1))))
+    k = F.abs(low + F.when(up, 1).otherwise(0))
+    sign = F.when((x < 0) & (k > 0), "-").otherwise("")
+    whole = F.concat(sign, F.floor(k / 1000).cast("string"), F.lit("."), F.lpad((k % 1000).cast("string"), 3, "0"))
+    return F.when(F.isnan(x) | (F.abs(x) >= 1e12), F.format_string("%.3f", x)).otherwise(whole)
+
+
 def merge_labels(old: Column, new: Column) -> Column:
     """Both maps, the new one's values where keys meet."""
     return F.map_concat(F.map_filter(old, lambda k, _: ~F.map_contains_key(new, k)), new)
@@ -103,7 +126,7 @@ def signal_text(metric: Column, entity: Column, horizon: Column, severity: Colum
     has_horizon = F.coalesce(horizon, F.lit("")) != ""
     return F.concat(
         F.lit("signal metric="), metric, F.lit(" entity="), entity, F.when(has_horizon, F.concat(F.lit(" horizon="), horizon)).otherwise(""),
-        F.lit(" severity="), severity, F.lit(" score="), F.format_string("%.3f", score), F.lit(" method="), method, F.lit(" n="), n_points.cast("string"),
+        F.lit(" severity="), severity, F.lit(" score="), thousandths(score.cast("double")), F.lit(" method="), method, F.lit(" n="), n_points.cast("string"),
     )
 
 

@@ -17,22 +17,32 @@ class SignalStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root
 
-    def write(self, signals: DataFrame, files: int | None = None) -> bool:
-        """Append; sorted within files so that queries skip row groups. Nothing is written for no rows."""
+    def write(self, signals: DataFrame, files: int | None = None, batch: str | None = None) -> bool:
+        """Append; sorted within files so that queries skip row groups. Nothing is written for no rows.
+
+        With ``batch``, a name, the rows replace what an earlier try of that batch has written.
+        """
         rows = signals.withColumn("labels", labels_json(F.col("labels"))).select(*[c.split()[0] for c in STORED.split(", ")])
         rows = rows.coalesce(files) if files else rows
-        if rows.isEmpty():
-            return False
-        rows.sortWithinPartitions("entity_uid", "metric_name", "ts").write.mode("append").parquet(self.root)
-        return True
+        held = rows.persist()  # computed once for the two looks at it
+        try:
+            if held.isEmpty():
+                return False
+            out = held.sortWithinPartitions("entity_uid", "metric_name", "ts").write
+            out.mode("overwrite" if batch else "append").parquet(f"{self.root}/batch-{batch}" if batch else self.root)
+            return True
+        finally:
+            held.unpersist()
 
     def read(self) -> DataFrame:
         """All signals; missing text fields read as empty. A root that doesn't exist is an empty history."""
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
         if not path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
             return self.spark.createDataFrame([], SIGNAL)
-        rows = self.spark.read.schema(STORED).parquet(self.root)
-        return decode(rows)
+        return decode(self._stored())
+
+    def _stored(self) -> DataFrame:
+        return self.spark.read.schema(STORED).option("recursiveFileLookup", "true").parquet(self.root)
 
     def query(self, entity: str, metric: str | None = None, since: int | None = None, until: int | None = None, limit: int | None = None) -> DataFrame:
         """An entity's signals in order of time; bounds are inclusive."""
@@ -49,7 +59,7 @@ class SignalStore:
 
     def compact(self, target: str, files: int) -> None:
         """The history in fewer files, in another folder."""
-        self.spark.read.schema(STORED).parquet(self.root).repartitionByRange(files, "entity_uid", "metric_name", "ts").sortWithinPartitions("entity_uid", "metric_name", "ts").write.parquet(target)
+        self._stored().repartitionByRange(files, "entity_uid", "metric_name", "ts").sortWithinPartitions("entity_uid", "metric_name", "ts").write.parquet(target)
 
 
 def decode(rows: DataFrame) -> DataFrame:

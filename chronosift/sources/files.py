@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import urllib.parse
 import urllib.request
 
@@ -139,22 +140,39 @@ def synthetic(spark: SparkSession, groups: list[str], channels: list[str], n_poi
 
 
 def sinusoids(spark: SparkSession, n_series: int, n_points: int, periods: tuple[int, ...] = (24, 168, 720), noise: float = 0.1, seed: int = 0) -> DataFrame:
-    """Sums of sinusoids with seeded amplitudes, and noise whose covariance decays with distance (first-order)."""
+    """Sums of sinusoids whose amplitudes (5 to 10) and phases hang on series, period and seed, and noise whose covariance decays with distance (first-order)."""
+
+    def even(series: Column, period: int, what: str) -> Column:
+        digest = F.md5(F.concat_ws("/", series, F.lit(str(period)), F.lit(what), F.lit(str(seed))))
+        return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
+    s, i = F.col("series_id"), F.col("idx")
+    grid = spark.range(n_series).select(F.col("id").alias("series_id"), *[(5 + 5 * even(F.col("id"), p, "a")).alias(f"a{p}") for p in periods], *[(2 * math.pi * even(F.col("id"), p, "f")).alias(f"f{p}") for p in periods])
+    grid = grid.withColumn("idx", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_points - 1).cast("long"))))
+    value = sum((F.col(f"a{p}") * F.sin(F.lit(2 * math.pi) * i / p + F.col(f"f{p}")) for p in periods), F.lit(0.0))
+    waves = grid.select(s, i, value.alias("value"))
+    if not noise:
+        return waves
 
     def make(batches):
         for pdf in batches:
-            out = []
-            for s in pdf["id"].tolist():
-                g = np.random.default_rng([seed, s])
-                t = np.arange(n_points)
-                y = sum(g.uniform(5, 10) * np.sin(2 * np.pi * t / p + g.uniform(0, 2 * np.pi)) for p in periods)
-                e, w = np.zeros(n_points), g.normal(0, noise, n_points)
-                for i in range(1, n_points):
-                    e[i] = 0.9 * e[i - 1] + w[i]
-                out.append(pd.DataFrame({"series_id": s, "idx": t, "value": y + e}))
-            yield pd.concat(out) if out else pd.DataFrame({"series_id": [], "idx": [], "value": []}).astype({"series_id": "int64", "idx": "int64"})
-
-    return spark.range(n_series).mapInPandas(make, "series_id long, idx long, value double")
+            for one in pdf["id"].tolist():
+                w = np.random.default_rng([seed, one]).normal(0, noise, n_points)
+                e = np.zeros(n_points)
+                for t in range(n_points):
+                    e[t] = (0.9 * e[t - 1] if t else 0.0) + w[t]
+                yield pd.DataFrame({"series_id": one, "idx": range(n_points), "noise": e})
+
+    added = spark.range(n_series).mapInPandas(make, "series_id long, idx long, noise double")
+    return waves.join(added, ["series_id", "idx"]).select("series_id", "idx", (F.col("value") + F.col("noise")).alias("value"))
+
+
+def ett(spark: SparkSession, path: str, ts_col: str = "date") -> DataFrame:
+    """The channels of a transformer-temperature CSV as numbers, without its date; row order is kept in ``row``."""
+    df = spark.read.csv(path, header=True)
+    channels = [c for c in df.columns if c != ts_col]
+    order = F.monotonically_increasing_id()
+    return df.select(order.alias("row"), *[F.col(c).cast("double").alias(c) for c in channels])
 
 
 def fractional_noise(n: int, hurst: float, step: float = 1.0, seed: int = 0) -> np.ndarray:

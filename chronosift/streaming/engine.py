@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import dataclasses
-import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from chronosift.operators import detect
+from chronosift.operators import regime as machine
 
 POINTS = "group_id string, channel string, ts_ms long, value double"
 
@@ -49,7 +50,33 @@ def stamped(points: DataFrame) -> DataFrame:
 
 def replay(spark: SparkSession, folder: str, schema: str = POINTS) -> DataFrame:
     """Parquet files of a folder as a stream, one file a micro-batch in order of modification."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(folder)
+
+
+def record(points: DataFrame, folder: str, parts: int = 4, late: Column | None = None) -> None:
+    """Long points as files to ``replay``, in order of time; rows where ``late`` holds come last, in a file of their own.
+
+    Each part is one job, as the files' times give their order.
+    """
+    rows = points.select(*[c.split()[0] for c in POINTS.split(", ")]).withColumn("_late", F.coalesce(late, F.lit(False)) if late is not None else F.lit(False))
+    low, high = rows.where("NOT _late").agg(F.min("ts_ms"), F.max("ts_ms")).first()
+    if low is not None:
+        step = (high - low) // parts + 1
+        for i in range(parts):
+            part = rows.where(~F.col("_late") & (F.col("ts_ms") >= low + i * step) & (F.col("ts_ms") < low + (i + 1) * step))
+            part.drop("_late").coalesce(1).write.mode("overwrite").parquet(f"{folder}/{i:05d}")
+    if late is not None:
+        rows.where("_late").drop("_late").coalesce(1).write.mode("overwrite").parquet(f"{folder}/{parts:05d}")
+
+
+def windowed_points(points: DataFrame, spec: WindowSpec) -> DataFrame:
+    """(group_id, channel, win_start, win_end, pts) for each window of a stream or table, pts ordered by time and value; in ms."""
+    rows = stamped(points)
+    if points.isStreaming:
+        rows = rows.withWatermark("event_time", f"{spec.lateness_s} seconds")
+    w = F.window("event_time", f"{spec.size_s} seconds", f"{spec.period_s} seconds")
+    series = rows.groupBy("group_id", "channel", w.alias("w")).agg(F.array_sort(F.collect_list(F.struct("ts_ms", "value"))).alias("pts"))
+    return series.select("group_id", "channel", F.unix_millis(F.col("w.start")).alias("win_start"), F.unix_millis(F.col("w.end")).alias("win_end"), "pts")
 
 
 def windowed_zscore(points: DataFrame, spec: WindowSpec, streaming: bool = True) -> DataFrame:
@@ -70,7 +97,7 @@ def windowed_zscore(points: DataFrame, spec: WindowSpec, streaming: bool = True)
 
 
 def counted_panes(points: DataFrame, spec: WindowSpec) -> DataFrame:
-    """Panes fired by element counts: (group_id, channel, win_start, pane, kind, n, values_sum, values as JSON). Custom state for each window."""
+    """Panes fired by element counts: (group_id, channel, win_start, pane, kind, n, total). The state of a window is four numbers, whatever it holds."""
     rows = stamped(points).withWatermark("event_time", f"{spec.lateness_s} seconds")
     step, size = spec.period_s * 1000, spec.size_s * 1000
     last = F.col("ts_ms") - F.pmod("ts_ms", F.lit(step))
@@ -79,36 +106,33 @@ def counted_panes(points: DataFrame, spec: WindowSpec) -> DataFrame:
     early, late, keep = spec.early_every, spec.late_every, spec.accumulating
 
     def fire(key, batches: Iterator[pd.DataFrame], state: GroupState):
-        held, pane, waiting = state.get if state.exists else ("[]", 0, 0)
-        pts = json.loads(held)
+        n, total, pane, waiting = state.get if state.exists else (0, 0.0, 0, 0)
         end = int(key[2]) + size
+        out = []
 
         def emit(kind):
-            nonlocal pts, pane, waiting
-            row = (key[0], key[1], int(key[2]), pane, kind, len(pts), float(sum(v for _, v in pts)))
+            nonlocal n, total, pane, waiting
+            out.append((key[0], key[1], int(key[2]), pane, kind, n, total))
             pane, waiting = pane + 1, 0
-            pts = pts if keep else []
-            return row
+            n, total = (n, total) if keep else (0, 0.0)
 
-        out = []
         if state.hasTimedOut:
             if waiting:
-                out.append(emit("on_time"))
+                emit("on_time")
             state.remove()
         else:
             for pdf in batches:
-                for t, v in sorted(zip(pdf["ts_ms"].tolist(), pdf["value"].tolist(), strict=True)):
-                    pts.append((t, v))
-                    waiting += 1
+                for _, v in sorted(zip(pdf["ts_ms"].tolist(), pdf["value"].tolist(), strict=True)):
+                    n, total, waiting = n + 1, total + v, waiting + 1
                     closed = state.getCurrentWatermarkMs() >= end
                     every = late if closed else early
                     if every and waiting >= every:
-                        out.append(emit("late" if closed else "early"))
-            state.update((json.dumps(pts), pane, waiting))
+                        emit("late" if closed else "early")
+            state.update((n, total, pane, waiting))
             state.setTimeoutTimestamp(max(end + spec.lateness_s * 1000, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=["group_id", "channel", "win_start", "pane", "kind", "n", "total"])
 
-    return keyed.groupBy("group_id", "channel", "win_start").applyInPandasWithState(fire, "group_id string, channel string, win_start long, pane int, kind string, n int, total double", "held string, pane int, waiting int", "append", GroupStateTimeout.EventTimeTimeout)
+    return keyed.groupBy("group_id", "channel", "win_start").applyInPandasWithState(fire, "group_id string, channel string, win_start long, pane int, kind string, n int, total double", "n int, total double, pane int, waiting int", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def streaming_regime(ticks: DataFrame, enter_after: int = 1, exit_after: int = 1) -> DataFrame:
@@ -119,11 +143,7 @@ def streaming_regime(ticks: DataFrame, enter_after: int = 1, exit_after: int = 1
         out = []
         rows = sorted((r for pdf in batches for r in pdf[["seq", "forecast_severity", "recon_severity"]].itertuples(index=False)), key=lambda r: r[0])
         for seq, forecast, recon in rows:
-            mode = "detective" if regime == "incident" else "anticipative"
-            hit, need, other = (recon == "normal", exit_after, "normal") if regime == "incident" else (forecast == "critical", enter_after, "incident")
-            streak = streak + 1 if hit else 0
-            if streak >= need:
-                regime, streak = other, 0
+            mode, _, regime, streak = machine.advance(regime, streak, forecast, recon, enter_after, exit_after)
             out.append((*key, seq, mode, regime))
         state.update((regime, streak))
         yield pd.DataFrame(out, columns=["entity_uid", "metric_name", "seq", "mode", "regime"])
@@ -133,13 +153,28 @@ def streaming_regime(ticks: DataFrame, enter_after: int = 1, exit_after: int = 1
 
 def streaming_quantile(scores: DataFrame, window: int = 64, min_history: int = 16, warning: float = 1.8, critical: float = 3.0, warn_q: float = 0.95, crit_q: float = 0.99) -> DataFrame:
     """The rolling-quantile threshold over a stream of (entity_uid, metric_name, seq, score); the state is the last scores of a key."""
-    import numpy as np
+    return _judged(scores, window, lambda past: (np.quantile(past, warn_q), np.quantile(past, crit_q)) if len(past) >= min_history else (warning, critical))
+
+
+def streaming_mad(scores: DataFrame, window: int = 64, min_history: int = 16, warning: float = 1.8, critical: float = 3.0, warn_k: float = 3.0, crit_k: float = 5.0) -> DataFrame:
+    """The same with cuts some deviations (1.4826 times the median distance to the median) above the median."""
+
+    def cuts(past):
+        if len(past) < min_history:
+            return warning, critical
+        mid = np.median(past)
+        spread = 1.4826 * float(np.median(np.abs(np.asarray(past) - mid))) or 1e-8
+        return mid + warn_k * spread, mid + crit_k * spread
+
+    return _judged(scores, window, cuts)
+
 
+def _judged(scores: DataFrame, window: int, cuts) -> DataFrame:
     def judge(key, batches: Iterator[pd.DataFrame], state: GroupState):
         past = list(state.get[0]) if state.exists else []
         out = []
         for seq, score in sorted((r for pdf in batches for r in pdf[["seq", "score"]].itertuples(index=False)), key=lambda r: r[0]):
-            warn, crit = (np.quantile(past, warn_q), np.quantile(past, crit_q)) if len(past) >= min_history else (warning, critical)
+            warn, crit = cuts(past)
             out.append((*key, seq, score, "critical" if score > crit else "warning" if score > warn else "normal"))
             past = [*past, float(score)][-window:]
         state.update((past,))
