@@ -119,8 +119,9 @@ def train(docs: DataFrame, rows: Column, each: int = 250, n_landmarks: int = 240
     """
     known = docs.where(rows & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(lang_col).cast("string").alias("l"), F.col(text_col).cast("string").alias("t")).withColumn("h", F.xxhash64("t"))
     # hashes are even over the longs: this share of them holds ``each`` texts and some more, so few rows are sorted
+    # a row for each language: far less than the model, which is broadcast too
     sizes = known.groupBy("l").agg(F.approx_count_distinct("h", 0.03).alias("n")).withColumn("most", F.lit(-(2.0**63)) + F.least(F.lit(1.0), F.lit(1.2 * each + 8 * each**0.5) / F.col("n")) * 2.0**64)
-    near = known.join(sizes, "l").where(F.col("h") <= F.col("most"))
+    near = known.join(F.broadcast(sizes), "l").where(F.col("h") <= F.col("most"))
     texts = near.groupBy("l", "h").agg(F.min("t").alias("t"))
     first = texts.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("h", "t"))).where(F.col("r") <= each)
     found = [(r.l, i, np.array(r.grams)) for i, r in enumerate(_sets(first.orderBy("l", "r").select("l", "t")).collect())]
