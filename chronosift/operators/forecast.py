@@ -11,6 +11,7 @@ import functools
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -154,10 +155,10 @@ def model_errors(series: DataFrame, keys: list[str], spec: ModelSpec, engine, fa
     c = spec.context_length
     span = c + spec.horizon if face == "forecast" else c
     step = max(1, c // 4)
-    held = series.sparkSession.sparkContext.broadcast(engine)
+    held = series.sparkSession.sparkContext.broadcast(cloudpickle.dumps(engine))  # by value, wherever its class was made
 
     def run(batches):
-        model = held.value
+        model = cloudpickle.loads(held.value)
         for pdf in batches:
             out = []
             for row in pdf.itertuples(index=False):
