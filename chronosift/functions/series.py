@@ -141,6 +141,62 @@ def activation(name: str, x: Column) -> Column:
     return known[name.lower()]
 
 
+def _rows_of(x: pd.Series, steps: int) -> np.ndarray:
+    return np.stack([np.asarray(v, float) for v in x]).reshape(len(x), 1, steps, -1)
+
+
+def self_attention(v: Column, steps: int) -> Column:
+    """Each series as ``steps`` tokens that attend to one another; the result flat, by token then width."""
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def run(x: pd.Series) -> pd.Series:
+        from chronosift.operators import neural
+
+        if not len(x):
+            return x
+        t = _rows_of(x, steps)
+        return pd.Series(list(neural.attend(t, t, t).reshape(len(x), -1)))
+
+    return run(v)
+
+
+def sparse_queries(v: Column, steps: int, u: int) -> Column:
+    """Numbers of the u tokens whose scores are furthest above their mean, the furthest first."""
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def run(x: pd.Series) -> pd.Series:
+        from chronosift.operators import neural
+
+        if not len(x):
+            return x
+        t = _rows_of(x, steps)
+        return pd.Series(list(np.argsort(-neural.sparsity(t, t)[:, 0], axis=-1, kind="stable")[:, :u]))
+
+    return run(v)
+
+
+def low_pass(v: Column, modes: int) -> Column:
+    """The series from its lowest frequencies alone."""
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def run(x: pd.Series) -> pd.Series:
+        from chronosift.operators import neural
+
+        if not len(x):
+            return x
+        t = np.stack([np.asarray(one, float) for one in x])[:, None, :, None]
+        return pd.Series(list(neural.attend_frequencies(t, list(range(modes)), np.ones((1, modes, 1, 1))).reshape(len(x), -1)))
+
+    return run(v)
+
+
+def haar(v: Column) -> tuple[Column, Column]:
+    """Smooth and detail of neighbouring values."""
+    pairs = F.sequence(F.lit(0), F.floor(F.size(v) / 2).cast("int") - 1)
+    at = lambda i: F.get(v, i)
+    return F.transform(pairs, lambda i: (at(2 * i) + at(2 * i + 1)) / F.sqrt(F.lit(2.0))), F.transform(pairs, lambda i: (at(2 * i) - at(2 * i + 1)) / F.sqrt(F.lit(2.0)))
+
+
 def ordered_series(points: DataFrame, keys: list[str], value: str = "value", ts: str = "ts_ms") -> DataFrame:
     """Each key's values as one array, ordered by time and value."""
     pairs = F.array_sort(F.collect_list(F.struct(F.col(ts).alias("t"), F.col(value).alias("v"))))

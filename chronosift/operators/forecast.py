@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import dataclasses
 import functools
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -36,52 +37,122 @@ def _trend(x: np.ndarray, kernel: int) -> np.ndarray:
 
 
 def _ridge(x: np.ndarray, y: np.ndarray, alpha: float) -> np.ndarray:
-    x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    return np.linalg.solve(x.T @ x + alpha * np.eye(x.shape[1]), x.T @ y)
+    x = _with_one(x)
+    xt = x.swapaxes(-1, -2)
+    return np.linalg.solve(xt @ x + alpha * np.eye(x.shape[-1]), xt @ y)
+
+
+def _with_one(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([x, np.ones((*x.shape[:-1], 1))], axis=-1)
 
 
 def _apply(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return np.concatenate([x, np.ones((len(x), 1))], axis=1) @ w
+    return _with_one(x) @ w
 
 
 def linear_forecast(train: np.ndarray, future: np.ndarray, last: np.ndarray, kind: str = "linear", alpha: float = 1e-3, kernel: int = 25) -> np.ndarray:
-    """Forecasts for the windows ``last`` by ridge regression from windows ``train`` to ``future``.
+    """Forecasts for the windows ``last`` by ridge regression from windows ``train`` to ``future``; with a leading axis, one fit for each series.
 
     ``nlinear`` works on values less the last one; ``dlinear`` has trend and rest as two inputs; ``naive`` repeats.
     """
-    if kind == "naive" or not len(train):
-        return np.repeat(last[:, -1:], future.shape[1], axis=1)
+    horizon = future.shape[-1]
+    if kind == "naive" or not train.shape[-2]:
+        return np.repeat(last[..., -1:], horizon, axis=-1)
     if kind == "nlinear":
-        base = train[:, -1:]
-        return _apply(last - last[:, -1:], _ridge(train - base, future - base, alpha)) + last[:, -1:]
+        base = train[..., -1:]
+        return _apply(last - last[..., -1:], _ridge(train - base, future - base, alpha)) + last[..., -1:]
     if kind == "dlinear":
-        both = lambda x: np.concatenate([_trend(x, kernel), x - _trend(x, kernel)], axis=1)
+
+        def both(x: np.ndarray) -> np.ndarray:
+            trend = _trend(x.reshape(-1, x.shape[-1]), kernel).reshape(x.shape)
+            return np.concatenate([trend, x - trend], axis=-1)
+
         return _apply(both(last), _ridge(both(train), future, alpha))
     if kind == "linear":
         return _apply(last, _ridge(train, future, alpha))
+    flat = last.reshape(-1, last.shape[-1])
     if kind == "trees":
-        return _boosted(train, future, last)
+        return _boosted(flat, horizon).reshape(*last.shape[:-1], horizon)
+    if kind == "arima":
+        return np.stack([arima(x, horizon) for x in flat]).reshape(*last.shape[:-1], horizon)
     raise ValueError(f"unknown forecaster {kind!r}")
 
 
-def _boosted(train: np.ndarray, future: np.ndarray, last: np.ndarray, rounds: int = 50, rate: float = 0.1) -> np.ndarray:
-    """Gradient-boosted stumps on the time index of each window, extrapolated past its end."""
-    length, horizon = last.shape[1], future.shape[1]
-    t = np.arange(length)
+def _boosted(last: np.ndarray, horizon: int, rounds: int = 50, rate: float = 0.1, depth: int = 3) -> np.ndarray:
+    """Gradient-boosted trees of ``depth`` levels on the time index of each window, extrapolated past its end."""
+    fit = np.repeat(last.mean(axis=1, keepdims=True), last.shape[1], axis=1)
     out = np.repeat(last.mean(axis=1, keepdims=True), horizon, axis=1)
-    fit = np.repeat(last.mean(axis=1, keepdims=True), length, axis=1)
     for _ in range(rounds):
-        rest = last - fit
-        sums = np.cumsum(rest, axis=1)[:, :-1]
-        left, right = sums / t[1:], (rest.sum(axis=1, keepdims=True) - sums) / (length - t[1:])
-        gain = left**2 * t[1:] + right**2 * (length - t[1:])
-        cut = gain.argmax(axis=1)
-        rows = np.arange(len(last))
-        fit += rate * np.where(t[None, :] <= cut[:, None], left[rows, cut][:, None], right[rows, cut][:, None])
-        out += rate * right[rows, cut][:, None]
+        step = _tree(last - fit, depth)
+        fit = fit + rate * step
+        out = out + rate * step[:, -1:]
+    return out
+
+
+def _tree(rest: np.ndarray, depth: int) -> np.ndarray:
+    """Regression trees on the time index, one for each row: pieces of constant value, each cut where the squared error falls most."""
+    rows, length = rest.shape
+    total = np.concatenate([np.zeros((rows, 1)), np.cumsum(rest, axis=1)], axis=1)
+    at = np.arange(rows)
+    pieces = [(np.zeros(rows, int), np.full(rows, length))]
+    t = np.arange(length)[None, :]
+    for _ in range(depth):
+        new = []
+        for low, high in pieces:
+            n_left, n_right = t - low[:, None] + 1, high[:, None] - t - 1
+            inside = (n_left > 0) & (n_right > 0)
+            left = total[:, 1:] - total[at, low][:, None]
+            right = total[at, high][:, None] - total[:, 1:]
+            gain = np.where(inside, left**2 / np.maximum(n_left, 1) + right**2 / np.maximum(n_right, 1), -np.inf)
+            cut = gain.argmax(axis=1) + 1
+            cut = np.where(inside.any(axis=1), cut, high)  # a single step stays whole
+            new += [(low, cut), (cut, high)]
+        pieces = new
+    out = np.zeros_like(rest)
+    for low, high in pieces:
+        mean = (total[at, high] - total[at, low]) / np.maximum(high - low, 1)
+        out += np.where((t >= low[:, None]) & (t < high[:, None]), mean[:, None], 0.0)
     return out
 
 
+def arima(x: np.ndarray, horizon: int, most: int = 4, season: int = 0) -> np.ndarray:
+    """Forecasts of one series by autoregression on differences, fitted by least squares; differencing (0 to 2) and order (0 to ``most``) have the least AIC.
+
+    With ``season`` the series is differenced by it first. Errors are innovations only: there is no moving-average part.
+    """
+    x = np.asarray(x, float)
+    base = x[season:] - x[:-season] if season and len(x) > 2 * season else x
+    used = season if len(base) < len(x) else 0
+    best, plan = np.inf, (0, 0, np.array([base.mean()]))
+    for d in range(3):
+        z = np.diff(base, d)
+        for p in range(most + 1):
+            n = len(z) - most
+            if n < p + 3:
+                continue
+            lags = np.stack([np.ones(n), *[z[most - i - 1 : len(z) - i - 1] for i in range(p)]], axis=1)
+            coef = np.linalg.lstsq(lags, z[most:], rcond=None)[0]
+            error = max(float(((z[most:] - lags @ coef) ** 2).mean()), 1e-12)
+            aic = n * np.log(error) + 2 * (p + 1) + 0.01 * d
+            if aic < best:
+                best, plan = aic, (d, p, coef)
+    d, p, coef = plan
+    levels = [np.diff(base, i) for i in range(d + 1)]
+    z = list(levels[-1])
+    ahead = []
+    for _ in range(horizon):
+        z.append(float(coef[0] + sum(c * z[-i - 1] for i, c in enumerate(coef[1 : p + 1]))))
+        ahead.append(z[-1])
+    for level in reversed(levels[:-1]):
+        ahead = list(level[-1] + np.cumsum(ahead))
+    if used:
+        whole = list(x)
+        for y in ahead:
+            whole.append(y + whole[-used])
+        ahead = whole[len(x) :]
+    return np.array(ahead)
+
+
 def window_errors(series: DataFrame, keys: list[str], context: int, horizon: int, kind: str = "naive", step: int | None = None) -> DataFrame:
     """Errors of forecasts along each series (column ``series``, an ordered array): win, is_eval, error (RMSE).
 
@@ -97,53 +168,60 @@ def window_errors(series: DataFrame, keys: list[str], context: int, horizon: int
         x, y = F.slice("series", F.col("start") + 1, context), F.slice("series", F.col("start") + 1 + context, horizon)
         return rows.select(*keys, "win", (F.col("win") == F.col("m")).alias("is_eval"), rmse_arrays(repeat_last(x, horizon), y).alias("error"))
 
-    def fit(batches):
+    def errors(x: np.ndarray) -> np.ndarray:
+        limit = int(x.shape[1] * 0.8)
+        starts = [*range(0, limit - span + 1, step)]
+        cut = lambda a, b: np.stack([x[:, s + a : s + b] for s in starts], axis=1) if starts else np.zeros((len(x), 0, b - a))
+        train, future = cut(0, context), cut(context, span)
+        end = x.shape[1] - span
+        both = np.concatenate([train, x[:, None, end : end + context]], axis=1)
+        truth = np.concatenate([future, x[:, None, end + context :]], axis=1)
+        return np.sqrt(((linear_forecast(train, future, both, kind) - truth) ** 2).mean(axis=-1))
+
+    return _by_length(series, keys, span, errors)
+
+
+def _by_length(series: DataFrame, keys: list[str], least: int, errors) -> DataFrame:
+    """win, is_eval and error of the series that have ``least`` points: those of one length are computed together, as [series, points] -> [series, windows],
+    the evaluated window last."""
+
+    def run(batches):
         for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                x = np.asarray(row.series, float)
-                if len(x) < span:
-                    continue
-                limit = int(len(x) * 0.8)
-                starts = [*range(0, limit - span + 1, step)]
-                train = np.array([x[s : s + context] for s in starts]).reshape(-1, context)
-                future = np.array([x[s + context : s + span] for s in starts]).reshape(-1, horizon)
-                both = np.concatenate([train, x[None, len(x) - span : len(x) - horizon]])
-                truth = np.concatenate([future, x[None, len(x) - horizon :]])
-                errors = np.sqrt(((linear_forecast(train, future, both, kind) - truth) ** 2).mean(axis=1))
-                out += [(*[getattr(row, k) for k in keys], i, i == len(starts), float(e)) for i, e in enumerate(errors)]
-            yield pd.DataFrame(out, columns=[*keys, "win", "is_eval", "error"])
+            sizes = pdf["series"].map(len).to_numpy()
+            parts = []
+            for n in np.unique(sizes[sizes >= least]):
+                rows = np.flatnonzero(sizes == n)
+                for at in range(0, len(rows), max(1, 1_000_000 // int(n))):
+                    own = rows[at : at + max(1, 1_000_000 // int(n))]
+                    e = errors(np.stack([np.asarray(x, float) for x in pdf["series"].iloc[own]]))
+                    part = pdf.iloc[np.repeat(own, e.shape[1])][keys].reset_index(drop=True)
+                    win = np.tile(np.arange(e.shape[1], dtype=np.int32), len(own))
+                    parts.append(part.assign(win=win, is_eval=win == e.shape[1] - 1, error=e.ravel()))
+            if parts:
+                yield pd.concat(parts, ignore_index=True)
 
     kinds = dict(series.dtypes)
     schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", win int, is_eval boolean, error double"
-    return series.select(*keys, "series").mapInPandas(fit, schema)
+    return series.select(*keys, "series").mapInPandas(run, schema)
 
 
 def reconstruction_errors(series: DataFrame, keys: list[str], context: int, patch: int, rank: int = 2) -> DataFrame:
     """The same with the error of rebuilding the patches of a window from the ``rank`` main directions of the history's patches."""
     step = max(1, context // 4)
 
-    def fit(batches):
-        for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                x = np.asarray(row.series, float)
-                if len(x) < context:
-                    continue
-                starts = [*range(0, int(len(x) * 0.8) - context + 1, step)]
-                wins = np.array([x[s : s + context] for s in [*starts, len(x) - context]])
-                cut = wins[:, context % patch :].reshape(len(wins), -1, patch)
-                train = cut[:-1].reshape(-1, patch) if starts else cut.reshape(-1, patch)
-                mid = train.mean(axis=0)
-                basis = np.linalg.svd(train - mid, full_matrices=False)[2][:rank]
-                rest = (cut - mid) - (cut - mid) @ basis.T @ basis
-                errors = np.sqrt((rest**2).mean(axis=(1, 2)))
-                out += [(*[getattr(row, k) for k in keys], i, i == len(starts), float(e)) for i, e in enumerate(errors)]
-            yield pd.DataFrame(out, columns=[*keys, "win", "is_eval", "error"])
+    def errors(x: np.ndarray) -> np.ndarray:
+        n = x.shape[1]
+        starts = [*range(0, int(n * 0.8) - context + 1, step)]
+        wins = np.stack([x[:, s : s + context] for s in [*starts, n - context]], axis=1)
+        cut = wins[:, :, context % patch :].reshape(len(x), wins.shape[1], -1, patch)
+        train = (cut[:, :-1] if starts else cut).reshape(len(x), -1, patch)
+        mid = train.mean(axis=1, keepdims=True)
+        basis = np.linalg.svd(train - mid, full_matrices=False)[2][:, :rank]
+        off = cut - mid[:, None]
+        rest = off - off @ basis.swapaxes(-1, -2)[:, None] @ basis[:, None]
+        return np.sqrt((rest**2).mean(axis=(2, 3)))
 
-    kinds = dict(series.dtypes)
-    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", win int, is_eval boolean, error double"
-    return series.select(*keys, "series").mapInPandas(fit, schema)
+    return _by_length(series, keys, context, errors)
 
 
 def model_errors(series: DataFrame, keys: list[str], spec: ModelSpec, engine, face: str) -> DataFrame:
@@ -308,6 +386,88 @@ class PatchTransformer:
         return y.reshape(len(x), self.spec.n_channels, self.spec.num_patch, -1).transpose(0, 2, 1, 3), error
 
 
+class DecomposedTransformer:
+    """Two patch transformers, one for the trend and one for the rest; their forecasts are added."""
+
+    def __init__(self, spec: ModelSpec, trend: dict[str, np.ndarray], rest: dict[str, np.ndarray], kernel: int = 25) -> None:
+        self.spec, self.kernel, self.of_trend, self.of_rest = spec, kernel, PatchTransformer(spec, trend), PatchTransformer(spec, rest)
+
+    def forecast(self, x: np.ndarray) -> np.ndarray:
+        x = self.of_trend._check(x)
+        flat = x.transpose(0, 2, 1).reshape(-1, x.shape[1])
+        trend = _trend(flat, self.kernel).reshape(len(x), x.shape[2], -1).transpose(0, 2, 1)
+        return self.of_trend.forecast(trend) + self.of_rest.forecast(x - trend)
+
+
+def regression_head(h: np.ndarray, w: np.ndarray, b: np.ndarray, low: float | None = None, high: float | None = None) -> np.ndarray:
+    """Values from the last patch of encoded windows [batch, channels, patches, width], within a range if one is given."""
+    out = h[:, :, -1].reshape(len(h), -1) @ w + b
+    return out if low is None else low + (high - low) / (1 + np.exp(-out))
+
+
+def classification_head(h: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Class probabilities from the last patch."""
+    logits = h[:, :, -1].reshape(len(h), -1) @ w + b
+    logits = np.exp(logits - logits.max(axis=1, keepdims=True))
+    return logits / logits.sum(axis=1, keepdims=True)
+
+
+def encoded(model: PatchTransformer, x: np.ndarray) -> np.ndarray:
+    """[batch, channels, patches, width]: what the heads see."""
+    x = model._check(x)
+    h = model._encode(model._patches(x)[0])
+    return h.reshape(len(x), model.spec.n_channels, model.spec.num_patch, -1)
+
+
+def train_pair(windows: DataFrame, spec: ModelSpec, mask: float = 0.4, ridge: float = 1.0, seed: int = 0, window_col: str = "window") -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
+    """Weights (for forecasts, for rebuilding) in two stages, over windows of context_length + horizon steps, flat by step then channel.
+
+    The encoder keeps seeded random weights; heads are ridge regressions, whose normal equations are summed over the table, so that no task and not the driver
+    sees all windows. First the rebuilding head is fitted to all patches of windows some of whose patches are hidden by chance; its encoder is transferred, and the forecasting head is fitted on it.
+    """
+    start = random_weights(spec, seed)
+    back = _fitted(windows, spec, start, "rebuild", mask, ridge, seed, window_col)
+    ahead = _fitted(windows, spec, transfer(back, random_weights(spec, seed + 1)), "forecast", mask, ridge, seed, window_col)
+    return ahead, back
+
+
+def _fitted(windows: DataFrame, spec: ModelSpec, weights: dict[str, np.ndarray], head: str, mask: float, ridge: float, seed: int, window_col: str) -> dict[str, np.ndarray]:
+    held = windows.sparkSession.sparkContext.broadcast(weights)
+    c, span = spec.context_length, spec.context_length + spec.horizon
+    n_in, n_out = weights[f"{head}.w"].shape
+
+    def sums(batches):
+        model = PatchTransformer(spec, held.value)
+        a, b, n = np.zeros((n_in + 1, n_in + 1)), np.zeros((n_in + 1, n_out)), 0
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            x = np.stack([np.asarray(v, float) for v in pdf[window_col]]).reshape(-1, span, spec.n_channels)
+            patches, mean, sd = model._patches(x[:, :c])
+            if head == "rebuild":
+                # hidden by the windows' own digest, whatever batch they come in
+                rng = [np.random.default_rng([seed, zlib.crc32(row.tobytes())]) for row in patches]
+                hidden = np.stack([g.random(spec.num_patch) < mask for g in rng])
+                h = model._encode(np.where(hidden[:, :, None], 0.0, patches))
+                given, target = h.reshape(-1, h.shape[-1]), patches.reshape(-1, patches.shape[-1])
+            else:
+                given = model._encode(patches).reshape(len(patches), -1)
+                target = (x[:, c:].transpose(0, 2, 1).reshape(-1, spec.horizon) - mean) / sd
+            given = np.concatenate([given, np.ones((len(given), 1))], axis=1)
+            a, b, n = a + given.T @ given, b + given.T @ target, n + len(given)
+        if n:
+            yield pd.DataFrame({"i": range(n_in + 1), "a": list(a), "b": list(b)})
+
+    rows = windows.select(window_col).mapInPandas(sums, "i int, a array<double>, b array<double>")
+    total = lambda name, n: F.array(*[F.sum(F.col(name)[j]) for j in range(n)]).alias(name)
+    found = sorted(rows.groupBy("i").agg(total("a", n_in + 1), total("b", n_out)).collect(), key=lambda r: r.i)
+    if not found:
+        raise ValueError("no windows to train on")
+    a, b = np.array([r.a for r in found]), np.array([r.b for r in found])
+    solved = np.linalg.solve(a + ridge * np.eye(n_in + 1), b)
+    return {**weights, f"{head}.w": solved[:-1], f"{head}.b": solved[-1]}
+
+
 @functools.cache
 def load_model(path: str, spec: ModelSpec) -> PatchTransformer:
     """Once in each worker process and file (.npz)."""

@@ -32,6 +32,11 @@ def pyramid_edges(spark: SparkSession, length: int, sizes: list[int], neighbours
     return reduce(DataFrame.union, parts)
 
 
+def causal_pairs(spark: SparkSession, length: int) -> DataFrame:
+    """(i, j): the steps j that step i may look at, itself and those before."""
+    return spark.range(length).select(F.col("id").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("id"))).alias("j"))
+
+
 def parents(df: DataFrame, idx: str, n: str, size: int) -> DataFrame:
     """``parent``: the coarser node that a step of its series belongs to, null for steps behind the last whole one."""
     up: Column = F.floor(F.col(idx) / size)

@@ -142,6 +142,13 @@ def running_sum(df: DataFrame, keys: list[str], order: str, value: str = "value"
     return df.withColumn(name, F.sum(value).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
 
 
+def pooled(df: DataFrame, keys: list[str], size: int, how: str = "avg", idx: str = "idx", value: str = "value") -> DataFrame:
+    """The next coarser level of a pyramid: mean or maximum of each whole group of ``size`` steps."""
+    fn = {"avg": F.avg, "max": F.max}[how]
+    out = df.groupBy(*keys, F.floor(F.col(idx) / size).alias(idx)).agg(fn(value).alias(value), F.count(F.lit(1)).alias("_n"))
+    return out.where(F.col("_n") == size).drop("_n")
+
+
 def date_range(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
     """Rows from ``start`` to ``end``, both included; a filter that reaches the scan."""
     kind = dict(df.dtypes)[ts]

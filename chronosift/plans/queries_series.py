@@ -337,3 +337,51 @@ def _(spark, sf):
 def _(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", F.col("event_id").cast("string").alias("as_text"))
     return windows.indexed(e, ["user_id"], ["as_text"]).select("event_id", "idx")
+
+
+# ---- parts of models
+
+_TOK = "WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings), t AS (SELECT vec_id, i, v[i * 8 + 1 : i * 8 + 8] AS x FROM (SELECT vec_id, v, CAST(unnest(range(0, 8)) AS BIGINT) AS i FROM e)), s AS (SELECT a.vec_id, a.i, b.i AS j, list_sum(list_transform(range(1, 9), lambda k: a.x[k] * b.x[k])) AS s, b.x AS vx FROM t a JOIN t b USING (vec_id))"
+
+
+@Q("attention_full", _TOK + ", m AS (SELECT *, exp(s / sqrt(8.0) - max(s / sqrt(8.0)) OVER (PARTITION BY vec_id, i)) AS w FROM s) SELECT vec_id, i, round(sum(w * vx[1]) / sum(w), 6) AS first, round(sum(w * vx[8]) / sum(w), 6) AS last FROM m GROUP BY 1, 2")
+def _(spark, sf):
+    out = _vectors(spark, sf).select("vec_id", S.self_attention(F.col("v"), 8).alias("y"))
+    token = out.select("vec_id", "y", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))).alias("i"))
+    at = lambda k: F.get("y", (F.col("i") * 8 + k).cast("int"))
+    return token.select("vec_id", "i", r6(at(0)).alias("first"), r6(at(7)).alias("last"))
+
+
+@Q("st7_sparse_queries", _TOK + ", m AS (SELECT vec_id, i, max(s) - avg(s) AS m FROM s GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY m DESC, i) AS rn FROM m) SELECT vec_id, i FROM r WHERE rn <= 3")
+def _(spark, sf):
+    out = _vectors(spark, sf).select("vec_id", F.explode(S.sparse_queries(F.col("v"), 8, 3)).alias("i"))
+    return out.select("vec_id", F.col("i").cast("long").alias("i"))
+
+
+@Q("spectral_low_pass", "WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings), c AS (SELECT vec_id, len(v) AS n, list_sum(v) AS c0, list_sum(list_transform(range(0, len(v)), lambda i: v[i + 1] * cos(2 * pi() * i / len(v)))) AS re, list_sum(list_transform(range(0, len(v)), lambda i: -v[i + 1] * sin(2 * pi() * i / len(v)))) AS im FROM e) SELECT vec_id, round((c0 + 2 * re) / n, 6) AS at0, round((c0 + 2 * (re * cos(2 * pi() * 5 / n) - im * sin(2 * pi() * 5 / n))) / n, 6) AS at5 FROM c")
+def _(spark, sf):
+    y = _vectors(spark, sf).select("vec_id", S.low_pass(F.col("v"), 2).alias("y"))
+    return y.select("vec_id", r6(F.get("y", F.lit(0))).alias("at0"), r6(F.get("y", F.lit(5))).alias("at5"))
+
+
+@Q("wavelet_haar", "WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings) SELECT vec_id, CAST(i AS BIGINT) AS i, round((v[2 * i + 1] + v[2 * i + 2]) / sqrt(2.0), 6) AS smooth, round((v[2 * i + 1] - v[2 * i + 2]) / sqrt(2.0), 6) AS detail FROM (SELECT vec_id, v, unnest(range(0, len(v) // 2)) AS i FROM e)")
+def _(spark, sf):
+    smooth, detail = S.haar(F.col("v"))
+    both = _vectors(spark, sf).select("vec_id", F.arrays_zip(smooth.alias("s"), detail.alias("d")).alias("z"))
+    out = both.select("vec_id", F.posexplode("z").alias("i", "z"))
+    return out.select("vec_id", F.col("i").cast("long").alias("i"), r6(F.col("z.s")).alias("smooth"), r6(F.col("z.d")).alias("detail"))
+
+
+def _pool(how: str):
+    @Q(f"pyramid_pool_{how}", f"WITH {_IDX} SELECT group_id, channel, idx // 4 AS idx, round({how}(value), 6) AS value FROM i GROUP BY group_id, channel, idx // 4 HAVING count(*) = 4")
+    def _(spark, sf):
+        return windows.pooled(_indexed(spark, sf), KEYS, 4, how).select(*KEYS, "idx", r6("value").alias("value"))
+
+
+_pool("avg")
+_pool("max")
+
+
+@Q("mask_causal", "SELECT CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j FROM range(0, 32) a(i), range(0, 32) b(j) WHERE j <= i")
+def _(spark, sf):
+    return graph.causal_pairs(spark, 32)
