@@ -1,11 +1,11 @@
-"""``python -m chronosift run CONFIG | ingest --csv FILE ... | serve --root DIR``"""
+"""``python -m chronosift run CONFIG | ingest --csv FILE ... | experiment --csv FILE ... | serve --root DIR``"""
 
 from __future__ import annotations
 
 import argparse
 import os
 
-from chronosift.plans import pipeline
+from chronosift.plans import experiment, pipeline
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -25,9 +25,26 @@ def main(argv: list[str] | None = None) -> int:
     serve.add_argument("--root", default=os.environ.get("SIGNAL_ROOT", "signals"))
     serve.add_argument("--host", default=os.environ.get("SIGNAL_HOST", "127.0.0.1"))
     serve.add_argument("--port", type=int, default=int(os.environ.get("SIGNAL_PORT", "8080")))
+    trial = sub.add_parser("experiment", help="fit a forecaster to a wide CSV and print its errors", parents=[experiment.parser()])
+    trial.add_argument("--csv", required=True)
+    trial.add_argument("--out", help="a folder that gets the line of metrics")
     args = parser.parse_args(argv)
     if args.command == "run":
         print(pipeline.run_pipeline(pipeline.load_config(args.config)))
+    elif args.command == "experiment":
+        from chronosift.sinks import rows
+        from chronosift.sources import files
+
+        what = experiment.from_args(args)
+        spark = pipeline.session()
+        points = files.csv_points(spark, args.csv, "csv").select("channel", "ts_ms", "value")
+        if what.data.features == "S":
+            points = points.where(points["channel"] == what.data.target)
+        found = experiment.run(points, ["channel"], ["ts_ms"], what)
+        if args.out:
+            rows.write_metrics(found, args.out, what.setting)
+        for row in found.orderBy("part").collect():
+            print(row.asDict())
     elif args.command == "ingest":
         import time
 

@@ -386,6 +386,20 @@ class PatchTransformer:
         return y.reshape(len(x), self.spec.n_channels, self.spec.num_patch, -1).transpose(0, 2, 1, 3), error
 
 
+class Baseline:
+    """A model without weights: it forecasts the last value, and rebuilds a window as its mean. For any detector that takes a model."""
+
+    def __init__(self, spec: ModelSpec) -> None:
+        self.spec = spec
+
+    def forecast(self, x: np.ndarray) -> np.ndarray:
+        return np.repeat(x[:, -1:], self.spec.horizon, axis=1)
+
+    def reconstruct(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        flat = np.broadcast_to(x.mean(axis=1, keepdims=True), x.shape)
+        return flat, ((x - flat) ** 2).mean(axis=1)
+
+
 class DecomposedTransformer:
     """Two patch transformers, one for the trend and one for the rest; their forecasts are added."""
 

@@ -6,7 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chronosift.functions import series as S
-from chronosift.operators import graph, metrics, scaling, windows
+from chronosift.operators import datasets, graph, metrics, scaling, windows
+from chronosift.plans import experiment
 from chronosift.plans.base import POINTS, Registry, points, r6, table
 
 Q = Registry()
@@ -385,3 +386,10 @@ _pool("max")
 @Q("mask_causal", "SELECT CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j FROM range(0, 32) a(i), range(0, 32) b(j) WHERE j <= i")
 def _(spark, sf):
     return graph.causal_pairs(spark, 32)
+
+
+@Q("exp_naive_errors", f"WITH {_IDX}, st AS (SELECT group_id, channel, avg(value) AS m, CASE WHEN stddev_pop(value) = 0 THEN 1 ELSE stddev_pop(value) END AS sd FROM i WHERE idx < floor(n * 0.7) GROUP BY ALL), ok AS (SELECT DISTINCT group_id, channel FROM i WHERE floor(n * 0.7) >= 6), x AS (SELECT i.*, (value - m) / sd AS z, CAST(n - floor(n * 0.2) - 4 AS BIGINT) AS lo FROM i JOIN st USING (group_id, channel) SEMI JOIN ok USING (group_id, channel)), w AS (SELECT a.group_id, a.channel, b.z AS t, a.z AS q FROM x a JOIN x b ON a.group_id = b.group_id AND a.channel = b.channel AND b.idx - a.idx IN (1, 2) WHERE a.idx >= a.lo + 3 AND a.idx + 2 < a.n) SELECT 'test' AS part, round(avg(abs(q - t)), 5) AS mae, round(avg((q - t) * (q - t)), 4) AS mse FROM w")
+def _(spark, sf):
+    what = experiment.Experiment(datasets.DatasetSpec(seq_len=4, label_len=2, pred_len=2), "naive", parts=("test",))
+    out = experiment.run(points(spark, sf).withColumn("o", F.struct("ts_ms", "value")), KEYS, ["o"], what)
+    return out.select("part", F.round("mae", 5).alias("mae"), F.round("mse", 4).alias("mse"))

@@ -341,3 +341,24 @@ def _model(kind: str):
 
 for _kind in ("linear", "nlinear", "dlinear", "trees", "reconstruction"):
     _model(_kind)
+
+
+def _by_model(name: str, kind: str, span: int, error: str, method: str):
+    """A detector with a model without weights, over every series; too short ones have the z-score."""
+
+    @Q(name, f"""WITH {POINTS}{_Z}, sv AS (SELECT group_id, channel, list(value ORDER BY ts_ms, value) AS v FROM p GROUP BY ALL), nv AS (SELECT *, len(v) AS n, greatest({span}, CAST(floor(len(v) * 0.8) AS BIGINT)) AS lim FROM sv WHERE len(v) >= {span}),
+ st AS (SELECT group_id, channel, v, unnest(range(0, lim - {span} + 1)) AS o, FALSE AS ev FROM nv UNION ALL SELECT group_id, channel, v, n - {span}, TRUE FROM nv),
+ e AS (SELECT *, {error} AS err FROM st),
+ b AS (SELECT group_id, channel, avg(err) AS baseline FROM (SELECT *, row_number() OVER (PARTITION BY group_id, channel ORDER BY o DESC) AS rn FROM e WHERE NOT ev) WHERE rn <= 5 GROUP BY ALL),
+ q AS (SELECT e.group_id, e.channel, err / greatest(baseline, 1e-8) AS raw FROM e JOIN b USING (group_id, channel) WHERE ev)
+ SELECT zs.group_id AS entity_uid, zs.channel AS metric_name, round(coalesce(raw, zs.score), 4) AS score, CASE WHEN raw IS NULL THEN severity WHEN raw >= 2.5 THEN 'critical' WHEN raw >= 1.5 THEN 'warning' ELSE 'normal' END AS severity, CASE WHEN raw IS NULL THEN 'zscore' ELSE '{method}' END AS method, n_points FROM zs LEFT JOIN q USING (group_id, channel)""")
+    def _(spark, sf):
+        from chronosift.plans.pipeline import build_detector
+
+        model = forecast.Baseline(forecast.ModelSpec(n_channels=1, context_length=4, horizon=2))
+        judge = build_detector({"type": kind, "threshold": {"type": "fixed", "warning": 1.5, "critical": 2.5}}, model)
+        return judge(points(spark, sf)).select("entity_uid", "metric_name", "score", "severity", "method", "n_points")
+
+
+_by_model("dt4_model_forecast", "patch-forecast-infer", 6, "sqrt((pow(v[o + 4] - v[o + 5], 2) + pow(v[o + 4] - v[o + 6], 2)) / 2)", "forecast-model")
+_by_model("dt5_model_rebuild", "reconstruction-infer", 4, "list_avg(list_transform(v[o + 1 : o + 4], lambda x: pow(x - list_avg(v[o + 1 : o + 4]), 2)))", "reconstruct-model")

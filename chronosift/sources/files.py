@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import math
+import os
+import shutil
 import urllib.parse
 import urllib.request
 
@@ -167,6 +169,15 @@ def sinusoids(spark: SparkSession, n_series: int, n_points: int, periods: tuple[
     return waves.join(added, ["series_id", "idx"]).select("series_id", "idx", (F.col("value") + F.col("noise")).alias("value"))
 
 
+def fetch(url: str, path: str, open_url=urllib.request.urlopen) -> str:
+    """The file behind a URL at ``path``; nothing is asked for if it is there already. A broken transfer leaves no file."""
+    if not os.path.exists(path):
+        with open_url(url) as answer, open(f"{path}.part", "wb") as f:
+            shutil.copyfileobj(answer, f)
+        os.replace(f"{path}.part", path)
+    return path
+
+
 def ett(spark: SparkSession, path: str, ts_col: str = "date") -> DataFrame:
     """The channels of a transformer-temperature CSV as numbers, without its date; row order is kept in ``row``."""
     df = spark.read.csv(path, header=True)

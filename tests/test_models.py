@@ -183,3 +183,45 @@ def test_two_stage_training(spark):
     assert rebuild.reconstruct(mixed)[1].mean() > 1.3 * rebuild.reconstruct(test[:, :24])[1].mean()
     with pytest.raises(ValueError, match="no windows"):
         forecast.train_pair(df.where(F.lit(False)), SPEC)
+
+
+def test_experiment_by_plain_fits(spark, tmp_path, capsys):
+    from chronosift.__main__ import main
+    from chronosift.operators.datasets import DatasetSpec
+    from chronosift.plans import experiment
+
+    t = np.arange(200)
+    x = np.sin(t / 3) + 0.01 * t
+    df = spark.createDataFrame([("s", int(i), float(v)) for i, v in zip(t, x, strict=True)], "k string, o long, value double")
+    what = experiment.Experiment(DatasetSpec(seq_len=12, label_len=4, pred_len=3), "nlinear")
+    got = {r.part: r for r in experiment.run(df, ["k"], ["o"], what).collect()}
+    a, b = int(200 * 0.7), 200 - int(200 * 0.2)
+    z = (x - x[:a].mean()) / x[:a].std()
+    cut = lambda lo, hi: np.stack([z[i : i + 15] for i in range(lo, hi - 14)])
+    for part, lo, hi in (("val", a - 12, b), ("test", b - 12, 200)):
+        own, train = cut(lo, hi), cut(0, a)
+        pred = forecast.linear_forecast(train[:, :12], train[:, 12:], own[:, :12], "nlinear")
+        assert abs(got[part].mse - ((pred - own[:, 12:]) ** 2).mean()) < 1e-9 and got[part].setting == "nlinear_ftM_sl12_ll4_pl3"
+    with pytest.raises(ValueError, match="unknown forecaster"):
+        experiment.Experiment(model="magic")
+    with open(tmp_path / "x.csv", "w") as f:
+        f.write("ts,OT\n" + "".join(f"{i * 3600},{v}\n" for i, v in enumerate(x)))
+    assert main(["experiment", "--csv", str(tmp_path / "x.csv"), "--seq-len", "12", "--pred-len", "3", "--model", "naive", "--out", str(tmp_path / "m")]) == 0
+    assert "'part': 'test'" in capsys.readouterr().out and spark.read.text(str(tmp_path / "m")).count() == 2
+
+
+def test_fetch_skips_what_is_there(tmp_path):
+    import io
+
+    from chronosift.sources import files
+
+    asked = []
+
+    def answer(url):
+        asked.append(url)
+        return io.BytesIO(b"a,b\n")
+
+    path = str(tmp_path / "x.csv")
+    for _ in range(2):
+        assert files.fetch("http://host/x.csv", path, answer) == path
+    assert asked == ["http://host/x.csv"] and open(path).read() == "a,b\n"
