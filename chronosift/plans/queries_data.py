@@ -329,27 +329,29 @@ _STEP = f"WITH {_SI}, n AS (SELECT *, count(*) OVER (PARTITION BY group_id, chan
 
 
 def _single_step(kind: str, given: str, target: str):
-    @Q(f"ds11_single_step_{kind}", _STEP + f" SELECT group_id, channel, win, h, round(sum(CASE WHEN pos - h = 4 THEN -1 ELSE {given} END), 4) AS given, round(sum({target}) FILTER (pos - h = 4), 4) AS target FROM h WHERE pos - h BETWEEN 0 AND 4 GROUP BY ALL")
+    @Q(f"ds11_single_step_{kind}", _STEP + f" SELECT group_id, channel, win, h, round(sum(CASE WHEN pos - h = 4 THEN -1 ELSE {given} END), 7) AS given, round(sum({target}) FILTER (pos - h = 4), 7) AS target FROM h WHERE pos - h BETWEEN 0 AND 4 GROUP BY ALL")
     def _(spark, sf):
         w = windows.window_points(windows.with_length(_sparse_idx(spark, sf), KEYS), 6, 3)
         scale = windows.window_scale(w, [*KEYS, "win"], "nonzero").withColumnRenamed("scale", "v")
         out = datasets.single_step_test(w.join(scale, [*KEYS, "win"]), kind, 6, 2)
-        return out.groupBy(*KEYS, "win", F.col("h").cast("long").alias("h")).agg(F.round(F.sum("value"), 4).alias("given"), F.round(F.sum("target"), 4).alias("target"))
+        return out.groupBy(*KEYS, "win", F.col("h").cast("long").alias("h")).agg(F.round(F.sum("value"), 7).alias("given"), F.round(F.sum("target"), 7).alias("target"))
 
 
 _single_step("elect", "CASE WHEN v > 0 THEN value / v ELSE value END", "value")
 _single_step("flow", "value", "value * v")
 
 
-@Q("ds11_single_step_train")
+@Q("ds11_single_step_train", _STEP.rsplit(", h AS", 1)[0] + """, c AS (SELECT group_id || '/' || channel || '/' || win AS key, sum(v) OVER (ORDER BY md5(group_id || '/' || channel || '/' || win)) AS hi, sum(v) OVER () AS total FROM s),
+ d AS (SELECT draw, ('0x' || substr(md5(draw || '/4'), 1, 8))::BIGINT / 4294967296.0 * (SELECT any_value(total) FROM c) AS x FROM (SELECT CAST(unnest(range(0, (SELECT count(*) FROM c))) AS BIGINT) AS draw))
+ SELECT draw, arg_min(key, hi) AS key, 10 AS n, 2 AS targets FROM d JOIN c ON c.hi > d.x GROUP BY 1""")
 def _(spark, sf):
     w = windows.window_points(windows.with_length(_sparse_idx(spark, sf), KEYS), 6, 3)
     scale = windows.window_scale(w, [*KEYS, "win"], "nonzero").withColumnRenamed("scale", "v")
     out = datasets.single_step_train(w, scale, [*KEYS, "win"], 6, 2, seed=4)
-    return out.groupBy("draw").agg(F.count("*").alias("n"), F.count("target").alias("targets"))
+    return out.groupBy("draw", F.concat_ws("/", *KEYS, "win").alias("key")).agg(F.count("*").alias("n"), F.count("target").alias("targets"))
 
 
-@Q("ds12_long_range_set", f"WITH {_SI}, n AS (SELECT *, count(*) OVER (PARTITION BY group_id, channel) AS n FROM i), b AS (SELECT group_id, channel, max(n) AS n, 6 + floor(0.9 * ((max(n) - 6) / 2.0)) * 2 AS train_end FROM n GROUP BY ALL), c AS (SELECT *, train_end - 4 + 1 AS test_start FROM b), p AS (SELECT group_id, channel, 'train' AS part, unnest(range(0, CAST(greatest(0, floor((train_end - 6) / 2)) AS BIGINT))) AS win, 0 AS beg FROM c UNION ALL SELECT group_id, channel, 'test', unnest(range(0, CAST(greatest(0, floor((n - test_start - 6) / 2)) AS BIGINT))), test_start FROM c), x AS (SELECT p.*, i.value, i.idx - (beg + win * 2) AS pos FROM p JOIN i ON i.group_id = p.group_id AND i.channel = p.channel AND i.idx >= beg + win * 2 AND i.idx < beg + win * 2 + 6), m AS (SELECT *, avg(value) FILTER (pos < 4) OVER (PARTITION BY group_id, channel, part, win) AS mean FROM x) SELECT part, group_id, channel, win, count(*) AS n, round(sum(CASE WHEN mean > 0 THEN value / (mean + 1) ELSE value END), 5) AS total FROM m GROUP BY ALL")
+@Q("ds12_long_range_set", f"WITH {_SI}, n AS (SELECT *, count(*) OVER (PARTITION BY group_id, channel) AS n FROM i), b AS (SELECT group_id, channel, max(n) AS n, 6 + floor(0.9 * ((max(n) - 6) / 2.0)) * 2 AS train_end FROM n GROUP BY ALL), c AS (SELECT *, train_end - 4 + 1 AS test_start FROM b), ww AS (SELECT group_id, channel, 'train' AS part, unnest(range(0, CAST(greatest(0, floor((train_end - 6) / 2)) AS BIGINT))) AS win, 0 AS beg FROM c UNION ALL SELECT group_id, channel, 'test', unnest(range(0, CAST(greatest(0, floor((n - test_start - 6) / 2)) AS BIGINT))), test_start FROM c), x AS (SELECT ww.*, i.value, i.idx - (beg + win * 2) AS pos FROM ww JOIN i ON i.group_id = ww.group_id AND i.channel = ww.channel AND i.idx >= beg + win * 2 AND i.idx < beg + win * 2 + 6), m AS (SELECT *, avg(value) FILTER (pos < 4) OVER (PARTITION BY group_id, channel, part, win) AS mean FROM x) SELECT part, group_id, channel, win, count(*) AS n, round(sum(CASE WHEN mean > 0 THEN value / (mean + 1) ELSE value END), 5) AS total FROM m GROUP BY ALL")
 def _(spark, sf):
     out = datasets.long_range_set(_sparse(spark, sf).withColumn("o", F.struct("ts_ms", "value")), KEYS, ["o"], 4, 2, stride=2)
     return out.groupBy("part", *KEYS, "win").agg(F.count("*").alias("n"), F.round(F.sum("scaled"), 5).alias("total"))
