@@ -285,9 +285,10 @@ def _series(spark, sf):
     return remote_write.to_series(p)
 
 
-@Q("snk6_samples", f"WITH {POINTS} SELECT count(*) AS n_samples FROM p")
+@Q("snk6_samples", f"WITH {POINTS} SELECT group_id, channel, count(*) AS n_samples FROM p GROUP BY ALL")
 def _(spark, sf):
-    return _series(spark, sf).agg(F.sum(F.size("samples")).cast("long").alias("n_samples"))
+    s = _series(spark, sf)
+    return s.select(F.col("labels")["instance"].alias("group_id"), F.col("labels")["__name__"].alias("channel"), F.size("samples").cast("long").alias("n_samples"))
 
 
 @Q("snk8_pieces", f"WITH {POINTS}, r AS (SELECT group_id, channel, (row_number() OVER (PARTITION BY group_id, channel ORDER BY ts_ms, value) - 1) // 5 AS piece FROM p) SELECT group_id, channel, CAST(piece AS INTEGER) AS piece, count(*) AS n FROM r GROUP BY ALL")
@@ -296,9 +297,10 @@ def _(spark, sf):
     return p.select(F.col("labels")["instance"].alias("group_id"), F.col("labels")["__name__"].alias("channel"), "piece", F.size("samples").cast("long").alias("n"))
 
 
-@Q("snk7_requests")
+@Q("snk7_requests", f"WITH {POINTS} SELECT group_id, channel, ts_ms, value FROM p")
 def _(spark, sf):
-    return remote_write.requests(_series(spark, sf)).select("n_samples", F.octet_length("body").alias("bytes"))
+    got = remote_write.received(remote_write.requests(_series(spark, sf)))
+    return got.select(F.col("labels")["instance"].alias("group_id"), F.col("labels")["__name__"].alias("channel"), "ts_ms", "value")
 
 
 def _sliding_sql(size: int, slide: int) -> str:

@@ -93,6 +93,64 @@ def requests(series: DataFrame, most: int = MAX_SAMPLES, partitions: int = 8) ->
     return series.repartition(partitions).select("labels", "samples").mapInPandas(run, "n_samples long, body binary")
 
 
+def _unvarint(raw: bytes, at: int) -> tuple[int, int]:
+    n = shift = 0
+    while True:
+        byte = raw[at]
+        n |= (byte & 0x7F) << shift
+        at, shift = at + 1, shift + 7
+        if byte < 0x80:
+            return n, at
+
+
+def _fields(raw: bytes):
+    """(number, value) of a message: bytes, doubles, or whole numbers as signed 64 bits."""
+    at = 0
+    while at < len(raw):
+        tag, at = _unvarint(raw, at)
+        if tag & 7 == 2:
+            size, at = _unvarint(raw, at)
+            yield tag >> 3, raw[at : at + size]
+            at += size
+        elif tag & 7 == 1:
+            yield tag >> 3, struct.unpack_from("<d", raw, at)[0]
+            at += 8
+        elif tag & 7 == 0:
+            n, at = _unvarint(raw, at)
+            yield tag >> 3, n - (1 << 64) if n >> 63 else n
+        else:
+            raise ValueError(f"unexpected wire type {tag & 7}")
+
+
+def decode_request(raw: bytes) -> list[tuple[dict[str, str], list[tuple[int, float]]]]:
+    """The series of an uncompressed WriteRequest."""
+    out = []
+    for _, series in _fields(raw):
+        labels, samples = {}, []
+        for number, body in _fields(series):
+            parts = dict(_fields(body))
+            if number == 1:
+                labels[parts[1].decode()] = parts[2].decode()
+            elif number == 2:
+                samples.append((parts.get(2, 0), parts.get(1, 0.0)))
+        out.append((labels, samples))
+    return out
+
+
+def received(bodies: DataFrame, col: str = "body") -> DataFrame:
+    """(labels, ts_ms, value) of all samples in compressed requests, as a receiver reads them."""
+
+    def run(batches):
+        codec = pa.Codec("snappy")
+        for pdf in batches:
+            for body in pdf[col]:
+                size, _ = _unvarint(body, 0)
+                for labels, samples in decode_request(codec.decompress(body, size, asbytes=True)):
+                    yield pd.DataFrame({"labels": [labels] * len(samples), "ts_ms": [t for t, _ in samples], "value": [v for _, v in samples]})
+
+    return bodies.select(col).mapInPandas(run, "labels map<string,string>, ts_ms long, value double")
+
+
 def push(series: DataFrame, endpoint: str, tenant: str | None = None, timeout: float = 30.0, path: str = "/api/v1/push", most: int = MAX_SAMPLES, dry_run: bool = False) -> int:
     """Send all series from the executors; the number of samples. A dry run only counts."""
     if dry_run:

@@ -225,3 +225,33 @@ def test_fetch_skips_what_is_there(tmp_path):
     for _ in range(2):
         assert files.fetch("http://host/x.csv", path, answer) == path
     assert asked == ["http://host/x.csv"] and open(path).read() == "a,b\n"
+
+
+def test_errors_along_series_by_loops(spark):
+    """Windows, fits and errors of every closed-form model, series by series."""
+    g = np.random.default_rng(6)
+    data = [(f"s{i}", [float(x) for x in np.cumsum(g.normal(size=n))]) for i, n in enumerate((30, 30, 41, 9, 7, 3))]
+    df = spark.createDataFrame(data, "k string, series array<double>")
+    for kind in ("linear", "dlinear", "trees"):
+        got = {(r.k, r.win): (r.is_eval, r.error) for r in forecast.window_errors(df, ["k"], 6, 2, kind).collect()}
+        want = {}
+        for k, x in data:
+            x = np.array(x)
+            if len(x) < 8:
+                continue
+            starts = [*range(0, int(len(x) * 0.8) - 8 + 1, 1)]
+            train, future = np.array([x[s : s + 6] for s in starts]).reshape(-1, 6), np.array([x[s + 6 : s + 8] for s in starts]).reshape(-1, 2)
+            for i, s in enumerate([*starts, len(x) - 8]):
+                pred = forecast.linear_forecast(train, future, x[None, s : s + 6], kind)
+                want[k, i] = (i == len(starts), math.sqrt(((pred[0] - x[s + 6 : s + 8]) ** 2).mean()))
+        assert got.keys() == want.keys()
+        assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-8 for k in want), kind
+    got = {(r.k, r.win): r.error for r in forecast.reconstruction_errors(df, ["k"], 8, 4, rank=1).collect()}
+    x = np.array(data[2][1])
+    starts = [*range(0, int(41 * 0.8) - 8 + 1, 2)]
+    patches = np.concatenate([x[s : s + 8].reshape(2, 4) for s in starts])
+    mid = patches.mean(axis=0)
+    way = np.linalg.svd(patches - mid)[2][0]
+    for i, s in enumerate([*starts, 41 - 8]):
+        off = x[s : s + 8].reshape(2, 4) - mid
+        assert abs(got["s2", i] - math.sqrt(((off - np.outer(off @ way, way)) ** 2).mean())) < 1e-8
