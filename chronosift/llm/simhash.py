@@ -197,10 +197,10 @@ def _planting(depth: dict[int, int]):
     return run
 
 
-def links(fps: DataFrame, radius: int = RADIUS, shard_rows: int = 8192, sample_rows: int = 16_384) -> DataFrame:
+def links(fps: DataFrame, radius: int = RADIUS, shard_rows: int = 65_536, sample_rows: int = 16_384) -> DataFrame:
     """Links (a, b), a > b, whose connected groups are those of all pairs of distinct fp at <= radius.
 
-    ``fps`` has one column fp of distinct longs. Shards hold ``shard_rows`` at most, or ``sample_rows`` rows are drawn of each that doesn't (by hash, in one task a
+    ``fps`` has one column fp of distinct longs. Shards hold ``shard_rows`` at most (half a second of comparing), or ``sample_rows`` rows are drawn of each that doesn't (by hash, in one task a
     shard) and it grows a subtree. The driver holds the tree only: 32 bytes for each shard. A shard that a subtree leaves whole is compared in blocks.
     """
     tree, blocks = Tree(radius), {}
