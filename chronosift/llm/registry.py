@@ -18,4 +18,4 @@ QUERIES = {
     "op9_topk": topk.op9_topk,
     "op10_packing": packing.op10_packing,
 }
-ORACLES = {"op2_mixing": mixing.OP2_SQL, "op3_line_dedup": line_dedup.OP3_SQL, "op9_topk": topk.OP9_SQL}
+ORACLES = {"op2_mixing": mixing.OP2_SQL, "op3_line_dedup": line_dedup.OP3_SQL, "op7_fingerprints": winnow.OP7_SQL, "op9_topk": topk.OP9_SQL}

@@ -69,6 +69,11 @@ def shown(hashes: np.ndarray) -> str:
     return hashes.astype(">u4").tobytes().hex()
 
 
+def places(at: np.ndarray) -> str:
+    """Positions, joined by commas."""
+    return ",".join(map(str, at.tolist()))
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Jaccard likeness of the sets of choices, 1 for two empty ones."""
     a, b = np.unique(a), np.unique(b)
@@ -136,7 +141,7 @@ def compare_with_edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
 
     The next document is the one with the next smaller doc_id, after the last the first; rows of one doc_id follow each
     other in the order of their texts. A lone document is its own next. Null texts are empty. An empty table gives an empty table. Texts of any length
-    are winnowed whole, two at a time in a task, at some 50 bytes a character. ``positions`` and ``edited_positions`` say where the choices stand.
+    are winnowed whole, two at a time in a task, at some 50 bytes a character. ``positions`` and ``edited_positions`` say where the choices stand, comma-joined.
     """
     parts, n_parts = with_next(id_text(docs))
     # twice as many tasks as parts: parts seldom meet in one, and a task's share doesn't grow with the table
@@ -147,10 +152,10 @@ def compare_with_edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
         cut = n // 3
         edited = text[: n - cut] + nxt[:cut]
         (own, at), (other, other_at) = own, (own if edited == text else winnow(edited, k, w))
-        return (doc_id, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), shown(own), shown(other), likeness(own, other), likeness(own, following), at, other_at)
+        return (doc_id, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), shown(own), shown(other), likeness(own, other), likeness(own, following), places(at), places(other_at))
 
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "positions", "edited_positions"]
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.string(), pa.string()]
 
     def run(batches):
         before, closed = None, None  # the row that waits for its next; the part whose last row has got it
@@ -172,8 +177,35 @@ def compare_with_edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
-    return sorted_parts.select("part", "ahead", "doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, positions array<int>, edited_positions array<int>")
+    return sorted_parts.select("part", "ahead", "doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, positions string, edited_positions string")
 
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edits(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def _op7_sql(k: int = K, w: int = W) -> str:
+    """The definition, in whole numbers of 128 bits: k-gram hashes as sums over the next k characters, choices as window minima."""
+    mod, powers = 1 << 64, [pow(_BASE, i, 1 << 64) for i in range(k)]
+    term = " + ".join(f"coalesce(lead(h, {j}) OVER g * pw[kk - {j}] % {mod}, 0)" for j in range(k))
+    return f"""
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id DESC NULLS LAST, coalesce(text, '')) AS r, doc_id, coalesce(text, '') AS text FROM documents),
+n AS (SELECT r, doc_id, text, CAST(length(text) AS BIGINT) AS n, coalesce(lead(text) OVER (ORDER BY r), first_value(text) OVER (ORDER BY r)) AS nxt, coalesce(lead(r) OVER (ORDER BY r), 1) AS nr FROM d),
+e AS (SELECT *, left(text, n - n // 3) || left(nxt, n // 3) AS edited FROM n),
+both_texts AS (SELECT r, 0 AS side, text AS t FROM e UNION ALL SELECT r, 1, edited FROM e),
+c AS (SELECT r, side, least({k}, length(t)) AS kk, length(t) AS n, unnest(string_split(t, '')) AS ch, unnest(range(0, length(t))) AS pos FROM both_texts WHERE t <> ''),
+h AS (SELECT r, side, kk, n, pos, (unicode(ch) + 1)::UHUGEINT * {int(_MIX)}::UHUGEINT % {mod} AS h, [{', '.join(f'{p}::UHUGEINT' for p in powers)}] AS pw FROM c),
+g1 AS (SELECT r, side, kk, n, pos, ({term}) % {mod} AS g FROM h WINDOW g AS (PARTITION BY r, side ORDER BY pos)),
+g2 AS (SELECT r, side, n - kk + 1 AS m, pos, CAST((xor(CAST(g AS UBIGINT), CAST(g // {1 << 29} AS UBIGINT))::UHUGEINT * {int(_MIX)}::UHUGEINT % {mod}) // {1 << 32} AS BIGINT) AS h FROM g1 WHERE pos <= n - kk),
+m AS (SELECT r, side, m, pos, min(h::HUGEINT * {1 << 32} + ({(1 << 32) - 1} - pos)) OVER (PARTITION BY r, side ORDER BY pos ROWS BETWEEN CURRENT ROW AND {w - 1} FOLLOWING) AS low FROM g2),
+f AS (SELECT DISTINCT r, side, CAST(low // {1 << 32} AS BIGINT) AS h, CAST({(1 << 32) - 1} - low % {1 << 32} AS BIGINT) AS pos FROM m WHERE pos <= greatest(0, m - {w})),
+s AS (SELECT r, side, string_agg(format('{{:08x}}', h), '' ORDER BY pos) AS fp, string_agg(pos, ',' ORDER BY pos) AS places, list_distinct(list(h)) AS hs FROM f GROUP BY 1, 2),
+x AS (SELECT e.*, coalesce(a.fp, '') AS f0, coalesce(b.fp, '') AS f1, coalesce(a.places, '') AS p0, coalesce(b.places, '') AS p1, coalesce(a.hs, []) AS h0, coalesce(b.hs, []) AS h1, coalesce(c.hs, []) AS h2
+  FROM e LEFT JOIN s a ON a.r = e.r AND a.side = 0 LEFT JOIN s b ON b.r = e.r AND b.side = 1 LEFT JOIN s c ON c.r = e.nr AND c.side = 0),
+y AS (SELECT *, len(list_intersect(h0, h1)) AS i1, len(list_intersect(h0, h2)) AS i2 FROM x)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, f0 AS fingerprint, f1 AS edited_fingerprint,
+  CASE WHEN len(h0) + len(h1) = 0 THEN 1.0 ELSE i1::DOUBLE / (len(h0) + len(h1) - i1) END AS near_edited, CASE WHEN len(h0) + len(h2) = 0 THEN 1.0 ELSE i2::DOUBLE / (len(h0) + len(h2) - i2) END AS near_next, p0 AS positions, p1 AS edited_positions FROM y
+"""
+
+
+OP7_SQL = _op7_sql()
