@@ -831,3 +831,46 @@ def test_packing_of_nothing(none, clashing):
     path = P.path("word_bpe_49k.json")
     assert packing.pack(none, path).count() == 0
     assert packing.pack(clashing, path).where("doc_id = 101").select("length", "doc_tokens").first()[:] == (1, 1)
+
+
+# ---- all
+
+
+def test_queries_on_odd_and_empty_tables(spark, rows, tmp_path):
+    """Every query over documents, with null ids and columns, repeated rows and copies, and over an empty table: the contract's columns, a row for each."""
+    from chronosift.llm import registry
+
+    more = [(None, "no id at all", "en", "src0", 9), (None, None, None, None, None), (-7, "negative id", "en", "src1", 3)]
+    for name, data in (("odd", [*rows, *more]), ("none", [])):
+        spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/{name}/documents.parquet")
+    want = {
+        1: "doc_id held_out lang_pred score", 2: "doc_id prob sampled", 3: "doc_id n_lines n_dropped kept_sha256", 4: "doc_id n_email n_ip n_card n_phone base_sha256 spans", 5: "doc_id fingerprint component_id",
+        6: "doc_id held_out n_tokens n_known train_tokens base_score score", 7: "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next", 8: "doc_id n_bytes n_tokens over_limit",
+        10: "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+    }
+    for query, fn in registry.QUERIES.items():
+        n = int(query[2:].split("_")[0]) if query.startswith("op") else 0
+        if n not in want:
+            continue
+        out = fn(spark, f"{tmp_path}/odd")
+        assert set(want[n].split()) <= set(out.columns), query
+        got = out.collect()
+        assert (sum(r.start == 0 for r in got) if n == 10 else len(got)) == len(rows) + 3, query
+        if "held_out" in out.columns:
+            mod = 4 if n == 1 else 10
+            assert all(r.held_out == (r.doc_id is not None and crc(r.doc_id, mod) == (2 if n == 1 else 0)) for r in got), query
+        assert fn(spark, f"{tmp_path}/none").count() == 0, query
+
+
+def test_clashing_columns(clashing, docs):
+    """Columns of names that operators use inside change nothing."""
+    key = lambda df: sorted(map(str, df.collect()))
+    for run in (pii.find_spans, simhash.near_duplicates, lambda d: token_counts.count_tokens(d, P.path("byte_bpe_50k.json")), winnow.compare_with_edits, lambda d: langid.predict(d, langid.train(docs, F.lit(True)))):
+        assert key(run(clashing)) == key(run(docs))
+
+
+def test_top_k_with_clashing_columns(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(50)], "vec_id long, embedding array<double>")
+    more = df.select("*", *[F.lit("x").alias(c) for c in ("id", "q", "v", "rank", "score", "query_id")])
+    run = lambda d: sorted(map(tuple, topk.top_k(d, F.col("vec_id") % 20 == 0, k=3).collect()))
+    assert run(df) == run(more)
