@@ -149,15 +149,22 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float] | None], weight: Co
     return out.withColumn("sampled", chance(F.col(id_col), seed) < F.col("prob"))
 
 
+TARGETS = {"source": None, "lang": LANGS, "topic": TOPICS}
+
+
 def production_mix(docs: DataFrame) -> DataFrame:
     """``docs`` with n_tokens, topic, prob and sampled, under the production targets."""
     words = n_words(F.col("text"))
-    return mix(docs.withColumn("topic", topic_of(F.col("text"), words)), {"source": None, "lang": LANGS, "topic": TOPICS}, words)
+    return mix(docs.withColumn("topic", topic_of(F.col("text"), words)), TARGETS, words)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang")
-    return production_mix(docs).select("doc_id", "source", "lang", "topic", "n_tokens", F.round("prob", 6).alias("prob"), "sampled")
+    # texts are read once: what the mix needs of them is small and written
+    own = docs.withColumn("words", n_words(F.col("text"))).withColumn("topic", topic_of(F.col("text"), F.col("words")))
+    own = written(own.drop("text"), "weights")
+    out = mix(own, TARGETS, F.col("words"))
+    return out.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("prob", 6).alias("prob"), "sampled")
 
 
 def _op2_sql() -> str:

@@ -6,7 +6,7 @@ below and above. Each step reads on in the lists that leave most open. Reading s
 only few can; their scores are then resolved.
 
 Candidates stay where they are, in blocks whose lists are sorted once. Queries come to them in broadcast groups of a bounded size, and a task carries each
-query's k best scores from block to block, so that later blocks are left early.
+query's k best scores from block to block, so that blocks are left early. A task's first candidates, a bounded number, are resolved without lists, for scores to beat.
 """
 
 from __future__ import annotations
@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 
 from chronosift.llm.common import written
 
-#: The share of a list read at first; a step doubles the depth of the lists it reads.
+#: The share of the lists read at first, in a task's first block.
 FIRST = 1 / 16
+#: Candidates of a task that are resolved first, at most; in a small table a sixteenth of it.
+FIRST_ROWS = 2048
 
 
 def quantised(vector: Column, scale: float) -> Column:
@@ -47,55 +49,83 @@ class Block:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         self.ids, self.vectors = ids, vectors
-        self.order = np.ascontiguousarray(np.argsort(-vectors, axis=0, kind="stable").T)  # list by list, highest first
-        self.values = np.take_along_axis(vectors.T, self.order, axis=1)
+        down = np.argsort(-vectors, axis=0, kind="stable").T
+        self.order = np.ascontiguousarray(np.stack([down, down[:, ::-1]]))  # list by list, from the top and from the bottom
+        self.values = np.take_along_axis(vectors.T[None], self.order, axis=2)
         self.read = self.resolved = 0  # list entries read, products computed for scores
 
-    def search(self, query_id: int, query: np.ndarray, k: int, best: list[tuple[int, int]]) -> list[tuple[int, int]]:
-        """(-score, id) of the k best among ``best`` and this block, equal scores by smaller id, the query's own row left out."""
+    def search(self, query_id: int, query: np.ndarray, k: int, best: list[tuple[int, int]], start: float = FIRST) -> tuple[list[tuple[int, int]], float]:
+        """(-score, id) of the k best among ``best`` and this block, equal scores by smaller id, the query's own row left out; and how much
+        of the lists to read at first next time: a little less than what sufficed, or a little more than what steps ended with. ``start`` is that share now."""
         n = len(self.ids)
         used = np.flatnonzero(query)
         weight = query[used]
-        top = np.where(weight > 0, 0, n - 1)  # the end that each list is read from
-        far = weight * self.values[used, n - 1 - top]
-        depth = np.zeros(len(used), np.int64)
-        last = weight * self.values[used, top]  # the most that an unread entry adds
-        big = float(np.abs(weight).sum() * np.abs(self.values[used]).max(initial=0))
+        side = (weight < 0).astype(np.int64)  # the end that each list is read from
+        far = weight * self.values[side, used, n - 1]
+        big = float(np.abs(far).sum() + np.abs(weight * self.values[side, used, 0]).sum())
         slack = 0.0 if big < 2.0**53 else big * 1e-12  # beyond 2**53 bounds are rounded; they then keep more
-        had = np.zeros(n)  # sums of what was read
-        seen = np.zeros((n, len(used)), np.float64)
-        own = self.ids == query_id
-        floor = -best[k - 1][0] if len(best) >= k else -np.inf
-        deepen = np.arange(len(used))
+        full = len(best) >= k
+        least = -best[k - 1][0] if full else -np.inf
+        upper = np.zeros(n)  # what a candidate has above the last values read
+        lower = np.zeros(n)  # what it has above the far ends
+        depth = np.zeros(len(used), np.int64)
+        last = weight * self.values[side, used, 0]  # the most that an unread entry adds
+        deepen, to = np.arange(len(used)), min(n, max(1, math.ceil(start * n)))
         few = max(4 * k, n // 50)
+        steps = 0
         while True:
-            to = np.minimum(n, np.maximum(2 * depth[deepen], max(1, math.ceil(FIRST * n))))
-            for j, end in zip(deepen.tolist(), to.tolist(), strict=True):
-                part = slice(depth[j], end) if weight[j] > 0 else slice(n - end, n - depth[j])
-                rows = self.order[used[j], part]
-                had[rows] += weight[j] * self.values[used[j], part]
-                seen[rows, j] = 1
-                self.read += len(rows)
-                last[j] = weight[j] * self.values[used[j], end - 1 if weight[j] > 0 else n - end]
-                depth[j] = end
-            last[depth == n] = far[depth == n]
-            upper = had + last.sum() - seen @ last
-            lower = had + far.sum() - seen @ far
-            upper[own] = lower[own] = -np.inf
-            least = max(floor, np.partition(lower, n - k)[n - k] if n > k else -np.inf)
-            may = upper >= least - slack
-            may &= ~own
+            steps += 1
+            groups = [(deepen, to)] if np.isscalar(to) else [(deepen[to == t], int(t)) for t in np.unique(to)]
+            for lists, end in groups:
+                rows = self.order[side[lists], used[lists], :end].ravel()
+                adds = self.values[side[lists], used[lists], :end]
+                adds *= weight[lists, None]
+                now = adds[:, -1].copy() if end < n else far[lists]
+                if not full:
+                    fresh = np.arange(end)[None, :] >= depth[lists][:, None]
+                    lower += np.bincount(rows, ((adds - far[lists][:, None]) * fresh).ravel(), n)
+                # entries read before rise by how far the last value fell, new ones by what they have above it
+                if depth[lists].any():
+                    np.minimum(adds, last[lists, None], out=adds)
+                adds -= now[:, None]
+                upper += np.bincount(rows, adds.ravel(), n)
+                self.read += int((end - depth[lists]).sum())
+                depth[lists], last[lists] = end, now
+            top = upper + last.sum()
+            top[self.ids == query_id] = -np.inf
+            if not full:
+                bottom = lower + far.sum()
+                bottom[self.ids == query_id] = -np.inf
+                least = np.partition(bottom, n - k)[n - k] if n > k else -np.inf
+            rows = np.flatnonzero((top >= least - slack) & (top > -np.inf))
             open_ = last - far
-            if may.sum() <= few or not open_.any():
+            if len(rows) <= few or not open_.any():
                 break
             # the lists that hold half of what is open, the widest first
             order = np.argsort(-open_, kind="stable")
             deepen = order[: int(np.searchsorted(np.cumsum(open_[order]), open_.sum() / 2)) + 1]
             deepen = deepen[depth[deepen] < n]
-        rows = np.flatnonzero(may)
+            to = np.minimum(n, np.maximum(depth[deepen] + max(1, n // 16), (depth[deepen] * 5) // 4))
         self.resolved += len(rows) * len(used)
         found = zip([-v for v in _scores(self.vectors[rows], query)], self.ids[rows].tolist(), strict=True)
-        return sorted([*best, *found])[:k]
+        return sorted([*best, *found])[:k], float(depth.mean()) / n * (0.98 if steps == 1 else 1.01) if len(used) else start
+
+
+def resolved(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, query: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
+    """(-score, id) of the k best of all candidates for each query, equal scores by smaller id, the query's own row left out."""
+    out = []
+    for at in range(0, len(query), 256):
+        some = query[at : at + 256]
+        exact = float(np.abs(vectors).max(initial=0) * np.abs(some).max(initial=0) * max(1, vectors.shape[1])) < 2.0**53
+        scores = some @ vectors.T if exact else None
+        for i, q in enumerate(query_ids[at : at + 256]):
+            own = scores[i] if exact else np.array(_scores(vectors, some[i]), object)
+            rows = np.flatnonzero(ids != q)
+            if exact and len(rows) > k:
+                least = np.partition(own[rows], len(rows) - k)[len(rows) - k]
+                rows = rows[own[rows] >= least]
+            out.append(sorted((-int(own[j]), int(ids[j])) for j in rows)[:k])
+    return out
 
 
 def _matrix(vectors: list[list[float]], dims: int) -> np.ndarray:
@@ -117,7 +147,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0
     after the other; a task holds a block of ``cand_rows`` candidates and k results for each query of the group, and what leaves it is k rows a query.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), is_query.alias("q"), quantised(F.col(vector_col), scale).alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
-    n_query, dims = rows.agg(F.count(F.when(F.col("q"), 1)), F.max(F.size("v"))).first()
+    n, n_query, dims = rows.agg(F.count("*"), F.count(F.when(F.col("q"), 1)), F.max(F.size("v"))).first()
     dims, groups = dims or 0, max(1, -(-(n_query or 0) // query_rows))
     spark = vectors.sparkSession
 
@@ -128,25 +158,32 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0
         def search(batches):
             ids, query = sent.value
             best: list[list[tuple[int, int]]] = [[] for _ in ids]
+            depth = [FIRST] * len(ids)
 
             def take(held_ids, held):
-                block = Block(np.array(held_ids, np.int64), _matrix(held, dims))
+                nonlocal best, most
+                if most < cand_rows:
+                    best, most = resolved(np.array(held_ids, np.int64), _matrix(held, dims), np.array(ids, np.int64), query, k), cand_rows
+                    return
+                block, common = Block(np.array(held_ids, np.int64), _matrix(held, dims)), 0.0
                 for i, q in enumerate(ids):
-                    best[i] = block.search(q, query[i], k, best[i])
+                    best[i], reached = block.search(q, query[i], k, best[i], max(depth[i], common))
+                    # queries and blocks are alike: the next is read nearly as far at once
+                    common = 0.0 if depth[i] > FIRST else reached
+                    depth[i] = max(FIRST, min(1.0, reached))
 
+            most = max(1, min(cand_rows - 1, FIRST_ROWS, n // 16))
             held_ids, held = [], []
             for batch in batches:
-                for at in range(0, batch.num_rows, cand_rows):
-                    part = batch.slice(at, cand_rows - len(held))
-                    rest = batch.slice(at + part.num_rows, cand_rows - part.num_rows) if part.num_rows < min(cand_rows, batch.num_rows - at) else None
-                    for piece in (part, rest):
-                        if piece is None or not piece.num_rows:
-                            continue
-                        held_ids += piece.column(0).to_pylist()
-                        held += piece.column(1).to_pylist()
-                        if len(held) >= cand_rows:
-                            take(held_ids, held)
-                            held_ids, held = [], []
+                at = 0
+                while at < batch.num_rows:
+                    part = batch.slice(at, most - len(held))
+                    at += part.num_rows
+                    held_ids += part.column(0).to_pylist()
+                    held += part.column(1).to_pylist()
+                    if len(held) >= most:
+                        take(held_ids, held)
+                        held_ids, held = [], []
             if held:
                 take(held_ids, held)
             out = [(q, v, -score) for q, own in zip(ids, best, strict=True) for score, v in own]
