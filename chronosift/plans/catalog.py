@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from chronosift.plans import queries_data, queries_series, queries_signals
+from chronosift.plans import queries_data, queries_flow, queries_series, queries_signals
 
-QUERIES: dict = {**queries_signals.Q.queries, **queries_series.Q.queries, **queries_data.Q.queries}
-ORACLES: dict = {**queries_signals.Q.oracles, **queries_series.Q.oracles, **queries_data.Q.oracles}
+_PARTS = (queries_signals.Q, queries_series.Q, queries_data.Q, queries_flow.Q)
+QUERIES: dict = {name: fn for part in _PARTS for name, fn in part.queries.items()}
+ORACLES: dict = {name: sql for part in _PARTS for name, sql in part.oracles.items()}
