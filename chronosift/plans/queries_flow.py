@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chronosift.operators import align
+from chronosift.functions import series, training
+from chronosift.operators import align, forecast
 from chronosift.plans import pipeline
 from chronosift.plans import queries_signals as signals_sql
 from chronosift.plans.base import DAY, POINTS, SIGNALS, TICKS, Registry, points, r6, signals, table, ticks
 from chronosift.schema import as_signals
-from chronosift.sinks import rows, store
+from chronosift.sinks import remote_write, rows, store
 from chronosift.sources import files
 from chronosift.storage import shared_folder
 from chronosift.streaming import engine
@@ -187,3 +189,93 @@ def _(spark, sf):
     _recorded(_by_day(ticks(child, sf)), "seq", f"{path}/in")
     got = _kept(spark, engine.streaming_mad(engine.replay(child, f"{path}/in", _SCORES), 8, 4), path, "append")
     return got.select(F.col("entity_uid").alias("group_id"), F.col("metric_name").alias("channel"), F.col("seq").alias("day"), "severity")
+
+
+# ---- the rest of the surface
+
+
+@Q("api13_ingest_csv", "SELECT 'x' AS job, 'node' AS instance, 'm_' || channel AS name, CAST(epoch_ms(ts) AS BIGINT) AS ts_ms, value FROM (SELECT TIMESTAMP '2024-01-01' + to_seconds(o_orderkey) AS ts, round(o_totalprice, 2) AS total, CAST(o_custkey AS DOUBLE) AS cust FROM orders) UNPIVOT (value FOR channel IN (total, cust))")
+def _(spark, sf):
+    """What the ingest command sends: labels, prefix and times with % signs, encoded and read back."""
+    path = _folder(spark)
+    when = F.date_format(F.timestamp_seconds(F.lit(1_704_067_200) + F.col("o_orderkey")), "dd.MM.yyyy HH:mm:ss")
+    table(spark, sf, "orders").select(when.alias("ts"), F.round("o_totalprice", 2).alias("total"), F.col("o_custkey").alias("cust")).write.option("header", True).csv(path)
+    sent = files.csv_points(spark, path, "node", prefix="m_", fmt="%d.%m.%Y %H:%M:%S", labels={"job": "x"})
+    got = remote_write.received(remote_write.requests(remote_write.to_series(sent)))
+    at = F.col("labels")
+    return got.select(at["job"].alias("job"), at["instance"].alias("instance"), at["__name__"].alias("name"), "ts_ms", "value")
+
+
+@Q("api15_history_endpoint", f"WITH {SIGNALS} SELECT entity_uid, metric_name, ts, severity, score FROM signals WHERE entity_uid = '7' AND ts >= 1704500000000 ORDER BY ts, metric_name LIMIT 12")
+def _(spark, sf):
+    """The answer of the HTTP endpoint, asked over a socket."""
+    import json
+    import threading
+    import urllib.request
+
+    path = _folder(spark)
+    store.SignalStore(spark, path).write(as_signals(signals(spark, sf).where("entity_uid = '7'"), F.col("ts")))
+    server = store.serve(spark, path, port=0)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        url = f"http://127.0.0.1:{server.server_address[1]}/api/v1/signals/history?entity=7&since=1704500000000&limit=12"
+        with urllib.request.urlopen(url, timeout=300) as answer:
+            body = json.loads(answer.read())
+    finally:
+        server.shutdown()
+    kept = [(s["entity_uid"], s["metric_name"], s["ts"], s["severity"], s["score"]) for s in body["signals"]]
+    return spark.createDataFrame(kept, "entity_uid string, metric_name string, ts long, severity string, score double")
+
+
+@Q("api16_counters", f"WITH {POINTS} SELECT count(*) AS rows_in, count(DISTINCT (group_id, channel)) AS records_out FROM p")
+def _(spark, sf):
+    path = _folder(spark)
+    points(spark, sf).write.parquet(f"{path}/in")
+    out = pipeline.run_pipeline({"source": {"type": "points", "path": f"{path}/in"}}, spark, 1000)
+    return spark.createDataFrame([(out["rows_in"], out["records_out"])], "rows_in long, records_out long")
+
+
+_FLAT = forecast.ModelSpec(n_channels=1, context_length=64, horizon=4, patch_length=8, stride=8, d_model=4, n_heads=1, n_layers=1, d_ff=4)
+
+
+@Q("dt8_model_of_zeros", "WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings) SELECT vec_id, 4 AS steps, round(list_avg(v), 6) AS first, round(list_var_pop(v) / (list_var_pop(v) + 1e-5), 6) AS rebuild_error FROM e")
+def _(spark, sf):
+    """The forward pass with weights from a table, all 0: the forecast is each window's mean, the rebuilding error its normalised variance."""
+    path = _folder(spark)
+    rows.write_weights(spark, {k: np.zeros_like(v) for k, v in forecast.random_weights(_FLAT).items()}, path)
+    wins = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("window"))
+    out = forecast.infer(wins, _FLAT, rows.read_weights(spark, path))
+    return out.select("vec_id", F.size("forecast").alias("steps"), r6(F.element_at("forecast", 1)).alias("first"), r6("rebuild_error").alias("rebuild_error"))
+
+
+def _one_step(kind: str, coefficients: str, pred: str):
+    sql = f"""WITH {POINTS}, s AS (SELECT group_id, channel, list(value ORDER BY ts_ms, value) AS v FROM p GROUP BY ALL), n AS (SELECT *, len(v) AS n, CAST(floor(len(v) * 0.8) AS BIGINT) AS lim FROM s WHERE len(v) >= 2),
+ t AS (SELECT group_id, channel, v, unnest(range(0, greatest(0, lim - 1))) AS o FROM n), k AS (SELECT group_id, channel, count(*)::DOUBLE AS m, sum(v[o + 1]) AS sx, sum(v[o + 2]) AS sy, sum(v[o + 1] * v[o + 1]) AS sxx, sum(v[o + 1] * v[o + 2]) AS sxy FROM t GROUP BY ALL),
+ c AS (SELECT *, {coefficients} FROM k), w AS (SELECT group_id, channel, o AS win, FALSE AS is_eval, v[o + 1] AS x, v[o + 2] AS y FROM t UNION ALL SELECT group_id, channel, greatest(0, lim - 1), TRUE, v[n - 1], v[n] FROM n)
+ SELECT w.group_id, w.channel, win, is_eval, round(abs(coalesce({pred}, x) - y), 4) AS error FROM w LEFT JOIN c USING (group_id, channel)"""
+
+    @Q(f"fm2_{kind}_one_step", sql)
+    def _(spark, sf):
+        s = series.ordered_series(points(spark, sf), ["group_id", "channel"])
+        out = forecast.window_errors(s, ["group_id", "channel"], 1, 1, kind)
+        return out.select("group_id", "channel", F.col("win").cast("long").alias("win"), "is_eval", F.round("error", 4).alias("error"))
+
+
+_LINE = "((m + 1e-3) * sxy - sx * sy) / ((sxx + 1e-3) * (m + 1e-3) - sx * sx) AS w, ((sxx + 1e-3) * sy - sx * sxy) / ((sxx + 1e-3) * (m + 1e-3) - sx * sx) AS b"
+_one_step("linear", _LINE, "x * w + b")
+_one_step("dlinear", _LINE, "x * w + b")
+_one_step("nlinear", "(sy - sx) / (m + 1e-3) AS b", "x + b")
+
+
+def _schedule(kind: str, name: str, sql: str):
+    @Q(f"f28_rate_{name}", f"SELECT CAST(e AS BIGINT) AS epoch, round({sql}, 12) AS rate FROM range(1, 41) t(e)")
+    def _(spark, sf):
+        rate = F.udf(lambda e: training.learning_rate(e, 1e-2, kind, 40), "double")  # forty epochs
+        return spark.range(1, 41).select(F.col("id").alias("epoch"), F.round(rate("id"), 12).alias("rate"))
+
+
+_schedule("halving", "halving", "1e-2 * pow(0.5, e - 1)")
+_schedule("hold-decay", "hold_decay", "CASE WHEN e <= 3 THEN 1e-2 ELSE 1e-2 * pow(0.9, e - 3) END")
+_schedule("cut-at-10", "cut", "CASE WHEN e < 10 THEN 1e-2 ELSE 1e-3 END")
+_schedule("step", "step", "CASE WHEN e >= 20 THEN 5e-8 WHEN e >= 15 THEN 1e-7 WHEN e >= 10 THEN 5e-7 WHEN e >= 8 THEN 1e-6 WHEN e >= 6 THEN 5e-6 WHEN e >= 4 THEN 1e-5 WHEN e >= 2 THEN 5e-5 ELSE 1e-2 END")
+_schedule("one-cycle", "one_cycle", "CASE WHEN e <= 12 THEN 1e-2 * (1 - cos(pi() * e / 12)) / 2 ELSE 1e-2 * (1 + cos(pi() * (e - 12) / 28)) / 2 END")
