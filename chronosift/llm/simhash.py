@@ -10,6 +10,8 @@ small-star rounds over the links.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -21,6 +23,8 @@ from chronosift.llm.common import id_text, text_slices, written
 
 #: Words of a shingle, and differing bits of linked fingerprints.
 SHINGLE, RADIUS = 3, 3
+#: The share of a shard's rows that each side of a vantage point gets: half, and those near the boundary.
+SHRINK = 0.665
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -93,9 +97,9 @@ class Tree:
         self.last = new[-1]
         return new
 
-    def route(self, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(index, shard) for every shard that each fingerprint goes to."""
-        index, node = np.arange(len(fps)), np.full(len(fps), self.root)
+    def route(self, fps: np.ndarray, start: np.ndarray | int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(index, shard) for every shard that each fingerprint goes to, from the root or from the nodes ``start``."""
+        index, node = np.arange(len(fps)), np.full(len(fps), self.root) if start is None else np.broadcast_to(start, len(fps))
         ended: list[tuple[np.ndarray, np.ndarray]] = []
         while len(node):
             there = node < 0
@@ -187,6 +191,19 @@ def _drawing(share: dict[int, float]):
     return run
 
 
+def _sending(tree: Tree, entry: dict[int, int]):
+    """Rows (shard, fp) to the shards of the subtree that their shard has grown."""
+
+    def run(batches):
+        for batch in batches:
+            shard, own = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            names, at = np.unique(shard, return_inverse=True)
+            index, to = tree.route(own.view(np.uint64), np.array([entry[s] for s in names.tolist()], np.int64)[at])
+            yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(own[index])], names=["shard", "fp"])
+
+    return run
+
+
 def _planting(depth: dict[int, int]):
     """A subtree for the sample of one shard."""
 
@@ -197,42 +214,36 @@ def _planting(depth: dict[int, int]):
     return run
 
 
-def links(fps: DataFrame, radius: int = RADIUS, shard_rows: int = 65_536, sample_rows: int = 16_384) -> DataFrame:
+def links(fps: DataFrame, radius: int = RADIUS, shard_rows: int = 100_000, sample_rows: int = 16_384) -> DataFrame:
     """Links (a, b), a > b, whose connected groups are those of all pairs of distinct fp at <= radius.
 
-    ``fps`` has one column fp of distinct longs. Shards hold ``shard_rows`` at most (half a second of comparing), or ``sample_rows`` rows are drawn of each that doesn't (by hash, in one task a
-    shard) and it grows a subtree. The driver holds the tree only: 32 bytes for each shard. A shard that a subtree leaves whole is compared in blocks.
+    ``fps`` has one column fp of distinct longs. Shards hold ``shard_rows`` at most (a second of comparing), or ``sample_rows`` rows are drawn of each that doesn't (by hash, in one task a
+    shard) and it grows a subtree; its rows are dealt anew and written. The driver holds the tree only: 32 bytes for each shard. A shard that a subtree leaves whole is compared in blocks.
     """
-    tree, blocks = Tree(radius), {}
+    tree, blocks, done = Tree(radius), {}, []
     n = fps.count()
+    placed = fps.select(F.lit(-1).cast("long").alias("shard"), "fp")
     size = {-1: n} if n > shard_rows else {}
-
-    def routed(tree: Tree, only: set[int] | None = None) -> DataFrame:
-        def send(batches):
-            for batch in batches:
-                own = batch.column(0).to_numpy(zero_copy_only=False)
-                index, shard = tree.route(own.view(np.uint64))
-                if only is not None:
-                    wanted = np.isin(shard, list(only))
-                    index, shard = index[wanted], shard[wanted]
-                yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(own[index])], names=["shard", "fp"])
-
-        return fps.mapInArrow(send, "shard long, fp long")
-
     while size:
         share = {s: min(1.0, sample_rows / n) for s, n in size.items()}
-        depth = {s: int(np.clip(np.ceil(np.log2(n / shard_rows)), 1, np.log2(max(128, sample_rows) / 64))) for s, n in size.items()}
-
-        sample = routed(tree, set(size)).mapInPandas(_drawing(share), "shard long, fp long")
-        found = sample.groupBy("shard").applyInPandas(_planting(depth), "shard long, point array<long>, cut array<long>")
+        depth = {s: int(np.clip(np.ceil(np.log(n / shard_rows) / -np.log(SHRINK)), 1, np.log2(max(128, sample_rows) / 64))) for s, n in size.items()}
+        big = F.broadcast(fps.sparkSession.createDataFrame([(s,) for s in size], "shard long"))  # shards, not rows
+        over = placed.join(big, "shard")
+        found = over.mapInPandas(_drawing(share), "shard long, fp long").groupBy("shard").applyInPandas(_planting(depth), "shard long, point array<long>, cut array<long>")
         came: dict[int, int] = {}
+        entry: dict[int, int] = {}
         for r in sorted(found.collect(), key=lambda r: r.shard):
+            entry[r.shard] = len(tree.point)
             came.update(dict.fromkeys(tree.grow(r.shard, np.array(r.point, np.int64).view(np.uint64), np.array(r.cut, np.int64)), r.shard))
-        over = routed(tree).groupBy("shard").count().where(F.col("count") > shard_rows).collect()
-        now = {r["shard"]: r["count"] for r in over if r["shard"] in came}
-        stuck = {s: n for s, n in now.items() if n > 0.9 * size[came[s]]} | {s: n for s, n in size.items() if s not in came.values()}
+        blocks.update({s: int(-(-2 * n // shard_rows)) for s, n in size.items() if s not in entry})
+        grown = F.broadcast(fps.sparkSession.createDataFrame([(s,) for s in entry], "shard long"))
+        done.append(placed.join(grown, "shard", "left_anti"))
+        placed = written(placed.join(grown, "shard").mapInArrow(_sending(tree, entry), "shard long, fp long"), "shards")
+        now = {r["shard"]: r["count"] for r in placed.groupBy("shard").count().where(F.col("count") > shard_rows).collect()}
+        stuck = {s: n for s, n in now.items() if n > 0.9 * size[came[s]]}
         blocks.update({s: int(-(-2 * n // shard_rows)) for s, n in stuck.items()})
         size = {s: n for s, n in now.items() if s not in stuck}
+    sent = functools.reduce(DataFrame.union, [*done, placed])
 
     def paired(frames):
         """Rows of shards to compare in blocks go to every pair of blocks that theirs is in; block numbers follow the hash."""
@@ -249,7 +260,6 @@ def links(fps: DataFrame, radius: int = RADIUS, shard_rows: int = 65_536, sample
         joined = group != np.arange(len(own))
         return pd.DataFrame({"a": own[joined], "b": own[group[joined]]})
 
-    sent = routed(tree)
     sent = sent.mapInPandas(paired, "shard long, i long, j long, fp long") if blocks else sent.select("shard", F.lit(0).alias("i"), F.lit(0).alias("j"), "fp")
     return sent.groupBy("shard", "i", "j").applyInPandas(pair, "a long, b long")
 
