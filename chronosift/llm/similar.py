@@ -1,6 +1,7 @@
-"""Near-duplicates by Jaccard likeness of word shingles: candidates from MinHash bands, then an exact check.
+"""Near-duplicates by Jaccard likeness of word shingles: candidates from SimHash links and MinHash bands, then an exact check.
 
-Texts with the same set of shingles share a key and meet as one. A set has 40 bands of 5 MinHash values; sets that share a band are
+Texts with the same set of shingles share a key and meet as one. Fingerprints that the vantage-point trees link are candidates; as few pairs at the bound are that
+close (see the README), bands find the others. A set has 40 bands of 5 MinHash values; sets that share a band are
 candidates, so a pair at likeness 0.8 is missed with a chance of (1 - 0.8 ** 5) ** 40 = 1.3e-7, one at 0.9 with 1e-15.
 Connected candidates meet in one task, each text once, where likenesses are counted from the whole sets and only pairs at or over the
 bound are linked. A group of candidates that is too large for a task is cut into blocks, and each pair of blocks is a task; the links are joined afterwards.
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronosift.llm.common import free_names, text_slices, written
-from chronosift.llm.simhash import components
+from chronosift.llm.simhash import RADIUS, components, fingerprint, links
 
 #: Words of a shingle, and the least likeness of linked texts in hundredths.
 SHINGLE, PERCENT = 5, 80
@@ -108,7 +109,7 @@ def groups_of(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
 
 
 def _signed(rows: DataFrame, shingle: int) -> DataFrame:
-    """id, th, key of the set and bands of every row with columns id, th and text."""
+    """id, th, key of the set, fingerprint and bands of every row with columns id, th and text."""
 
     def run(batches):
         for batch in batches:
@@ -118,10 +119,21 @@ def _signed(rows: DataFrame, shingle: int) -> DataFrame:
                 keys = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
                 bands = _bands(np.array([_least(s) for s in sets]))
                 listed = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel()))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), ths.slice(at, len(ids)), pa.array(keys), listed], names=["id", "th", "key", "bands"])
+                fps = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), ths.slice(at, len(ids)), pa.array(keys), pa.array(fps), listed], names=["id", "th", "key", "fp", "bands"])
                 at += len(ids)
 
-    return rows.mapInArrow(run, "id long, th long, key long, bands array<long>")
+    return rows.mapInArrow(run, "id long, th long, key long, fp long, bands array<long>")
+
+
+def _by_simhash(signed: DataFrame, radius: int) -> DataFrame:
+    """(a, b): keys whose fingerprints are in one group of links at ``radius`` bits, each with the group's smallest key."""
+    least = written(signed.groupBy("fp").agg(F.min("key").alias("low")), "fingerprints")
+    group = components(links(least.select("fp"), radius)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
+    placed = written(least.join(group, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "low"), "placed")
+    lows = placed.groupBy("root").agg(F.min("low").alias("least"))
+    of_fp = placed.join(lows, "root").select("fp", "least")
+    return signed.select("key", "fp").distinct().join(of_fp, "fp").where("key > least").select(F.col("key").alias("a"), F.col("least").alias("b"))
 
 
 def _linked(texts: DataFrame, shingle: int, percent: int, block_bytes: int, block_rows: int) -> DataFrame:
@@ -161,7 +173,7 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     banded = signed.select("key", F.explode("bands").alias("h"))
     shared = banded.groupBy("h").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("h", "low")
     near = banded.join(shared, "h").where("key > low").select(F.col("key").alias("a"), F.col("low").alias("b"))
-    placed = components(near)
+    placed = components(near.union(_by_simhash(signed, RADIUS)))
     placed = placed.select(F.col("a").alias("key"), F.col("b").alias("root")).union(placed.select(F.col("b").alias("key"), F.col("b").alias("root")).distinct())
     wanted = at.join(placed, "key").select("row.id", "row.th", "key", "root")
     same = [rows["id"].eqNullSafe(wanted["id"]), rows["th"] == wanted["th"]]
