@@ -431,8 +431,9 @@ def test_scores_hang_on_no_partition(clashing):
     learn = crc_mod("doc_id", 10) != 0
     a = pitman_yor.score(clashing, learn, shards=2).collect()
     b = pitman_yor.score(clashing.repartition(5), learn, shards=37, chunk_tokens=700).collect()
+    c = pitman_yor.score(clashing.repartition(3), learn, shards=29, chunk_tokens=500, two_hops=True).collect()
     key = lambda rows: sorted((r.doc_id, r.n_tokens, r.n_known, r.base_score, r.score) for r in rows)
-    assert np.allclose(np.array(key(a)), np.array(key(b)), atol=1e-9)
+    assert np.allclose(np.array(key(a)), np.array(key(b)), atol=1e-9) and np.allclose(np.array(key(a)), np.array(key(c)), atol=1e-9)
 
 
 def seated(text, contexts, sweeps, model=pitman_yor.MODEL, hyper=False):
