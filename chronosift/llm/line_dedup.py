@@ -65,10 +65,14 @@ class LineRuns:
 
     def add(self, counts: DataFrame) -> None:
         runs = self.runs()
+        # dealt as the runs lie, so that only the batch moves; the sum over single rows keeps the joins above the deal
+        counts = counts.repartition(self.buckets, "k1", "k2").groupBy("k1", "k2").agg(F.sum("n_docs").alias("n_docs"))
         if runs:
-            stored = self._read(runs).select("k1", "k2").hint("merge")
-            new = counts.join(stored, ["k1", "k2"], "left_anti").withColumn("met", F.lit(False))
-            counts = new.union(counts.join(stored, ["k1", "k2"], "left_semi").withColumn("met", F.lit(True)))
+            # run by run, each read as it lies; as runs share no line, a line that was met was met in one
+            stored = [self._read([run]).select("k1", "k2").hint("merge") for run in runs]
+            new = functools.reduce(lambda left, run: left.join(run, ["k1", "k2"], "left_anti"), stored, counts)
+            met = [counts.join(run, ["k1", "k2"], "left_semi").withColumn("met", F.lit(True)) for run in stored]
+            counts = functools.reduce(DataFrame.union, met, new.withColumn("met", F.lit(False)))
         else:
             counts = counts.withColumn("met", F.lit(False))
         name = self._write(counts)
@@ -126,7 +130,9 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, n_batches: int | No
     rk, rk2, dropped, parts = free_names(docs, "_rk", "_rk2", "_drop", "_parts")
     docs = docs.drop("kept_text", "n_lines", "n_dropped")
     row_key = [F.xxhash64(F.col(id_col), text).alias(rk), F.xxhash64(text, F.col(id_col)).alias(rk2)]
-    n_batches = n_batches or number_of_batches(10 * docs.count())
+    n_lines = 10 * docs.count()  # about
+    n_batches = n_batches or number_of_batches(n_lines)
+    buckets = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_lines // 100_000))
     k1, k2 = key_hash(F.col("key"))
     lines = (
         docs.select(*row_key, F.monotonically_increasing_id().alias("uid"), F.split(text, "\n", -1).alias("parts"))
@@ -138,7 +144,7 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, n_batches: int | No
     path = fresh_path(spark, "lines")
     lines.write.partitionBy("batch").option("compression", "snappy").parquet(path)
     lines = spark.read.schema(lines.schema).parquet(path)
-    runs = LineRuns(spark, min_docs, fanout)
+    runs = LineRuns(spark, min_docs, fanout, buckets)
     for b in range(n_batches):
         once = lines.where(F.col("batch") == b).select("k1", "k2", "uid").distinct()
         runs.add(once.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n_docs")))
