@@ -74,7 +74,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     Unlike an executor-local cache the files outlive any executor.
     """
     path = fresh_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "snappy").parquet(path)  # mostly hashes; zstd's buffers would stay with the executor
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

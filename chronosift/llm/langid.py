@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chronosift.llm.common import crc_mod, id_text, text_slices
+from chronosift.llm.common import crc_mod, give_back, id_text, text_slices
 
 UNKNOWN = "und"
 
@@ -141,6 +141,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         for ids, texts in text_slices(batches):
             names, scores = score(texts)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
+        give_back()
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
@@ -162,6 +163,7 @@ def keep_claimed(docs: DataFrame, model: Model, least: float = 0.5, letters: int
                 names, scores = score(texts)
                 keep += [n != UNKNOWN and (s >= least or sum(map(str.isalpha, t)) < letters) for n, s, t in zip(names, scores, texts, strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronosift.llm.common import id_text, text_slices, written
+from chronosift.llm.common import give_back, id_text, text_slices, written
 
 #: Words of a shingle, and differing bits of linked fingerprints.
 SHINGLE, RADIUS = 3, 3
@@ -54,6 +54,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
         for ids, texts in text_slices(batches):
             made = np.array([fingerprint(t, shingle) for t in texts], np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(made.view(np.int64))], names=["doc_id", "fp"])
+        give_back()
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
 
@@ -258,6 +259,7 @@ def links(fps: DataFrame, radius: int = RADIUS, shard_rows: int = 100_000, sampl
         own = np.sort(pdf["fp"].to_numpy(np.int64))
         group = groups_within(own.view(np.uint64), radius)
         joined = group != np.arange(len(own))
+        give_back()
         return pd.DataFrame({"a": own[joined], "b": own[group[joined]]})
 
     sent = sent.mapInPandas(paired, "shard long, i long, j long, fp long") if blocks else sent.select("shard", F.lit(0).alias("i"), F.lit(0).alias("j"), "fp")

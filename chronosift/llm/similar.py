@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronosift.llm.common import free_names, text_slices, written
+from chronosift.llm.common import free_names, give_back, text_slices, written
 from chronosift.llm.simhash import RADIUS, components, fingerprint, links
 
 #: Words of a shingle, and the least likeness of linked texts in hundredths.
@@ -122,6 +122,7 @@ def _signed(rows: DataFrame, shingle: int) -> DataFrame:
                 fps = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), ths.slice(at, len(ids)), pa.array(keys), pa.array(fps), listed], names=["id", "th", "key", "fp", "bands"])
                 at += len(ids)
+        give_back()
 
     return rows.mapInArrow(run, "id long, th long, key long, fp long, bands array<long>")
 
@@ -144,6 +145,7 @@ def _linked(texts: DataFrame, shingle: int, percent: int, block_bytes: int, bloc
         keys = pdf["key"].to_numpy(np.int64)
         group = groups_of([shingles(t or "", shingle) for t in pdf["text"]], percent)
         joined = group != np.arange(len(keys))
+        give_back()
         return pd.DataFrame({"key": keys[joined], "root": keys[group[joined]]})
 
     size = F.greatest(F.ceil(F.sum(F.octet_length(F.coalesce("text", F.lit("")))) / block_bytes), F.ceil(F.count("*") / block_rows))
