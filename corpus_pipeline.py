@@ -75,7 +75,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (_, stage) in enumerate(STAGES[:-1]):
         path = fresh_path(spark, f"stage-{i + 1}")
         with scratch(spark):
-            stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
+            stage(spark, docs, sf_dir).write.option("compression", "snappy").parquet(path)
         if before:
             remove(spark, before)
         docs, before = spark.read.parquet(path), path
