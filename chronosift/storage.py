@@ -6,16 +6,20 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_OWN: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, as the cluster names it. Only a local master may go without; it gets a temporary folder."""
+    """spark.checkpoint.dir, as the cluster names it. Only a local master may go without; it gets a temporary folder, one for each application."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="chronosift-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    sc = spark.sparkContext
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if sc.applicationId not in _OWN:
+        _OWN[sc.applicationId] = tempfile.mkdtemp(prefix="chronosift-")
+    return _OWN[sc.applicationId]
 
 
 def durable(df: DataFrame) -> DataFrame:
