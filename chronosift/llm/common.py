@@ -20,18 +20,23 @@ _LIBC = ctypes.CDLL(None)
 SPACES = " \t\n\x0b\x0c\r"
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir.
 
-    Only a local master may go without the setting; it then gets a temporary folder.
+    Only a local master may go without the setting; it then gets a temporary folder, one for each application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="chronosift-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    sc = spark.sparkContext
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if sc.applicationId not in _OWN:
+        _OWN[sc.applicationId] = tempfile.mkdtemp(prefix="chronosift-")
+    return _OWN[sc.applicationId]
 
 
 def remove(spark: SparkSession, path: str) -> None:
