@@ -125,7 +125,9 @@ def train(docs: DataFrame, rows: Column, each: int = 250, n_landmarks: int = 240
     texts = near.groupBy("l", "h").agg(F.min("t").alias("t"))
     first = texts.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("h", "t"))).where(F.col("r") <= each)
     found = [(r.l, i, np.array(r.grams)) for i, r in enumerate(_sets(first.orderBy("l", "r").select("l", "t")).collect())]
-    return fit([g for _, _, g in found], [lang for lang, _, _ in found], n_landmarks)
+    model = fit([g for _, _, g in found], [lang for lang, _, _ in found], n_landmarks)
+    give_back()
+    return model
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

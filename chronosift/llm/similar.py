@@ -128,13 +128,12 @@ def _signed(rows: DataFrame, shingle: int) -> DataFrame:
 
 
 def _by_simhash(signed: DataFrame, radius: int) -> DataFrame:
-    """(a, b): keys whose fingerprints are in one group of links at ``radius`` bits, each with the group's smallest key."""
+    """(a, b): keys that connect those whose fingerprints are linked at ``radius`` bits: each with the smallest key of its fingerprint, and these along the links."""
     least = written(signed.groupBy("fp").agg(F.min("key").alias("low")), "fingerprints")
-    group = components(links(least.select("fp"), radius)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
-    placed = written(least.join(group, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "low"), "placed")
-    lows = placed.groupBy("root").agg(F.min("low").alias("least"))
-    of_fp = placed.join(lows, "root").select("fp", "least")
-    return signed.select("key", "fp").distinct().join(of_fp, "fp").where("key > least").select(F.col("key").alias("a"), F.col("least").alias("b"))
+    own = signed.select("key", "fp").distinct().join(least, "fp").select(F.col("key").alias("a"), F.col("low").alias("b"))
+    ends = [least.select(F.col("fp").alias(end), F.col("low").alias(f"low_{end}")) for end in "ab"]
+    along = links(least.select("fp"), radius).join(ends[0], "a").join(ends[1], "b").select(F.col("low_a").alias("a"), F.col("low_b").alias("b"))
+    return own.union(along)
 
 
 def _linked(texts: DataFrame, shingle: int, percent: int, block_bytes: int, block_rows: int) -> DataFrame:
