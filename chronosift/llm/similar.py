@@ -127,6 +127,14 @@ def _signed(rows: DataFrame, shingle: int) -> DataFrame:
     return rows.mapInArrow(run, "id long, th long, key long, fp long, bands array<long>")
 
 
+#: Rows of (id, hash, key, root) that are sent to all tasks at most: 32 MB. More are joined by a shuffle of the texts.
+LIGHT = 1_000_000
+
+
+def _light(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.limit(LIGHT + 1).count() <= LIGHT else rows
+
+
 def _by_simhash(signed: DataFrame, radius: int) -> DataFrame:
     """(a, b): keys that connect those whose fingerprints are linked at ``radius`` bits: each with the smallest key of its fingerprint, and these along the links."""
     least = written(signed.groupBy("fp").agg(F.min("key").alias("low")), "fingerprints")
@@ -177,11 +185,18 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     placed = components(near.union(_by_simhash(signed, RADIUS)))
     placed = placed.select(F.col("a").alias("key"), F.col("b").alias("root")).union(placed.select(F.col("b").alias("key"), F.col("b").alias("root")).distinct())
     wanted = at.join(placed, "key").select("row.id", "row.th", "key", "root")
+    wanted = _light(written(wanted, "wanted"))
     same = [rows["id"].eqNullSafe(wanted["id"]), rows["th"] == wanted["th"]]
     texts = rows.join(wanted, same).select("key", "root", "text").dropDuplicates(["key"])
 
     linked = _linked(texts, shingle, percent, block_bytes, block_rows)
     first = at.join(linked, "key", "left").groupBy(F.coalesce("root", "key")).agg(F.min("row").alias("row")).select("row.id", "row.th")
+    kept = written(first, "first")
+    same = [signed["id"].eqNullSafe(kept["id"]), signed["th"] == kept["th"]]
+    gone = written(signed.join(kept, same, "left_anti").select("id", "th").distinct(), "gone")
     marked = docs.withColumn(th, text_hash)
-    stays = marked.join(first.hint("shuffle_hash"), [marked[id_col].cast("long").eqNullSafe(first["id"]), marked[th] == first["th"]], "left_semi")
-    return stays.dropDuplicates([id_col, th]).select(*docs.columns)
+    stays = marked.join(_light(gone), [marked[id_col].cast("long").eqNullSafe(gone["id"]), marked[th] == gone["th"]], "left_anti")
+    twice = signed.groupBy("id", "th").agg(F.count("*").alias("n")).where("n > 1")
+    if not twice.isEmpty():  # repeated rows: texts move only then
+        stays = stays.dropDuplicates([id_col, th])
+    return stays.select(*docs.columns)

@@ -75,3 +75,12 @@ def test_large_groups_are_compared_in_blocks(spark):
     want = sorted(set(plain_groups(plain_sets(texts))))
     assert sorted(r.doc_id for r in similar.keep_first(docs, block_rows=10).collect()) == want
     assert sorted(r.doc_id for r in similar.keep_first(docs, block_bytes=3000).collect()) == want
+
+
+def test_texts_that_are_joined_by_a_shuffle(spark, monkeypatch):
+    """Beyond the bound of a broadcast the same rows stay."""
+    texts = edited(random.Random(9), 20)
+    docs = spark.createDataFrame([*enumerate(texts), (3, texts[3])], "doc_id long, text string")
+    want = sorted(r.doc_id for r in similar.keep_first(docs).collect())
+    monkeypatch.setattr(similar, "LIGHT", 0)
+    assert sorted(r.doc_id for r in similar.keep_first(docs).collect()) == want == sorted(set(plain_groups(plain_sets(texts))))
