@@ -158,6 +158,14 @@ def test_streaming_from_the_configuration(spark, tmp_path):
     assert store.SignalStore(spark, root).read().count() == before + 3
 
 
+def test_pipeline_of_nothing(spark, tmp_path):
+    spark.createDataFrame([], engine.POINTS).write.parquet(str(tmp_path / "in"))
+    source = {"type": "points", "path": str(tmp_path / "in")}
+    for detector in ({"type": "zscore"}, {"type": "regime-switch"}):
+        config = {"source": source, "detector": detector, "entity_rollup": True, "sinks": [{"type": "signal-store", "root": str(tmp_path / "kb")}]}
+        assert pipeline.run_pipeline(config, spark, 1) == {"rows_in": 0, "records_out": 0}
+
+
 def test_late_element_comes_last(spark, tmp_path):
     source = pipeline.SyntheticSource(["g"], ["c"], 20, late_at=3)
     stream = source.read_stream(spark, str(tmp_path / "f"), parts=3)
