@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronosift.llm.bpe import library, ranks_agree, word_encoder
-from chronosift.llm.common import collector_off, id_text, text_slices, written
+from chronosift.llm.common import collector_off, give_back, id_text, text_slices, written
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -31,7 +31,7 @@ _SPACE = str.maketrans("\n\t\r", "   ")
 class WordIds:
     """Ids, as little-endian bytes, of texts for a file that drops white space; words are kept in a bounded table."""
 
-    def __init__(self, path: str, fast: bool, most: int = 400_000) -> None:
+    def __init__(self, path: str, fast: bool, most: int = 300_000) -> None:
         self.tok, self.most, self.known = library(path), most, {"": b""}
         self.word = word_encoder(path) if fast else None
 
@@ -94,6 +94,8 @@ def tokenise_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int) -
                         part = raw[at : at + step]
                         rows.append((doc_id, at // 4, len(part) // 4, zlib.crc32(part), len(raw) // 4))
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                del rows
+        give_back()
 
     return id_text(docs).mapInArrow(run, PIECES)
 
