@@ -16,7 +16,7 @@ from chronosift.plans.base import DAY, POINTS, SIGNALS, TICKS, Registry, points,
 from chronosift.schema import as_signals
 from chronosift.sinks import remote_write, rows, store
 from chronosift.sources import files
-from chronosift.storage import shared_folder
+from chronosift.storage import laid_down, shared_folder
 from chronosift.streaming import engine
 
 Q = Registry()
@@ -47,10 +47,11 @@ def _kept(spark: SparkSession, stream: DataFrame, folder: str, mode: str) -> Dat
 
 def _recorded(df: DataFrame, by: str, folder: str, parts: int = 3) -> None:
     """Rows as files in order of ``by``, to be replayed."""
-    low, high = df.agg(F.min(by), F.max(by)).first()
-    step = ((high or 0) - (low or 0)) // parts + 1
-    for i in range(parts):
-        df.where((F.col(by) >= (low or 0) + i * step) & (F.col(by) < (low or 0) + (i + 1) * step)).coalesce(1).write.parquet(f"{folder}/{i:05d}")
+    with laid_down(df) as rows_:
+        low, high = rows_.agg(F.min(by), F.max(by)).first()
+        step = ((high or 0) - (low or 0)) // parts + 1
+        for i in range(parts):
+            rows_.where((F.col(by) >= (low or 0) + i * step) & (F.col(by) < (low or 0) + (i + 1) * step)).coalesce(1).write.parquet(f"{folder}/{i:05d}")
 
 
 # ---- sinks and back

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +30,17 @@ def durable(df: DataFrame) -> DataFrame:
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+@contextlib.contextmanager
+def laid_down(df: DataFrame):
+    """The rows as Parquet in the shared folder while they are read several times, whatever it took to make them; they go at the end."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/laid-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        jvm = spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -7,14 +7,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from chronosift.operators import detect
 from chronosift.operators import regime as machine
+from chronosift.storage import laid_down
 
 POINTS = "group_id string, channel string, ts_ms long, value double"
+#: Keys of state machines and panes are dealt to so many states; a stream keeps its number for as long as its checkpoint.
+BUCKETS = 512
 
 
 @dataclasses.dataclass(frozen=True)
@@ -59,14 +63,15 @@ def record(points: DataFrame, folder: str, parts: int = 4, late: Column | None =
     Each part is one job, as the files' times give their order.
     """
     rows = points.select(*[c.split()[0] for c in POINTS.split(", ")]).withColumn("_late", F.coalesce(late, F.lit(False)) if late is not None else F.lit(False))
-    low, high = rows.where("NOT _late").agg(F.min("ts_ms"), F.max("ts_ms")).first()
-    if low is not None:
-        step = (high - low) // parts + 1
-        for i in range(parts):
-            part = rows.where(~F.col("_late") & (F.col("ts_ms") >= low + i * step) & (F.col("ts_ms") < low + (i + 1) * step))
-            part.drop("_late").coalesce(1).write.mode("overwrite").parquet(f"{folder}/{i:05d}")
-    if late is not None:
-        rows.where("_late").drop("_late").coalesce(1).write.mode("overwrite").parquet(f"{folder}/{parts:05d}")
+    with laid_down(rows) as rows:
+        low, high = rows.where("NOT _late").agg(F.min("ts_ms"), F.max("ts_ms")).first()
+        if low is not None:
+            step = (high - low) // parts + 1
+            for i in range(parts):
+                part = rows.where(~F.col("_late") & (F.col("ts_ms") >= low + i * step) & (F.col("ts_ms") < low + (i + 1) * step))
+                part.drop("_late").coalesce(1).write.mode("overwrite").parquet(f"{folder}/{i:05d}")
+        if late is not None:
+            rows.where("_late").drop("_late").coalesce(1).write.mode("overwrite").parquet(f"{folder}/{parts:05d}")
 
 
 def windowed_points(points: DataFrame, spec: WindowSpec) -> DataFrame:
@@ -96,6 +101,37 @@ def windowed_zscore(points: DataFrame, spec: WindowSpec, streaming: bool = True)
     return out.select(F.col("group_id").alias("entity_uid"), F.col("channel").alias("metric_name"), F.unix_millis(F.col("w.start")).alias("win_start"), F.unix_millis(F.col("w.end")).alias("ts"), detect.cut_at_least(F.col("raw"), detect.Z_WARNING, detect.Z_CRITICAL).alias("severity"), F.round("raw", 4).alias("score"), F.lit("zscore").alias("method"), F.col("n").cast("long").alias("n_points"))
 
 
+def _in_buckets(rows: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """Rows with the number of their key's bucket. A bucket's keys are advanced in one call of Python and kept in one state, since a call for each key costs more than its rows."""
+    if buckets < 1:
+        raise ValueError("buckets must be 1 or more")
+    return rows.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets))).groupBy("_bucket")
+
+
+_KEPT = "kept binary"
+
+
+def _load(state: GroupState) -> pa.Table | None:
+    return pa.ipc.open_stream(bytes(state.get[0])).read_all() if state.exists else None
+
+
+def _save(state: GroupState, **columns: pa.Array) -> None:
+    batch = pa.record_batch(columns)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    state.update((sink.getvalue().to_pybytes(),))
+
+
+def _codes(columns: list[list[pd.Series]]) -> tuple[np.ndarray, int]:
+    """Numbers of keys, whose columns come in parts, in order of appearance; nulls are a value like others."""
+    code = np.zeros(sum(map(len, columns[0])), np.int64)
+    for parts in columns:
+        own, values = pd.factorize(np.concatenate([x.to_numpy() for x in parts]), use_na_sentinel=False)
+        code, known = pd.factorize(code * len(values) + own)
+    return code, len(known) if len(code) else 0
+
+
 def counted_panes(points: DataFrame, spec: WindowSpec) -> DataFrame:
     """Panes fired by element counts: (group_id, channel, win_start, pane, kind, n, total). The state of a window is four numbers, whatever it holds."""
     rows = stamped(points).withWatermark("event_time", f"{spec.lateness_s} seconds")
@@ -135,20 +171,41 @@ def counted_panes(points: DataFrame, spec: WindowSpec) -> DataFrame:
     return keyed.groupBy("group_id", "channel", "win_start").applyInPandasWithState(fire, "group_id string, channel string, win_start long, pane int, kind string, n int, total double", "n int, total double, pane int, waiting int", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def streaming_regime(ticks: DataFrame, enter_after: int = 1, exit_after: int = 1) -> DataFrame:
-    """The regime machine over a stream of ticks (entity_uid, metric_name, seq, forecast_severity, recon_severity)."""
-
-    def advance(key, batches: Iterator[pd.DataFrame], state: GroupState):
-        regime, streak = state.get if state.exists else ("normal", 0)
-        out = []
-        rows = sorted((r for pdf in batches for r in pdf[["seq", "forecast_severity", "recon_severity"]].itertuples(index=False)), key=lambda r: r[0])
-        for seq, forecast, recon in rows:
-            mode, _, regime, streak = machine.advance(regime, streak, forecast, recon, enter_after, exit_after)
-            out.append((*key, seq, mode, regime))
-        state.update((regime, streak))
-        yield pd.DataFrame(out, columns=["entity_uid", "metric_name", "seq", "mode", "regime"])
-
-    return ticks.groupBy("entity_uid", "metric_name").applyInPandasWithState(advance, "entity_uid string, metric_name string, seq long, mode string, regime string", "regime string, streak int", "append", GroupStateTimeout.NoTimeout)
+_SERIES = ["entity_uid", "metric_name"]
+
+
+def _whole(batches: Iterator[pd.DataFrame], had: pa.Table | None) -> tuple[pd.DataFrame, np.ndarray, int, list[pd.Series]]:
+    """A bucket's new rows in order of key and ``seq``, the numbers of their keys, how many keys there are, and their names; those that were kept come first."""
+    new = pd.concat(list(batches), ignore_index=True)
+    before = [[] if had is None else [had[k].to_pandas()] for k in _SERIES]
+    code, n = _codes([[*b, new[k]] for k, b in zip(_SERIES, before, strict=True)])
+    first = np.zeros(n, np.int64)
+    first[code[::-1]] = np.arange(len(code))[::-1]
+    names = [pd.concat([*b, new[k]], ignore_index=True).iloc[first] for k, b in zip(_SERIES, before, strict=True)]
+    own = code[len(code) - len(new) :]
+    order = np.lexsort((new["seq"].to_numpy(), own))
+    return new.iloc[order], own[order], n, names
+
+
+def streaming_regime(ticks: DataFrame, enter_after: int = 1, exit_after: int = 1, buckets: int = BUCKETS) -> DataFrame:
+    """The regime machine over a stream of ticks (entity_uid, metric_name, seq, forecast_severity, recon_severity). Keys that are as at the start are not kept."""
+
+    def advance(_, batches: Iterator[pd.DataFrame], state: GroupState):
+        had = _load(state)
+        rows, code, n, names = _whole(batches, had)
+        regimes, streaks = ["normal"] * n, [0] * n
+        if had is not None:
+            regimes[: len(had)], streaks[: len(had)] = had["regime"].to_pylist(), had["streak"].to_pylist()
+        modes, after = [], []
+        for k, forecast, recon in zip(code.tolist(), rows["forecast_severity"].tolist(), rows["recon_severity"].tolist(), strict=True):
+            mode, _, regimes[k], streaks[k] = machine.advance(regimes[k], streaks[k], forecast, recon, enter_after, exit_after)
+            modes.append(mode)
+            after.append(regimes[k])
+        kept = [k for k in range(n) if streaks[k] or regimes[k] != "normal"]
+        _save(state, **{c: pa.array(x.iloc[kept], pa.string()) for c, x in zip(_SERIES, names, strict=True)}, regime=pa.array([regimes[k] for k in kept], pa.string()), streak=pa.array([streaks[k] for k in kept], pa.int64()))
+        yield rows[[*_SERIES, "seq"]].assign(mode=modes, regime=after)
+
+    return _in_buckets(ticks, _SERIES, buckets).applyInPandasWithState(advance, "entity_uid string, metric_name string, seq long, mode string, regime string", _KEPT, "append", GroupStateTimeout.NoTimeout)
 
 
 def streaming_quantile(scores: DataFrame, window: int = 64, min_history: int = 16, warning: float = 1.8, critical: float = 3.0, warn_q: float = 0.95, crit_q: float = 0.99) -> DataFrame:
