@@ -208,36 +208,51 @@ def streaming_regime(ticks: DataFrame, enter_after: int = 1, exit_after: int = 1
     return _in_buckets(ticks, _SERIES, buckets).applyInPandasWithState(advance, "entity_uid string, metric_name string, seq long, mode string, regime string", _KEPT, "append", GroupStateTimeout.NoTimeout)
 
 
-def streaming_quantile(scores: DataFrame, window: int = 64, min_history: int = 16, warning: float = 1.8, critical: float = 3.0, warn_q: float = 0.95, crit_q: float = 0.99) -> DataFrame:
-    """The rolling-quantile threshold over a stream of (entity_uid, metric_name, seq, score); the state is the last scores of a key."""
-    return _judged(scores, window, lambda past: (np.quantile(past, warn_q), np.quantile(past, crit_q)) if len(past) >= min_history else (warning, critical))
+def streaming_quantile(scores: DataFrame, window: int = 64, min_history: int = 16, warning: float = 1.8, critical: float = 3.0, warn_q: float = 0.95, crit_q: float = 0.99, buckets: int = BUCKETS) -> DataFrame:
+    """The rolling-quantile threshold over a stream of (entity_uid, metric_name, seq, score); of a key its last scores are kept."""
+    return _judged(scores, window, min_history, (warning, critical), lambda past: np.quantile(past, (warn_q, crit_q), axis=1), buckets)
 
 
-def streaming_mad(scores: DataFrame, window: int = 64, min_history: int = 16, warning: float = 1.8, critical: float = 3.0, warn_k: float = 3.0, crit_k: float = 5.0) -> DataFrame:
+def streaming_mad(scores: DataFrame, window: int = 64, min_history: int = 16, warning: float = 1.8, critical: float = 3.0, warn_k: float = 3.0, crit_k: float = 5.0, buckets: int = BUCKETS) -> DataFrame:
     """The same with cuts some deviations (1.4826 times the median distance to the median) above the median."""
 
     def cuts(past):
-        if len(past) < min_history:
-            return warning, critical
-        mid = np.median(past)
-        spread = 1.4826 * float(np.median(np.abs(np.asarray(past) - mid))) or 1e-8
+        mid = np.median(past, axis=1)
+        spread = 1.4826 * np.median(np.abs(past - mid[:, None]), axis=1)
+        spread[spread == 0] = 1e-8
         return mid + warn_k * spread, mid + crit_k * spread
 
-    return _judged(scores, window, cuts)
+    return _judged(scores, window, min_history, (warning, critical), cuts, buckets)
 
 
-def _judged(scores: DataFrame, window: int, cuts) -> DataFrame:
-    def judge(key, batches: Iterator[pd.DataFrame], state: GroupState):
-        past = list(state.get[0]) if state.exists else []
-        out = []
-        for seq, score in sorted((r for pdf in batches for r in pdf[["seq", "score"]].itertuples(index=False)), key=lambda r: r[0]):
-            warn, crit = cuts(past)
-            out.append((*key, seq, score, "critical" if score > crit else "warning" if score > warn else "normal"))
-            past = [*past, float(score)][-window:]
-        state.update((past,))
-        yield pd.DataFrame(out, columns=["entity_uid", "metric_name", "seq", "score", "severity"])
-
-    return scores.groupBy("entity_uid", "metric_name").applyInPandasWithState(judge, "entity_uid string, metric_name string, seq long, score double, severity string", "past array<double>", "append", GroupStateTimeout.NoTimeout)
+def _judged(scores: DataFrame, window: int, min_history: int, fixed: tuple[float, float], cuts, buckets: int) -> DataFrame:
+    """``cuts`` has the two cuts of each row of past scores; with fewer than ``min_history`` of them the fixed ones hold."""
+
+    def judge(_, batches: Iterator[pd.DataFrame], state: GroupState):
+        had = _load(state)
+        rows, code, n, names = _whole(batches, had)
+        past = had["past"].combine_chunks() if had is not None else pa.array([], pa.list_(pa.float64()))
+        lengths = np.diff(past.offsets.to_numpy())
+        both = np.concatenate([np.repeat(np.arange(len(past)), lengths), code])
+        order = np.argsort(both, kind="stable")  # of each key the past, then the new rows as they are
+        values = np.concatenate([past.values.to_numpy(zero_copy_only=False), rows["score"].to_numpy(float)])[order]
+        counts = np.bincount(both, minlength=n)
+        ends = np.cumsum(counts)
+        at = np.flatnonzero(order >= len(both) - len(rows))  # where the new rows are, in their order
+        history = np.minimum(at - (ends - counts)[code], window)
+        warn, crit = np.full(len(rows), fixed[0]), np.full(len(rows), fixed[1])
+        for h in np.unique(history[history >= max(1, min_history)]).tolist():
+            same = np.flatnonzero(history == h)
+            for some in np.array_split(same, len(same) * h // 1_000_000 + 1):
+                warn[some], crit[some] = cuts(values[at[some][:, None] + np.arange(-h, 0)])
+        score = values[at]
+        left = np.minimum(counts, window)
+        starts = np.concatenate([[0], np.cumsum(left)])
+        last = np.arange(starts[-1]) + np.repeat(ends - left - starts[:-1], left)
+        _save(state, **{c: pa.array(x, pa.string()) for c, x in zip(_SERIES, names, strict=True)}, past=pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values[last])))
+        yield rows[[*_SERIES, "seq", "score"]].assign(severity=np.where(score > crit, "critical", np.where(score > warn, "warning", "normal")))
+
+    return _in_buckets(scores, _SERIES, buckets).applyInPandasWithState(judge, "entity_uid string, metric_name string, seq long, score double, severity string", _KEPT, "append", GroupStateTimeout.NoTimeout)
 
 
 def run_stream(df: DataFrame, write_batch, checkpoint: str, mode: str = "update", once: bool = True):

@@ -6,6 +6,7 @@ import time
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from chronosift.operators import regime
 from chronosift.streaming import engine
@@ -47,3 +48,26 @@ def test_regimes_of_many_keys(spark, tmp_path):
         want[e, m, i] = mode, now[e, m][0]
     assert {(e, m, i): (mode, after) for _, e, m, i, mode, after in out} == want and len(out) == len(rows)
     assert states <= engine.BUCKETS < KEYS
+
+
+def judged(spark, tmp_path, policy, cuts):
+    rng = np.random.default_rng(0)
+    rows = [(f"e{k}", "m", i, float(rng.choice([1.0, 1.5, 2.5, rng.exponential()]))) for k in range(KEYS) for i in range(11)]
+    stream = recorded(spark, tmp_path / "in", halves(rows), "entity_uid string, metric_name string, seq long, score double")
+    out, states = followed(policy(stream, 5, 3), tmp_path)
+    want, past = {}, {}
+    for e, _, i, score in rows:
+        own = past.setdefault(e, [])
+        warn, crit = cuts(own[-5:]) if len(own) >= 3 else (1.8, 3.0)
+        want[e, i] = score, "critical" if score > crit else "warning" if score > warn else "normal"
+        own.append(score)
+    assert {(e, i): (score, severity) for _, e, _, i, score, severity in out} == want and len(out) == len(rows)
+    assert states <= engine.BUCKETS < KEYS
+
+
+def test_deviations_of_many_keys(spark, tmp_path):
+    def cuts(past):
+        spread = 1.4826 * float(np.median(np.abs(np.asarray(past) - np.median(past)))) or 1e-8
+        return np.median(past) + 3 * spread, np.median(past) + 5 * spread
+
+    judged(spark, tmp_path, engine.streaming_mad, cuts)
