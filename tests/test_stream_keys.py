@@ -71,3 +71,7 @@ def test_deviations_of_many_keys(spark, tmp_path):
         return np.median(past) + 3 * spread, np.median(past) + 5 * spread
 
     judged(spark, tmp_path, engine.streaming_mad, cuts)
+
+
+def test_quantiles_of_many_keys(spark, tmp_path):
+    judged(spark, tmp_path, engine.streaming_quantile, lambda past: (np.quantile(past, 0.95), np.quantile(past, 0.99)))
