@@ -132,43 +132,54 @@ def _codes(columns: list[list[pd.Series]]) -> tuple[np.ndarray, int]:
     return code, len(known) if len(code) else 0
 
 
-def counted_panes(points: DataFrame, spec: WindowSpec) -> DataFrame:
-    """Panes fired by element counts: (group_id, channel, win_start, pane, kind, n, total). The state of a window is four numbers, whatever it holds."""
+def counted_panes(points: DataFrame, spec: WindowSpec, buckets: int = BUCKETS) -> DataFrame:
+    """Panes fired by element counts: (group_id, channel, win_start, pane, kind, n, total). A window is kept as four numbers and its time, whatever it holds."""
     rows = stamped(points).withWatermark("event_time", f"{spec.lateness_s} seconds")
     step, size = spec.period_s * 1000, spec.size_s * 1000
     last = F.col("ts_ms") - F.pmod("ts_ms", F.lit(step))
     starts = F.filter(F.sequence(last - (size // step) * step, last, F.lit(step).cast("long")), lambda s: s + size > F.col("ts_ms"))
     keyed = rows.withColumn("win_start", F.explode(starts))
     early, late, keep = spec.early_every, spec.late_every, spec.accumulating
+    names = ["group_id", "channel", "win_start"]
+    kinds = dict(group_id=pa.string(), channel=pa.string(), win_start=pa.int64(), n=pa.int64(), total=pa.float64(), pane=pa.int64(), waiting=pa.int64(), due=pa.int64())
 
-    def fire(key, batches: Iterator[pd.DataFrame], state: GroupState):
-        n, total, pane, waiting = state.get if state.exists else (0, 0.0, 0, 0)
-        end = int(key[2]) + size
-        out = []
-
-        def emit(kind):
-            nonlocal n, total, pane, waiting
-            out.append((key[0], key[1], int(key[2]), pane, kind, n, total))
-            pane, waiting = pane + 1, 0
-            n, total = (n, total) if keep else (0, 0.0)
-
-        if state.hasTimedOut:
-            if waiting:
-                emit("on_time")
-            state.remove()
-        else:
-            for pdf in batches:
-                for _, v in sorted(zip(pdf["ts_ms"].tolist(), pdf["value"].tolist(), strict=True)):
+    def fire(_, batches: Iterator[pd.DataFrame], state: GroupState):
+        had = _load(state)
+        windows = {} if had is None else {tuple(w[:3]): w[3:] for w in map(list, zip(*had.to_pydict().values(), strict=True))}
+        now = state.getCurrentWatermarkMs()
+        met = set()
+        for pdf in batches if not state.hasTimedOut else ():
+            out = []
+            code, _ = _codes([[pdf[k]] for k in names])
+            order = np.lexsort((pdf["value"].to_numpy(float), pdf["ts_ms"].to_numpy(), code))
+            cuts = np.flatnonzero(np.diff(code[order], prepend=-1, append=-1))
+            firsts = order[cuts[:-1]]
+            values = pdf["value"].to_numpy(float)[order].tolist()
+            for *key, a, b in zip(*[pdf[k].to_numpy()[firsts].tolist() for k in names], cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                key = tuple(key)
+                n, total, pane, waiting, _ = windows.get(key, (0, 0.0, 0, 0, 0))
+                end = key[2] + size
+                kind, every = ("late", late) if now >= end else ("early", early)
+                for v in values[a:b]:
                     n, total, waiting = n + 1, total + v, waiting + 1
-                    closed = state.getCurrentWatermarkMs() >= end
-                    every = late if closed else early
                     if every and waiting >= every:
-                        emit("late" if closed else "early")
-            state.update((n, total, pane, waiting))
-            state.setTimeoutTimestamp(max(end + spec.lateness_s * 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["group_id", "channel", "win_start", "pane", "kind", "n", "total"])
+                        out.append((*key, pane, kind, n, total))
+                        pane, waiting = pane + 1, 0
+                        n, total = (n, total) if keep else (0, 0.0)
+                windows[key] = [n, total, pane, waiting, max(end + spec.lateness_s * 1000, now + 1)]
+                met.add(key)
+            yield pd.DataFrame(out, columns=[*names, "pane", "kind", "n", "total"])
+        over = [k for k, w in windows.items() if w[4] < now and k not in met]
+        out = [(*k, w[2], "on_time", w[0], w[1]) for k in over for w in [windows.pop(k)] if w[3]]
+        if windows:
+            columns = zip(*((*k, *w) for k, w in windows.items()), strict=True)
+            _save(state, **{c: pa.array(x, t) for (c, t), x in zip(kinds.items(), columns, strict=True)})
+            state.setTimeoutTimestamp(min(w[4] for w in windows.values()))
+        else:
+            state.remove()
+        yield pd.DataFrame(out, columns=[*names, "pane", "kind", "n", "total"])
 
-    return keyed.groupBy("group_id", "channel", "win_start").applyInPandasWithState(fire, "group_id string, channel string, win_start long, pane int, kind string, n int, total double", "n int, total double, pane int, waiting int", "append", GroupStateTimeout.EventTimeTimeout)
+    return _in_buckets(keyed, names, buckets).applyInPandasWithState(fire, "group_id string, channel string, win_start long, pane int, kind string, n int, total double", _KEPT, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 _SERIES = ["entity_uid", "metric_name"]

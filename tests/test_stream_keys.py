@@ -75,3 +75,25 @@ def test_deviations_of_many_keys(spark, tmp_path):
 
 def test_quantiles_of_many_keys(spark, tmp_path):
     judged(spark, tmp_path, engine.streaming_quantile, lambda past: (np.quantile(past, 0.95), np.quantile(past, 0.99)))
+
+
+def test_panes_of_many_keys(spark, tmp_path):
+    """Early panes over two batches; windows that the watermark has left fire once more in their time, whether their bucket has new rows or not."""
+    rng = np.random.default_rng(0)
+    rows = [(f"g{k}", "c", int(t), float(k)) for k in range(KEYS) for t in rng.integers(0, 60_000, 1 + k % 5)]
+    more = [(f"g{k}", "c", int(t), float(k)) for k in range(0, KEYS, 2) for t in rng.integers(0, 60_000, 2)]
+    later, last = [("g0", "c", 200_000, 1.0)], [(f"g{k}", "c", 230_000, 1.0) for k in range(0, KEYS, 3)]
+    stream = recorded(spark, tmp_path / "in", [pd.DataFrame(x) for x in (rows, more, later, last)], engine.POINTS)
+    out, states = followed(engine.counted_panes(stream, engine.WindowSpec(60, 60, lateness_s=60, early_every=2)), tmp_path)
+    counts = pd.Series([r[0] for r in rows + more]).value_counts()
+    early = sorted((g, n) for _, g, _, start, _, kind, n, _ in out if start == 0 and kind == "early")
+    assert early == sorted((g, n) for g, c in counts.items() for n in range(2, c + 1, 2))
+    timed = sorted((g, n, total) for _, g, _, start, _, kind, n, total in out if start == 0 and kind == "on_time")
+    assert timed == sorted((g, c, float(c * int(g[1:]))) for g, c in counts.items() if c % 2)
+    assert all(pane == (n - 1) // 2 for _, _, _, start, pane, _, n, _ in out if start == 0)
+    assert states <= engine.BUCKETS < KEYS
+
+
+def test_buckets_are_one_at_least(spark, tmp_path):
+    with pytest.raises(ValueError, match="buckets"):
+        engine.streaming_mad(engine.replay(spark, str(tmp_path), "entity_uid string, metric_name string, seq long, score double"), buckets=0)
