@@ -80,3 +80,23 @@ def test_scratch_goes(spark, docs):
     path = inner.removeprefix("file://")
     assert not os.path.exists(path) and spark.read.parquet(kept).count() == docs.count()
     common.remove(spark, kept)
+
+
+def test_stages_bound_batches_of_texts(spark):
+    """Workers get long texts a few at a time, whatever stage comes first; a lower bound of the session's own stays."""
+    import corpus_pipeline as c
+    import pyarrow as pa
+
+    key, sizes = "spark.sql.execution.arrow.maxBytesPerBatch", lambda it: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in it)
+    before = spark.conf.get(key)
+    docs = spark.range(0, 40, 1, 1).selectExpr("id AS doc_id", "repeat(concat('some words ', id, ' '), 70000) AS text", "'en' AS lang", "'s' AS source", "1L AS n_chars")
+    try:
+        for _, stage in c.STAGES:
+            spark.conf.unset(key)
+            stage(spark, docs.where("false"), "")
+            assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) < 6 << 20
+        spark.conf.set(key, "2m")
+        c.pack(spark, docs.where("false"), "")
+        assert spark.conf.get(key) == "2m"
+    finally:
+        spark.conf.set(key, before)
