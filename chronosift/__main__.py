@@ -53,7 +53,7 @@ def main(argv: list[str] | None = None) -> int:
 
         labels = {k: v for k, _, v in (x.partition("=") for x in args.label)}
         points = files.csv_points(pipeline.session(), args.csv, args.instance, args.timestamp_column, args.metric_prefix, args.time_format, int(time.time() * 1000) if args.end_at_now else None, labels)
-        print(remote_write.push(remote_write.to_series(points), args.endpoint, args.tenant, dry_run=args.dry_run))
+        print(remote_write.push(remote_write.to_pieces(points), args.endpoint, args.tenant, dry_run=args.dry_run))
     else:
         from chronosift.sinks import store
 

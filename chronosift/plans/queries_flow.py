@@ -202,7 +202,7 @@ def _(spark, sf):
     when = F.date_format(F.timestamp_seconds(F.lit(1_704_067_200) + F.col("o_orderkey")), "dd.MM.yyyy HH:mm:ss")
     table(spark, sf, "orders").select(when.alias("ts"), F.round("o_totalprice", 2).alias("total"), F.col("o_custkey").alias("cust")).write.option("header", True).csv(path)
     sent = files.csv_points(spark, path, "node", prefix="m_", fmt="%d.%m.%Y %H:%M:%S", labels={"job": "x"})
-    got = remote_write.received(remote_write.requests(remote_write.to_series(sent)))
+    got = remote_write.received(remote_write.requests(remote_write.to_pieces(sent), partitions=None))
     at = F.col("labels")
     return got.select(at["job"].alias("job"), at["instance"].alias("instance"), at["__name__"].alias("name"), "ts_ms", "value")
 

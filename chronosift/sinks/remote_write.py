@@ -5,13 +5,17 @@ from __future__ import annotations
 import struct
 import urllib.request
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Fixed value: samples of one request at most.
 MAX_SAMPLES = 5000
+#: Samples that a worker holds as Python objects, beside a single longer series.
+HELD = 100_000
 
 
 def varint(n: int) -> bytes:
@@ -81,16 +85,28 @@ def pieces(series: DataFrame, most: int = MAX_SAMPLES) -> DataFrame:
     return keyed.where(F.size("samples") > 0).select("series_id", "piece", "labels", F.slice("samples", F.col("piece") * most + 1, most).alias("samples"))
 
 
-def requests(series: DataFrame, most: int = MAX_SAMPLES, partitions: int = 8) -> DataFrame:
-    """(n_samples, body) of compressed requests; each partition of series fills its own."""
+def requests(series: DataFrame, most: int = MAX_SAMPLES, partitions: int | None = 8, in_order: bool = False) -> DataFrame:
+    """(n_samples, body) of compressed requests; each partition of series fills its own. Without ``partitions`` series stay where they are; ``in_order`` keeps all pieces
+    of a series in one, by time."""
 
     def run(batches):
-        for pdf in batches:
-            whole = [(dict(labels), [(s["ts_ms"], s["value"]) for s in samples]) for labels, samples in zip(pdf["labels"], pdf["samples"], strict=True)]
-            rows = [(sum(len(s) for _, s in c), compress(encode_request(c))) for c in chunks(whole, most)]
-            yield pd.DataFrame(rows, columns=["n_samples", "body"])
-
-    return series.repartition(partitions).select("labels", "samples").mapInPandas(run, "n_samples long, body binary")
+        for batch in batches:
+            labels, samples = batch.column(0), batch.column(1)
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(samples), 0).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < batch.num_rows:  # so many samples are held as objects at once, or a series
+                upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + HELD, "right")))
+                whole = [(dict(x), [(p["ts_ms"], p["value"]) for p in ps or []]) for x, ps in zip(labels.slice(at, upto - at).to_pylist(), samples.slice(at, upto - at).to_pylist(), strict=True)]
+                rows = [(sum(len(ps) for _, ps in c), compress(encode_request(c))) for c in chunks(whole, most)]
+                yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], names=["n_samples", "body"])
+                at = upto
+
+    if in_order:
+        keyed = series.withColumn("_series", F.xxhash64(F.to_json("labels"))).withColumn("_first", F.get("samples", F.lit(0))["ts_ms"])
+        dealt = (keyed.repartition(partitions, "_series") if partitions else keyed.repartition("_series")).sortWithinPartitions("_series", "_first")
+    else:
+        dealt = series.repartition(partitions) if partitions else series
+    return dealt.select("labels", "samples").mapInArrow(run, "n_samples long, body binary")
 
 
 def _unvarint(raw: bytes, at: int) -> tuple[int, int]:
@@ -142,13 +158,16 @@ def received(bodies: DataFrame, col: str = "body") -> DataFrame:
 
     def run(batches):
         codec = pa.Codec("snappy")
-        for pdf in batches:
-            for body in pdf[col]:
+        for batch in batches:
+            for body in batch.column(0):
+                body = body.as_py()
                 size, _ = _unvarint(body, 0)
                 for labels, samples in decode_request(codec.decompress(body, size, asbytes=True)):
-                    yield pd.DataFrame({"labels": [labels] * len(samples), "ts_ms": [t for t, _ in samples], "value": [v for _, v in samples]})
+                    n, width = len(samples), len(labels)
+                    maps = pa.MapArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), pa.array([*labels] * n, pa.string()), pa.array([*labels.values()] * n, pa.string()))
+                    yield pa.RecordBatch.from_arrays([maps, pa.array([t for t, _ in samples], pa.int64()), pa.array([v for _, v in samples], pa.float64())], names=["labels", "ts_ms", "value"])
 
-    return bodies.select(col).mapInPandas(run, "labels map<string,string>, ts_ms long, value double")
+    return bodies.select(col).mapInArrow(run, "labels map<string,string>, ts_ms long, value double")
 
 
 def push(series: DataFrame, endpoint: str, tenant: str | None = None, timeout: float = 30.0, path: str = "/api/v1/push", most: int = MAX_SAMPLES, dry_run: bool = False) -> int:
@@ -164,7 +183,7 @@ def push(series: DataFrame, endpoint: str, tenant: str | None = None, timeout: f
                 urllib.request.urlopen(urllib.request.Request(url, data=body, headers=headers, method="POST"), timeout=timeout).close()
             yield pd.DataFrame({"n_samples": [int(pdf["n_samples"].sum())]})
 
-    return requests(series, most).mapInPandas(send, "n_samples long").agg(F.coalesce(F.sum("n_samples"), F.lit(0))).first()[0]
+    return requests(series, most, in_order=True).mapInPandas(send, "n_samples long").agg(F.coalesce(F.sum("n_samples"), F.lit(0))).first()[0]
 
 
 def to_series(points: DataFrame) -> DataFrame:
@@ -172,6 +191,16 @@ def to_series(points: DataFrame) -> DataFrame:
     return points.groupBy("group_id", "channel").agg(F.first("labels").alias("labels"), F.array_sort(F.collect_list(F.struct("ts_ms", "value"))).alias("samples")).select("labels", "samples")
 
 
+def to_pieces(points: DataFrame, most: int = MAX_SAMPLES) -> DataFrame:
+    """The same in pieces of at most ``most`` samples, however long a series is: no task holds it. Points are dealt by ranges of series, time and value; a range is cut every
+    ``most`` rows, and where another series begins. Pieces of a series follow each other in time."""
+    order = ["group_id", "channel", "ts_ms", "value"]
+    row = F.monotonically_increasing_id()  # the partition, and the row in it, which starts from 0
+    cut = points.select(*order, "labels").repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_row", row)
+    piece = F.struct(F.shiftright("_row", 33).alias("part"), F.floor(F.col("_row").bitwiseAND((1 << 33) - 1) / most).alias("nth"))
+    return cut.groupBy("group_id", "channel", piece.alias("_piece")).agg(F.first("labels").alias("labels"), F.array_sort(F.collect_list(F.struct("ts_ms", "value"))).alias("samples")).select("labels", "samples")
+
+
 def rank_pieces(series: DataFrame, most: int) -> DataFrame:
     """Numbers of pieces and samples of each series, for planning."""
     return pieces(series, most).withColumn("n", F.size("samples")).withColumn("rn", F.row_number().over(Window.partitionBy("series_id").orderBy("piece")))

@@ -158,6 +158,25 @@ def test_push(spark):
     assert sum(len(r.samples) for r in remote_write.pieces(df, 3).collect()) == 21
 
 
+def test_long_series_in_pieces(spark):
+    """A series of any length goes in pieces of bounded size, in order of time; all samples come back."""
+    shape = "group_id string, channel string, ts_ms long, value double, labels map<string,string>"
+    data = [("g", c, (i * 37) % 1003, float(i), {"__name__": c, "instance": "g"}) for c, n in (("a", 1003), ("b", 12), ("c", 1)) for i in range(n)]
+    points = spark.createDataFrame(data, shape).repartition(4)
+    found = [(r.labels["__name__"], [(s.ts_ms, s.value) for s in r.samples]) for r in remote_write.to_pieces(points, 50).collect()]
+    assert max(len(x) for _, x in found) <= 50
+    for c in "abc":
+        own = sorted(x for name, x in found if name == c)
+        assert [s for x in own for s in x] == sorted((t, v) for _, name, t, v, _ in data if name == c)
+    sent = remote_write.requests(remote_write.to_pieces(points, 50), 50, partitions=None)
+    assert max(r.n_samples for r in sent.collect()) <= 50
+    back = [(r.labels, r.ts_ms, r.value) for r in remote_write.received(sent).collect()]
+    assert sorted((x["__name__"], x["instance"], t, v) for x, t, v in back) == sorted((c, "g", t, v) for _, c, t, v, _ in data)
+    one = spark.createDataFrame([({"__name__": "a"}, [(t, 1.0)]) for t in (5, 1, 9, 3)], "labels map<string,string>, samples array<struct<ts_ms long, value double>>").repartition(3)
+    assert [r.ts_ms for r in remote_write.received(remote_write.requests(one, 1, 2, in_order=True)).collect()] == [1, 3, 5, 9]
+    assert remote_write.received(remote_write.requests(remote_write.to_pieces(points.where("false")), partitions=None)).count() == 0
+
+
 # ---- store
 
 
