@@ -27,10 +27,10 @@ def _folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/flow-{uuid.uuid4().hex}"
 
 
-def _small(spark: SparkSession) -> SparkSession:
-    """A session of its own for a stream of few rows: every shuffle partition is a state store that each batch writes."""
+def _small(spark: SparkSession, partitions: int = 4) -> SparkSession:
+    """A session of its own for a stream: every shuffle partition is a state store that each batch writes, few for few rows."""
     child = spark.newSession()
-    child.conf.set("spark.sql.shuffle.partitions", "4")
+    child.conf.set("spark.sql.shuffle.partitions", str(partitions))
     child.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     return child
 
@@ -45,13 +45,29 @@ def _kept(spark: SparkSession, stream: DataFrame, folder: str, mode: str) -> Dat
     return spark.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in stream.schema)}, batch int").option("recursiveFileLookup", "true").parquet(f"{folder}/out")
 
 
-def _recorded(df: DataFrame, by: str, folder: str, parts: int = 3) -> None:
-    """Rows as files in order of ``by``, to be replayed."""
+def _cores(spark: SparkSession) -> int:
+    """How many tasks advance a stream's keys at once: one a core, as far as there are buckets."""
+    return min(engine.BUCKETS, max(4, spark.sparkContext.defaultParallelism))
+
+
+def _replayed(df: DataFrame, by: str, keys: list[str], folder: str, parts: int = 3) -> tuple[DataFrame, int]:
+    """The rows as a stream of so many micro-batches in order of ``by``, and in how many buckets to advance its keys: one for 20,000 rows, as each call of Python costs some
+    milliseconds, but some for each core and no more than the engine's own number.
+
+    Each part is one job, as the files' times give their order, and several files, written and read side by side. A key's rows of a part are in one file, so that its
+    rows stay in order wherever a micro-batch ends.
+    """
+    spark, files = df.sparkSession, 1
     with laid_down(df) as rows_:
-        low, high = rows_.agg(F.min(by), F.max(by)).first()
+        low, high, n = rows_.agg(F.min(by), F.max(by), F.count("*")).first()
         step = ((high or 0) - (low or 0)) // parts + 1
         for i in range(parts):
-            rows_.where((F.col(by) >= (low or 0) + i * step) & (F.col(by) < (low or 0) + (i + 1) * step)).coalesce(1).write.parquet(f"{folder}/{i:05d}")
+            part = rows_.where((F.col(by) >= (low or 0) + i * step) & (F.col(by) < (low or 0) + (i + 1) * step))
+            part.repartition(_cores(spark), *keys).write.parquet(f"{folder}/{i:05d}")
+            files = max(files, len(spark.read.schema(rows_.schema).parquet(f"{folder}/{i:05d}").inputFiles()))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    buckets = min(engine.BUCKETS, max(4 * _cores(spark), n // 20_000))
+    return engine.replay(_small(spark, _cores(spark)), folder, schema, files), buckets
 
 
 # ---- sinks and back
@@ -160,35 +176,34 @@ def _by_day(df: DataFrame) -> DataFrame:
     return df.select(F.col("group_id").alias("entity_uid"), F.col("channel").alias("metric_name"), F.col("day").alias("seq"), "score")
 
 
+_KEYS = ["entity_uid", "metric_name"]
+
+
 @Q("str10_stream_regime", signals_sql._DEBOUNCED)
 def _(spark, sf):
     path = _folder(spark)
-    child = _small(spark)
-    t = signals_sql._faces(child, sf).withColumnsRenamed({"group_id": "entity_uid", "channel": "metric_name"})
-    _recorded(t, "seq", f"{path}/in")
-    got = _kept(spark, engine.streaming_regime(engine.replay(child, f"{path}/in", "entity_uid string, metric_name string, seq long, forecast_severity string, recon_severity string"), 2, 3), path, "append")
+    t = signals_sql._faces(spark, sf).withColumnsRenamed({"group_id": "entity_uid", "channel": "metric_name"})
+    stream, buckets = _replayed(t, "seq", _KEYS, f"{path}/in")
+    got = _kept(spark, engine.streaming_regime(stream, 2, 3, buckets), path, "append")
     return got.select(F.col("entity_uid").alias("group_id"), F.col("metric_name").alias("channel"), "seq", "regime")
 
 
-_SCORES = "entity_uid string, metric_name string, seq long, score double"
 _PAST = "WINDOW w AS (PARTITION BY group_id, channel ORDER BY day ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING)"
 
 
 @Q("str16_stream_quantile", f"WITH {TICKS}, c AS (SELECT group_id, channel, day, score, count(score) OVER w AS h, quantile_cont(score, 0.95) OVER w AS qw, quantile_cont(score, 0.99) OVER w AS qc FROM ticks {_PAST}) SELECT group_id, channel, day, CASE WHEN score > CASE WHEN h >= 4 THEN qc + 1e-9 ELSE 3.0 END THEN 'critical' WHEN score > CASE WHEN h >= 4 THEN qw + 1e-9 ELSE 1.8 END THEN 'warning' ELSE 'normal' END AS severity FROM c")
 def _(spark, sf):
     path = _folder(spark)
-    child = _small(spark)
-    _recorded(_by_day(ticks(child, sf)), "seq", f"{path}/in")
-    got = _kept(spark, engine.streaming_quantile(engine.replay(child, f"{path}/in", _SCORES), 8, 4), path, "append")
+    stream, buckets = _replayed(_by_day(ticks(spark, sf)), "seq", _KEYS, f"{path}/in")
+    got = _kept(spark, engine.streaming_quantile(stream, 8, 4, buckets=buckets), path, "append")
     return got.select(F.col("entity_uid").alias("group_id"), F.col("metric_name").alias("channel"), F.col("seq").alias("day"), "severity")
 
 
 @Q("str16_stream_mad", f"WITH {TICKS}, c AS (SELECT group_id, channel, day, score, list(score) OVER w AS past FROM ticks {_PAST}), m AS (SELECT *, coalesce(len(past), 0) AS h, list_median(past) AS mid FROM c), s AS (SELECT *, 1.4826 * list_median(list_transform(past, lambda x: abs(x - mid))) AS sp FROM m), t AS (SELECT *, CASE WHEN sp > 0 THEN sp ELSE 1e-8 END AS spread FROM s) SELECT group_id, channel, day, CASE WHEN score > CASE WHEN h >= 4 THEN mid + 5 * spread ELSE 3.0 END THEN 'critical' WHEN score > CASE WHEN h >= 4 THEN mid + 3 * spread ELSE 1.8 END THEN 'warning' ELSE 'normal' END AS severity FROM t")
 def _(spark, sf):
     path = _folder(spark)
-    child = _small(spark)
-    _recorded(_by_day(ticks(child, sf)), "seq", f"{path}/in")
-    got = _kept(spark, engine.streaming_mad(engine.replay(child, f"{path}/in", _SCORES), 8, 4), path, "append")
+    stream, buckets = _replayed(_by_day(ticks(spark, sf)), "seq", _KEYS, f"{path}/in")
+    got = _kept(spark, engine.streaming_mad(stream, 8, 4, buckets=buckets), path, "append")
     return got.select(F.col("entity_uid").alias("group_id"), F.col("metric_name").alias("channel"), F.col("seq").alias("day"), "severity")
 
 

@@ -52,9 +52,9 @@ def stamped(points: DataFrame) -> DataFrame:
     return points.withColumn("event_time", F.timestamp_millis("ts_ms"))
 
 
-def replay(spark: SparkSession, folder: str, schema: str = POINTS) -> DataFrame:
-    """Parquet files of a folder as a stream, one file a micro-batch in order of modification."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(folder)
+def replay(spark: SparkSession, folder: str, schema: str = POINTS, files: int = 1) -> DataFrame:
+    """Parquet files of a folder as a stream, one file or ``files`` a micro-batch in order of modification."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("recursiveFileLookup", "true").parquet(folder)
 
 
 def record(points: DataFrame, folder: str, parts: int = 4, late: Column | None = None) -> None:

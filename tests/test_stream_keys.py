@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 
 from chronosift.operators import regime
+from chronosift.plans import queries_flow
 from chronosift.streaming import engine
 
 KEYS = 1200
@@ -77,6 +78,36 @@ def test_quantiles_of_many_keys(spark, tmp_path):
     judged(spark, tmp_path, engine.streaming_quantile, lambda past: (np.quantile(past, 0.95), np.quantile(past, 0.99)))
 
 
+@pytest.mark.parametrize("aligned", [True, False])
+def test_replayed_rows_are_dealt_to_all_cores(spark, tmp_path, monkeypatch, aligned):
+    """A part is several files and a micro-batch; keys keep their order, also where a micro-batch ends within a part, and all cores have states."""
+    monkeypatch.setattr(queries_flow, "_cores", lambda _: 6)
+    if not aligned:
+        replay = engine.replay
+        monkeypatch.setattr(engine, "replay", lambda spark, folder, schema, files: replay(spark, folder, schema, files - 2))
+    rng = np.random.default_rng(0)
+    rows = [(f"e{k}", None if k % 7 == 0 else "m", i, float(rng.exponential())) for k in range(KEYS) for i in range(9)]
+    df = spark.createDataFrame(pd.DataFrame(rows).sample(frac=1, random_state=rng), "entity_uid string, metric_name string, seq long, score double")
+    stream, buckets = queries_flow._replayed(df, "seq", ["entity_uid", "metric_name"], str(tmp_path / "in"))
+    for part in range(3):
+        files = [pd.read_parquet(f) for f in (tmp_path / "in" / f"{part:05d}").glob("*.parquet")]
+        assert len(files) == 6 and sum(f["entity_uid"].nunique() for f in files) == KEYS and all(set(f["seq"]) == {3 * part, 3 * part + 1, 3 * part + 2} for f in files)
+    out = []
+    query = engine.run_stream(engine.streaming_quantile(stream, 5, 3, buckets=buckets), lambda df, i: out.extend((i, *r) for r in df.collect()), str(tmp_path / "progress"), "append")
+    query.awaitTermination()
+    assert {p.stateOperators[0].numShufflePartitions for p in query.recentProgress} == {6} and buckets == 24
+    assert len({r[0] for r in out}) == (3 if aligned else 5)
+    past = {}
+    for e, m, i, score in rows:
+        past.setdefault((e, m), []).append((i, score))
+    want = set()
+    for (e, m), own in past.items():
+        for j, (i, score) in enumerate(own):
+            warn, crit = np.quantile([x for _, x in own[max(0, j - 5) : j]], (0.95, 0.99)) if j >= 3 else (1.8, 3.0)
+            want.add((e, m, i, score, "critical" if score > crit else "warning" if score > warn else "normal"))
+    assert {r[1:] for r in out} == want and len(out) == len(rows)
+
+
 def test_panes_of_many_keys(spark, tmp_path):
     """Early panes over two batches; windows that the watermark has left fire once more in their time, whether their bucket has new rows or not."""
     rng = np.random.default_rng(0)
