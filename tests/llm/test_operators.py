@@ -6,6 +6,7 @@ import collections
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -307,6 +308,37 @@ def test_em_finds_the_bad_labeler():
     assert likely[0, (1, 1, 0)] > 0.9 and likely[0, (0, -1, 1)] < 0.1
 
 
+def test_pii_holds_little(spark):
+    """Batches are bounded, and a text with very many spans costs bytes, not objects, for each."""
+    session = spark.newSession()
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    session.conf.set(key, "64m")
+    text = "1.2.3.4 " * 50_000
+    r = pii.find_spans(session.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert len(r.base) == 50_000 and int(session.conf.get(key)) == 4 << 20
+    found = pii.candidates(text)[0]
+    tracemalloc.start()
+    spans = pii.Spans()
+    spans.add(text, found, True)
+    lists = spans.lists()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(lists) == 1 and lists.to_pylist()[0] == [x.asDict() for x in r.base] and most < 100 * 50_000
+
+
+def test_pii_chosen_spans():
+    spans = pii.Spans()
+    assert pii.chosen(spans.lists(), []).to_pylist() == []
+    for text in ("1.2.3.4 a@b.com", "", "+1 202 555 0100 and 1.2.3.4", "none", "4111 1111 1111 1111"):
+        spans.add(text, pii.candidates(text)[0], True)
+    lists = spans.lists()
+    assert [len(x) for x in lists.to_pylist()] == [2, 0, 2, 0, 1]
+    codes = sorted({c["features"] for x in lists.to_pylist() for c in x})
+    for accepted in ([], codes[:1], codes[1:], codes):
+        for part in (lists, lists.slice(1, 3), lists.slice(2)):
+            assert pii.chosen(part, accepted).to_pylist() == [[c for c in x if c["features"] in accepted] for x in part.to_pylist()]
+
+
 def test_pii_of_nothing(none):
     assert pii.find_spans(none).count() == 0
 
