@@ -219,9 +219,12 @@ def streaming_regime(ticks: DataFrame, enter_after: int = 1, exit_after: int = 1
     return _in_buckets(ticks, _SERIES, buckets).applyInPandasWithState(advance, "entity_uid string, metric_name string, seq long, mode string, regime string", _KEPT, "append", GroupStateTimeout.NoTimeout)
 
 
-def streaming_quantile(scores: DataFrame, window: int = 64, min_history: int = 16, warning: float = 1.8, critical: float = 3.0, warn_q: float = 0.95, crit_q: float = 0.99, buckets: int = BUCKETS) -> DataFrame:
-    """The rolling-quantile threshold over a stream of (entity_uid, metric_name, seq, score); of a key its last scores are kept."""
-    return _judged(scores, window, min_history, (warning, critical), lambda past: np.quantile(past, (warn_q, crit_q), axis=1), buckets)
+def streaming_quantile(scores: DataFrame, window: int = 64, min_history: int = 16, warning: float = 1.8, critical: float = 3.0, warn_q: float = 0.95, crit_q: float = 0.99, buckets: int = BUCKETS, margin: float = 0.0) -> DataFrame:
+    """The rolling-quantile threshold over a stream of (entity_uid, metric_name, seq, score); of a key its last scores are kept.
+
+    Scores that equal a quantile can be above it in the last bits, as it is interpolated; above means by more than ``margin``. Fixed cuts hold without it.
+    """
+    return _judged(scores, window, min_history, (warning, critical), lambda past: np.quantile(past, (warn_q, crit_q), axis=1) + margin, buckets)
 
 
 def streaming_mad(scores: DataFrame, window: int = 64, min_history: int = 16, warning: float = 1.8, critical: float = 3.0, warn_k: float = 3.0, crit_k: float = 5.0, buckets: int = BUCKETS) -> DataFrame:

@@ -108,6 +108,19 @@ def test_replayed_rows_are_dealt_to_all_cores(spark, tmp_path, monkeypatch, alig
     assert {r[1:] for r in out} == want and len(out) == len(rows)
 
 
+def test_scores_that_equal_their_quantile(spark, tmp_path):
+    """The registered query over two series whose score of one day is its cut to the last decimal; interpolated in doubles the cut is below it."""
+    series = {
+        (1, "error"): [(0, 34.81), (2, 2.27), (3, 11.78), (4, 41.51), (6, 12.74), (7, 4.17), (9, 43.3), (9, 47.52), (11, 30.23), (12, 17.29), (16, 54.22), (18, 5.49), (20, 17.1), (21, 26.57), (21, 47.22), (22, 7.27), (22, 9.07), (22, 56.18), (22, 73.22), (23, 24.65), (24, 187.59)],
+        (2, "signup"): [(0, 2.69), (0, 42.07), (2, 45.78), (3, 19.65), (6, 8.97), (6, 12.37), (6, 58.09), (15, 48.66), (16, 3.67), (20, 41.67), (22, 3.85), (26, 44.5)],
+    }
+    rows = [(pd.Timestamp("2024-01-03") + pd.Timedelta(days=d), user, kind, value) for (user, kind), own in series.items() for d, value in own]
+    spark.createDataFrame(pd.DataFrame(rows, columns=["ts", "user_id", "event_type", "value"]), "ts timestamp_ntz, user_id long, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
+    got = {(r.group_id, (r.day - 1_704_240_000_000) // 86_400_000): r.severity for r in queries_flow.Q.queries["str16_stream_quantile"](spark, str(tmp_path)).collect()}
+    assert len(got) == 16 + 9
+    assert got["1", 7] == "normal" and got["2", 22] == "warning"
+
+
 def test_panes_of_many_keys(spark, tmp_path):
     """Early panes over two batches; windows that the watermark has left fire once more in their time, whether their bucket has new rows or not."""
     rng = np.random.default_rng(0)
