@@ -223,8 +223,19 @@ def streaming_quantile(scores: DataFrame, window: int = 64, min_history: int = 1
     """The rolling-quantile threshold over a stream of (entity_uid, metric_name, seq, score); of a key its last scores are kept.
 
     Scores that equal a quantile can be above it in the last bits, as it is interpolated; above means by more than ``margin``. Fixed cuts hold without it.
+    Missing scores are normal and have their place among the last ones, but no part in quantiles and in ``min_history``.
     """
-    return _judged(scores, window, min_history, (warning, critical), lambda past: np.quantile(past, (warn_q, crit_q), axis=1) + margin, buckets)
+
+    def cuts(past):
+        known = (~np.isnan(past)).sum(axis=1)
+        past = np.sort(past, axis=1)  # missing ones come last
+        both = np.tile([[warning], [critical]], len(past))
+        for n in np.unique(known[known >= max(1, min_history)]).tolist():
+            same = known == n
+            both[:, same] = np.quantile(past[same, :n], (warn_q, crit_q), axis=1) + margin
+        return both
+
+    return _judged(scores, window, min_history, (warning, critical), cuts, buckets)
 
 
 def streaming_mad(scores: DataFrame, window: int = 64, min_history: int = 16, warning: float = 1.8, critical: float = 3.0, warn_k: float = 3.0, crit_k: float = 5.0, buckets: int = BUCKETS) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from chronosift.operators import regime
+from chronosift.operators import regime, threshold
 from chronosift.plans import queries_flow
 from chronosift.streaming import engine
 
@@ -121,6 +121,17 @@ def test_scores_that_equal_their_quantile(spark, tmp_path):
     assert got["1", 7] == "normal" and got["2", 22] == "warning"
 
 
+def test_missing_scores_have_no_part_in_quantiles(spark, tmp_path):
+    """They take a place of the window; what is left gives the cuts if there is enough of it, else the fixed ones hold. As the batch form has it."""
+    rng = np.random.default_rng(0)
+    rows = [(f"e{k}", "m", i, None if rng.random() < 0.3 else float(rng.exponential(2))) for k in range(60) for i in range(15)]
+    schema = "entity_uid string, metric_name string, seq long, score double"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    out, _ = followed(engine.streaming_quantile(engine.replay(spark, str(tmp_path / "in"), schema), 5, 3), tmp_path)
+    want = threshold.rolling_quantile(spark.createDataFrame(rows, schema), ["entity_uid", "metric_name"], ["seq"], window=5, min_history=3)
+    assert {(e, i): severity for _, e, _, i, _, severity in out} == {(r.entity_uid, r.seq): r.severity for r in want.collect()} and len(out) == len(rows)
+
+
 def test_panes_of_many_keys(spark, tmp_path):
     """Early panes over two batches; windows that the watermark has left fire once more in their time, whether their bucket has new rows or not."""
     rng = np.random.default_rng(0)
